@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, quality, simhash, tokens, toxicity
+from . import bpe, chat, decontam, imatch, licenses, quality, simhash, tokens, toxicity, urls
 from ._common import cut, text_rows
 
 
@@ -14,6 +14,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -1, whose texts hold markers; each is a reply tree with a single branch."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.sql(
+        "select * from values (bigint(-1), bigint(0), 'user', '</s>[INST] ok [/INST]'), "
+        "(bigint(-1), bigint(1), 'assistant', '</s>[INST] ok [/INST]') as t(conv_id, turn, role, text)"
+    )
+    chats = chat.format_chats(chat.linear_messages(turns.unionByName(marked)))
+    return chat.digest(chats).select(
+        F.col("tree_id").alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"
+    )
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = text_rows(_table(spark, sf_dir, "documents"))
     counted = tokens.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -30,6 +43,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = text_rows(_table(spark, sf_dir, "documents"))
     weights = quality.fit(docs, _table(spark, sf_dir, "labels"), lambda c: ~quality.held_out(c))
@@ -37,6 +54,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice: doc_id, template, coverage, start and stop (code points), matched words."""
+    return licenses.matches(text_rows(_table(spark, sf_dir, "documents")))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = text_rows(_table(spark, sf_dir, "documents"))
     scanned = decontam.scan(docs, _table(spark, sf_dir, "benchmark"))
@@ -57,13 +79,50 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = text_rows(_table(spark, sf_dir, "documents"))
+    words = cut(imatch.lexicon(docs))
+    return imatch.compare_edited(docs, words)
+
+
+_QUERIES = (
+    op1_chat_format,
+    op2_token_counts,
+    op3_byte_bpe,
+    op4_simhash,
+    op5_url_filter,
+    op6_quality,
+    op7_license_scan,
+    op8_decontaminate,
+    op9_toxicity,
+    op10_imatch,
+)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_token_counts, op3_byte_bpe, op4_simhash, op6_quality, op8_decontaminate, op9_toxicity)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontaminate": OP8_SQL}
-
+    return {"op1_chat_format": OP1_SQL, "op8_decontaminate": OP8_SQL}
+
+
+OP1_SQL = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized as (
+  select *, length(regexp_replace(text, '([\[<])(\\*)(/?(?:INST|SYS|OUT|TURN|s>))', '\1\\\2\3', 'g'))
+       + case role when 'user' then 13 when 'system' then 11 when 'assistant' then 11 else 14 + length(url_encode(role)) end
+       as size from turns)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role) filter (role = 'assistant'), '')) as loss_sha256,
+       cast(7 + sum(size) as bigint) as formatted_chars
+from sized group by conv_id
+"""
 
 OP8_SQL = r"""
 with doc_words as (
