@@ -34,7 +34,8 @@ def sessionize(
     per_slab = rows.groupBy(*keys, "__slab").agg(F.max("endtime").alias("__top"))
     earlier = Window.partitionBy(*keys).orderBy("__slab").rowsBetween(Window.unboundedPreceding, -1)
     carry = per_slab.withColumn("__carry", F.max("__top").over(earlier)).drop("__top")
-    local = Window.partitionBy(*keys, "__slab").orderBy("time", "endtime")
+    stamp = F.struct("time", "endtime")
+    local = Window.partitionBy(*keys, "__slab").orderBy(stamp)
     before = F.max("endtime").over(local.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.join(carry, [*keys, "__slab"])
     last = F.greatest(before, F.col("__carry"))
@@ -42,17 +43,17 @@ def sessionize(
     counts = rows.groupBy(*keys, "__slab").agg(F.sum("__new").alias("__starts"))
     counts = counts.withColumn("__offset", F.coalesce(F.sum("__starts").over(earlier), F.lit(0))).drop("__starts")
     rows = rows.join(counts, [*keys, "__slab"])
-    running = F.sum("__new").over(local.rowsBetween(Window.unboundedPreceding, 0))
+    running = F.sum("__new").over(local.rangeBetween(Window.unboundedPreceding, 0))  # ties together, in any order
     return rows.withColumn(group, (F.col("__offset") + running - 1).cast("bigint")).drop("__slab", "__carry", "__new", "__offset")
 
 
 def sessionize_plain(df: DataFrame, gap: int, keys: Sequence[str] = ("run_id",), group: str = "group_id") -> DataFrame:
     """The same by one window per key; the definition that sessionize() is tested against."""
-    order = Window.partitionBy(*keys).orderBy("time", "endtime")
+    order = Window.partitionBy(*keys).orderBy(F.struct("time", "endtime"))
     last = F.max("endtime").over(order.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(last.isNull() | (F.col("time") - last >= gap), 1).otherwise(0)
     marked = df.withColumn("__new", new)
-    running = F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    running = F.sum("__new").over(order.rangeBetween(Window.unboundedPreceding, 0))
     return marked.withColumn(group, (running - 1).cast("bigint")).drop("__new")
 
 

@@ -59,7 +59,7 @@ def m21_find_hits(spark, sf):
 
 _PEAKS = f"""{_HITS},
 a as (select *, max(endtime) over (partition by run_id order by time, endtime rows between unbounded preceding and 1 preceding) as last_end from hits),
-s as (select *, sum(case when last_end is null or time - last_end >= 30 then 1 else 0 end) over (partition by run_id order by time, endtime rows between unbounded preceding and current row) - 1 as peak_id from a),
+s as (select *, sum(case when last_end is null or time - last_end >= 30 then 1 else 0 end) over (partition by run_id order by time, endtime) - 1 as peak_id from a),
 built as (select run_id, cast(peak_id as bigint) as peak_id, min(time) - 10 as time, max(endtime) + 10 as endtime, sum(area) as area, count(*) as n_hits, count(distinct channel) as n_channels
 from s group by run_id, peak_id having sum(area) >= 200)"""
 

@@ -69,7 +69,7 @@ def x3_stream_pulse_counts(spark, sf):
 @query(
     """with t as (select * from v_peaks where type = 2 and area > 10),
 g as (select *, max(endtime) over (partition by run_id order by time, endtime rows between unbounded preceding and 1 preceding) as last_end from t),
-s as (select *, sum(case when last_end is null or time - last_end >= 550000001 then 1 else 0 end) over (partition by run_id order by time, endtime rows between unbounded preceding and current row) as grp from g)
+s as (select *, sum(case when last_end is null or time - last_end >= 550000001 then 1 else 0 end) over (partition by run_id order by time, endtime) as grp from g)
 select run_id, min(time) - 500000000 as time, max(endtime) + 50000000 as endtime, count(*) as n_triggers from s group by run_id, grp""",
     "v_peaks",
 )

@@ -51,7 +51,7 @@ def w3_lone_pulses(spark, sf):
 _W4 = """
 with a as (select *, max(endtime) over (partition by run_id order by time, endtime rows between unbounded preceding and 1 preceding) as last_end from v_peaks)
 select peak_id, run_id, cast(sum(case when last_end is null or time - last_end >= 300000000 then 1 else 0 end)
-  over (partition by run_id order by time, endtime rows between unbounded preceding and current row) - 1 as bigint) as group_id from a"""
+  over (partition by run_id order by time, endtime) - 1 as bigint) as group_id from a"""
 
 
 @query(_W4, "v_peaks")
@@ -61,7 +61,7 @@ def w4_sessionize(spark, sf):
 
 EVENTS_SQL = """t as (select * from v_peaks where type = 2 and area > 10),
   g as (select *, max(endtime) over (partition by run_id order by time, endtime rows between unbounded preceding and 1 preceding) as last_end from t),
-  s as (select *, sum(case when last_end is null or time - last_end >= 550000001 then 1 else 0 end) over (partition by run_id order by time, endtime rows between unbounded preceding and current row) - 1 as grp from g),
+  s as (select *, sum(case when last_end is null or time - last_end >= 550000001 then 1 else 0 end) over (partition by run_id order by time, endtime) - 1 as grp from g),
   v_events as (select run_id, cast(grp as bigint) as event_number, min(time) - 500000000 as time, max(endtime) + 50000000 as endtime, count(*) as n_triggers from s group by run_id, grp)"""
 LEFT, RIGHT = 500_000_000, 50_000_000
 
@@ -87,7 +87,7 @@ def w6_n_competing(spark, sf):
 @query(
     """with a as (select *, max(endtime) over (partition by run_id order by time, endtime rows between unbounded preceding and 1 preceding) as last_end from v_peaks)
 select run_id, break_group, count(*) as n from (
-  select run_id, cast(sum(case when last_end is null or time - last_end >= 900000000 then 1 else 0 end) over (partition by run_id order by time, endtime rows between unbounded preceding and current row) - 1 as bigint) as break_group from a)
+  select run_id, cast(sum(case when last_end is null or time - last_end >= 900000000 then 1 else 0 end) over (partition by run_id order by time, endtime) - 1 as bigint) as break_group from a)
 group by run_id, break_group""",
     "v_peaks",
 )
