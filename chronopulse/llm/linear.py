@@ -95,8 +95,11 @@ def train_sample(docs, labels, label_col: str, usable, limit: int):
     return texts.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label")
 
 
-def train(sample, make_weights, spark=None) -> np.ndarray:
-    """Runs make_weights(texts, labels) over the bounded sample in one task; returns the weights (a fixed size)."""
+def train(sample, make_weights) -> np.ndarray:
+    """Runs make_weights(texts, labels) over the bounded sample in one task; returns the weights (a fixed size).
+
+    Rows are sorted first, so the weights do not depend on their order; without rows, the weights of no rows.
+    """
     import pandas as pd
 
     def run(frames):
@@ -106,4 +109,6 @@ def train(sample, make_weights, spark=None) -> np.ndarray:
         yield pd.DataFrame({"w": [w.astype("<f4").tobytes()]})
 
     out = sample.repartition(1).mapInPandas(run, "w binary").first()
+    if out is None:  # an empty table has no batch
+        return make_weights([], [])
     return np.frombuffer(out["w"], dtype="<f4").astype(np.float64)
