@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import kernels
 from ..operators import analysis, filters, peaks, records
 from ..schemas import PeakConfig
-from .base import query, v_fragments, v_light, v_peaks, v_waves
+from .base import query, rounded, v_fragments, v_light, v_peaks, v_waves
 
 _FRAGMENTS = "v_waves v_fragments"
 
@@ -52,6 +52,7 @@ def v_hits(spark, sf):
     return kernels.find_hits(v_waves(spark, sf), 150.0)
 
 
+@rounded("height area")
 @query(f"with {_HITS} select * from hits", "v_waves")
 def m21_find_hits(spark, sf):
     return v_hits(spark, sf)
@@ -68,11 +69,13 @@ def built(spark, sf):
     return records.build_peaks(v_hits(spark, sf), 10, 30, 10, 10, 200.0, 1, slab=5_000)
 
 
+@rounded("area")
 @query(f"with {_PEAKS} select * from built", "v_waves")
 def g4_build_peaks(spark, sf):
     return built(spark, sf).drop("area_per_channel")
 
 
+@rounded("area height")
 @query(
     f"""with {_PEAKS}, pts as (select time + i * dt as tick, x from (select *, unnest(data) as x, unnest(range(0, 64)) as i from v_waves)),
 m as (select b.peak_id, b.time, (tick - b.time) // 10 as s, sum(x) as v from built b join pts on tick >= b.time and tick < b.endtime group by all)
@@ -123,6 +126,7 @@ _FULL = """p as (select *, cast(list_sum(data) as double) as area, [cast(list_su
 q as (select *, list_sum(per[2:5]) / list_sum(per) as area_fraction_top, cast(5 * peak_id % 37 as double) as range_50p_area from p)"""
 
 
+@rounded("range_50p_area range_90p_area max_pmt_area area_fraction_top rise_time")
 @query(
     f"""with {_FULL} select peak_id, time + 640 as endtime, cast(len(list_filter(per, lambda x: x > 0)) as int) as n_channels, range_50p_area, cast(9 * peak_id % 37 as double) as range_90p_area,
   cast(list_position(per, list_max(per)) - 1 as int) as max_pmt, list_max(per) as max_pmt_area, area_fraction_top, -cast(peak_id % 37 as double) as rise_time,
@@ -151,6 +155,7 @@ select peak_id, x_cgr, y_cgr, 2 * power(x_cgr, 3) - x_cgr + 0.5 as x_corr, y_cgr
   sqrt(power(2 * power(x_cgr, 3) - x_cgr + 0.5, 2) + power(y_cgr * 3 - 1, 2)) as r from c"""
 
 
+@rounded("x_cgr y_cgr x_corr y_corr r")
 @query(_M2, "v_waves")
 def m2_peak_positions(spark, sf):
     rows = full_peaks(spark, sf).withColumn("area_fraction_top", filters.fraction_top())
@@ -158,6 +163,7 @@ def m2_peak_positions(spark, sf):
     return out.select("peak_id", "x_cgr", "y_cgr", "x_corr", "y_corr", "r")
 
 
+@rounded("area")
 @query("select channel, sum(v) as area from (select unnest(area_per_channel) as v, cast(unnest(range(0, 7)) as int) as channel from v_light) group by channel", "v_light")
 def g14_hit_pattern(spark, sf):
     return peaks.hit_pattern(v_light(spark, sf))
@@ -166,6 +172,7 @@ def g14_hit_pattern(spark, sf):
 SENSORS = [{"x": 50.0 * (k % 3 - 1), "y": 40.0 * (k // 3 - 1), "z": 60.0, "qe": 0.3 + 0.01 * k} for k in range(7)]
 
 
+@rounded("x y")
 @query(
     """select peak_id, (-50 * a[1] + 0 * a[2] + 50 * a[3] - 50 * a[4] + 0 * a[5] + 50 * a[6] - 50 * a[7]) / list_sum(a) as x,
 (-40 * a[1] - 40 * a[2] - 40 * a[3] + 40 * a[7]) / list_sum(a) as y from (select peak_id, area_per_channel as a from v_light)""",
@@ -198,6 +205,7 @@ _BINNED = f"""b as (select {_bin("area", AREA)} as area_bin, {_bin("range_50p_ar
 h as (select area_bin, width_bin, aft_bin, count(*) as n from b where area_bin is not null and width_bin is not null and aft_bin is not null group by all)"""
 
 
+@rounded("rate mean")
 @query(
     f"with {_BINNED} select area_bin, width_bin, sum(n) / 3600.0 as rate, sum(n * ({AFT}[aft_bin + 1] + {AFT}[aft_bin + 2]) / 2) / sum(n) as mean from h group by area_bin, width_bin",
     "v_peaks",
@@ -206,6 +214,7 @@ def g9_area_aft_histogram(spark, sf):
     return analysis.area_aft_histogram(v_peaks(spark, sf), AREA, WIDTH, AFT, 3600.0)
 
 
+@rounded("rate mean")
 @query(
     f"with {_BINNED} select area_bin, aft_bin, sum(n) / 3600.0 as rate, sum(n * ({WIDTH}[width_bin + 1] + {WIDTH}[width_bin + 2]) / 2) / sum(n) as mean from h group by area_bin, aft_bin",
     "v_peaks",
@@ -214,6 +223,7 @@ def g10_area_width_histogram(spark, sf):
     return analysis.area_width_histogram(v_peaks(spark, sf), AREA, WIDTH, AFT, 3600.0)
 
 
+@rounded("low high rate")
 @query(
     f"""with e as (select {_bin("area", [1.0, 10.0, 20.0, 50.0, 100.0])} as bin from v_peaks), l as (select [1.0, 10.0, 20.0, 50.0, 100.0] as edges)
 select bin, cast(edges[bin + 1] as double) as low, cast(edges[bin + 2] as double) as high, count(*) as n, count(*) * 86400.0 / 7 / (edges[bin + 2] - edges[bin + 1]) as rate from e, l where bin is not null group by bin, edges""",
@@ -246,6 +256,7 @@ def led(spark, sf):
     return records.led_calibration(pulses, (20, 28), (0, 10))
 
 
+@rounded("amplitude_led amplitude_noise area")
 @query(f"{_LED} select * from c", "v_waves")
 def m11_led_calibration(spark, sf):
     return led(spark, sf).drop("run_id")
@@ -274,6 +285,7 @@ def g13_classification_counts(spark, sf):
 _POINTS = "pts as (select channel, time, i, x, time + i * 10 as tick from (select *, unnest(data) as x, unnest(range(0, 64)) as i from v_waves where time >= 1000 and time < 100000))"
 
 
+@rounded("pe_per_ns")
 @query(
     f"""with {_POINTS}, s as (select (tick - 1000) // 10 as time_bin, channel, sum(x) / 10.0 as v from pts where tick < 100000 group by all),
 g as (select distinct time_bin, cast(c as int) as channel from s, unnest(range(0, 10)) as t(c)) select time_bin, channel, coalesce(v, 0) as pe_per_ns from g left join s using (time_bin, channel)""",
@@ -283,6 +295,7 @@ def g15_records_matrix(spark, sf):
     return analysis.records_matrix(v_waves(spark, sf), 1000, 100_000, 10, record_length=64)
 
 
+@rounded("pe_per_ns")
 @query(
     """with s as (select (time - 1000) // 640 as time_bin, channel, sum(list_sum(data)) / 640.0 as v from v_waves where time >= 1000 and time < 100000 group by all),
 g as (select distinct time_bin, cast(c as int) as channel from s, unnest(range(0, 10)) as t(c)) select time_bin, channel, coalesce(v, 0) as pe_per_ns from g left join s using (time_bin, channel)""",
@@ -297,6 +310,7 @@ def g16_raw_records_matrix(spark, sf):
     return analysis.raw_records_matrix(v_fragments(spark, sf), 0, 100_000, 10, record_length=16)
 
 
+@rounded("livetime")
 @query(
     """with t as (select run_id, (max_by(endtime, time) - min(time)) / 1e6 as span from v_peaks group by run_id),
 r as (select distinct run_id, cast(run_id as int) % 3 as k from v_peaks)
@@ -344,6 +358,7 @@ def m9_assemble_pulse(spark, sf):
     return out.select("channel", "pulse_start", "n_fragments", total.alias("total"), F.size("data").alias("n"))
 
 
+@rounded("seconds pe_per_ns")
 @query(
     """select peak_id, cast(i as int) as i, (time + i * 10) / 1e9 as seconds, data[least(i, 63) + 1] / 10.0 as pe_per_ns from (select *, unnest(range(0, 65)) as i from v_waves where peak_id < 100)""",
     "v_waves",
@@ -352,6 +367,7 @@ def m19_waveform_points(spark, sf):
     return peaks.waveform_points(v_waves(spark, sf).where("peak_id < 100"))
 
 
+@rounded("area")
 @query("select time, channel, area * [1.0, 1.5, 0.5, 2.0, 1.0, 1.0, 0.25][channel + 1] as area from v_peaks", "v_peaks")
 def m24_gain_to_pe(spark, sf):
     return records.gain_to_pe(v_peaks(spark, sf), [1.0, 1.5, 0.5, 2.0, 1.0, 1.0, 0.25]).select("time", "channel", "area")

@@ -29,6 +29,23 @@ def query(sql: str | None = None, views: str = ""):
     return add
 
 
+def rounded(columns: str, digits: int = 6):
+    """Rounds columns of a registered query in both forms: sums of doubles depend on the order of their terms."""
+    names = columns.split()
+
+    def change(f):
+        def query_rounded(spark, sf_dir):
+            return f(spark, sf_dir).withColumns({c: F.round(c, digits) for c in names})
+
+        QUERIES[f.__name__] = query_rounded
+        if f.__name__ in ORACLES:
+            parts = ", ".join(f'round("{c}", {digits}) as "{c}"' for c in names)
+            ORACLES[f.__name__] = f"select * replace ({parts}) from (\n{ORACLES[f.__name__]}\n)"
+        return f
+
+    return change
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

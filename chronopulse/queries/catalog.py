@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import catalog
 from ..sources import io
-from .base import query, table, v_entries, v_peaks, v_runs
+from .base import query, rounded, table, v_entries, v_peaks, v_runs
 
 
 def _has(host: str | None = None, kind: str | None = None) -> str:
@@ -27,12 +27,14 @@ _J8 = """case when n between 100 and 900 then '000100-000900' when n between 500
 _J8V = "case when n between 100 and 900 then 1.5 when n between 500 and 1500 then 2.5 when n = 2000 then 3.5 when n >= 2001 then 4.5 end"
 
 
+@rounded("value")
 @query(f"select lpad(cast(n as varchar), 6, '0') as run_id, {_J8} as range, cast({_J8V} as double) as value from (select number as n from v_runs)", "v_runs")
 def j8_correction_for_run(spark, sf):
     runs = v_runs(spark, sf).select(io.run_key(F.col("number")).alias("run_id"))
     return catalog.correction_for_run(runs, corrections(spark), missing="null")
 
 
+@rounded("elife gain")
 @query(f"select lpad(cast(n as varchar), 6, '0') as run_id, cast({_J8V} as double) as elife, 7.0::double as gain from (select number as n from v_runs)", "v_runs")
 def j9_correction_version(spark, sf):
     index = spark.createDataFrame([("elife", "elife_v0.json", None), ("gain", None, 7.0), ("skipped", None, None)], "name string, file string, value double")
@@ -170,6 +172,7 @@ def m16_run_targets(spark, sf):
     return catalog.run_targets(v_runs(spark, sf)).select("number", F.array_join("targets", ",").alias("targets"))
 
 
+@rounded("duration")
 @query("""select number, cast(epoch_ms("end") - epoch_ms(start) as double) / 1000 as duration, epoch_us(start) as start_us from v_runs""", "v_runs")
 def m17_run_duration(spark, sf):
     ms = lambda c: F.unix_millis(c).alias(f"{c}_ms")

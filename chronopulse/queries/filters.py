@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from ..operators import events as ev
 from ..operators import filters, peaks
 from ..schemas import with_sentinels
-from .base import query, v_ext, v_fragments, v_light, v_peaks, v_waves
+from .base import query, rounded, v_ext, v_fragments, v_light, v_peaks, v_waves
 
 
+@rounded("area")
 @query("select peak_id, channel, area from v_peaks where channel in (0, 3, 4)", "v_peaks")
 def f1_select_channels(spark, sf):
     return filters.select_channels(v_peaks(spark, sf), (0, 3, 4)).select("peak_id", "channel", "area")
@@ -33,7 +34,7 @@ def f3_to_epoch(spark, sf):
 
 
 @query(
-    "select time, channel, list_sum(list_transform(data, lambda x: case when channel in (1, 3, 5) then -x else x end)) as total from v_fragments",
+    "select time, channel, cast(list_sum(list_transform(data, lambda x: case when channel in (1, 3, 5) then -x else x end)) as bigint) as total from v_fragments",
     "v_waves v_fragments",
 )
 def f4_apply_polarity(spark, sf):
@@ -65,6 +66,7 @@ def f7_zero_out_of_bounds(spark, sf):
     return out.select("peak_id", F.aggregate("data", F.lit(0).cast("bigint"), lambda s, x: s + x).alias("total"), F.size("data").alias("n"))
 
 
+@rounded("area")
 @query("select channel < 5 as first_part, count(*) as n, sum(area) as area from v_peaks group by 1", "v_peaks")
 def f8_split_by(spark, sf):
     a, b = filters.split_by(v_peaks(spark, sf), 5)
@@ -91,16 +93,19 @@ def f9_classify_peaks_aux(spark, sf):
     return filters.classify_peaks(v_peaks(spark, sf), mode="aux").select("peak_id", "type")
 
 
+@rounded("area")
 @query("select peak_id, area from v_peaks where type = 2 and area > 10", "v_peaks")
 def f10_trigger_peaks(spark, sf):
     return filters.trigger_peaks(v_peaks(spark, sf)).select("peak_id", "area")
 
 
+@rounded("area")
 @query("select ext_id, area from v_ext where area > 446 and area < 576", "v_ext")
 def f11_absorption_window(spark, sf):
     return filters.absorption_window(v_ext(spark, sf)).select("ext_id", "area")
 
 
+@rounded("cs1 cs2")
 @query(
     "select peak_id, greatest(case when type = 1 then area else 0 end, 0.9) as cs1, greatest(case when type = 2 then area else 0 end, 0.9) as cs2 from v_peaks",
     "v_peaks",
@@ -112,6 +117,7 @@ def f12_scatter_view(spark, sf):
     return filters.scatter_view(area)
 
 
+@rounded("fraction_off")
 @query(
     "select peak_id, 1 - list_sum(area_per_channel[1:5]) / area as fraction_off from v_light where area > 0 and abs(list_sum(area_per_channel[1:5]) - area) > 1e-8 + 1e-4 * area",
     "v_light",
@@ -144,6 +150,7 @@ def t2_largest_peaks_per_event(spark, sf):
     return ev.largest_peaks_per_event(rows, 2).select("run_id", "event_number", "peak_id", "index", "rank")
 
 
+@rounded("area")
 @query("select peak_id, time, area from v_peaks order by area desc, peak_id limit 100", "v_peaks")
 def t3_largest_peaks(spark, sf):
     return peaks.largest_peaks(v_peaks(spark, sf), 100).select("peak_id", "time", "area")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
-from .base import query, table, v_peaks
+from .base import query, rounded, table, v_peaks
 
 
+@rounded("y")
 @query("select peak_id, 2 * power(area, 3) - power(area, 2) + 0.5 * area - 7 as y from v_peaks where area < 50", "v_peaks")
 def m1_poly(spark, sf):
     return v_peaks(spark, sf).where("area < 50").select("peak_id", c.poly(F.col("area"), (2, -1, 0.5, -7)).alias("y"))

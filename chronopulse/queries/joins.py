@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import events as ev
 from ..operators import filters, intervals
 from ..schemas import Corrections, EventConfig
-from .base import SLAB, query, v_ext, v_peaks, v_waves
+from .base import SLAB, query, rounded, v_ext, v_peaks, v_waves
 from .windows import EVENTS_SQL, v_events
 
 CONFIG = EventConfig(left_extension=500_000_000, right_extension=50_000_000, max_drift_length=10.0, drift_velocity=10.0 / 400_000_000)
@@ -89,11 +89,13 @@ def basics(spark, sf):
     return ev.event_basics(v_events(spark, sf), v_peaks(spark, sf), CONFIG, slab=SLAB)
 
 
+@rounded("s1_area alt_s1_area s2_area alt_s2_area area_before_main_s2 large_s2_before_main_s2")
 @query(f"with {_BASICS} select * from basics", "v_peaks")
 def g7_event_basics(spark, sf):
     return basics(spark, sf).select(*_SHOWN)
 
 
+@rounded("area_before_main_s2 large_s2_before_main_s2")
 @query(
     f"with {_BASICS} select run_id, event_number, area_before_main_s2, large_s2_before_main_s2 from basics where s2_index is not null", "v_peaks"
 )
@@ -111,11 +113,13 @@ def areas(spark, sf):
     return ev.corrected_areas(basics(spark, sf).withColumn("z", z), Corrections(elife=300_000_000.0))
 
 
+@rounded("z cs1 cs2 alt_cs1 alt_cs2")
 @query(_INFO, "v_peaks")
 def m4_corrected_areas(spark, sf):
     return areas(spark, sf).select("run_id", "event_number", "z", "cs1", "cs2", "alt_cs1", "alt_cs2")
 
 
+@rounded("s1_area s2_area cs2")
 @query(
     f"""with {_BASICS} select run_id, event_number, n_peaks, s1_area, s2_area, drift_time, s2_area * exp(drift_time / 300000000.0) as cs2 from basics""", "v_peaks"
 )
@@ -143,6 +147,7 @@ def event_coincidences(spark, sf):
     return ev.event_coincidences(rows, v_ext(spark, sf), 120_000_000, slab=SLAB).select("run_id", "event_number", "s1_time", "is_coinc")
 
 
+@rounded("x y alt_x alt_y r z")
 @query(
     f"""with {_BASICS} select run_id, event_number, s1_area / 100 as x, s2_area / 100 as y, alt_s1_area / 100 as alt_x, alt_s2_area / 100 as alt_y,
 sqrt(power(s1_area / 100, 2) + power(s2_area / 100, 2)) as r, -50.5 / (39500.0 - 3000.0) * (drift_time - 3000.0) as z from basics""",

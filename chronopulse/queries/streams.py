@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..streaming import streams as st
-from .base import query, v_ext, v_fragments, v_peaks
+from .base import query, rounded, v_ext, v_fragments, v_peaks
 
 _FRAGMENTS = "v_waves v_fragments"
 
@@ -98,6 +98,7 @@ def x5_stream_coincidences(spark, sf):
     return spark.read.parquet(f"{root}/out").select("run_id", "peak_id")
 
 
+@rounded("baseline")
 @query(
     """with own as (select *, case when record_i = 0 then list_avg(data) end as b from v_fragments)
 select run_id, channel, time, record_i, last_value(b ignore nulls) over (partition by run_id, channel order by time, record_i rows between unbounded preceding and current row) as baseline from own""",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import events as ev
 from ..operators import filters, intervals, records
-from .base import SLAB, query, v_fragments, v_peaks
+from .base import SLAB, query, rounded, v_fragments, v_peaks
 
 _FRAGMENTS = "v_waves v_fragments"
 
@@ -29,6 +29,7 @@ filled as (select *, last_value(b ignore nulls) over w as baseline, last_value(r
 select time, channel, record_i, baseline, baseline_rms, cast(-list_sum(list_transform(data, lambda x: x - trunc(baseline))) as bigint) as area from filled"""
 
 
+@rounded("baseline baseline_rms")
 @query(_W2, _FRAGMENTS)
 def w2_baseline(spark, sf):
     rows = records.integrate(records.baseline(v_fragments(spark, sf), slab=20_000))
