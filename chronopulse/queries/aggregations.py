@@ -88,9 +88,21 @@ def g5_sum_waveform(spark, sf):
     return waves.select("peak_id", "area", F.array_max("data").alias("height"), lit.alias("n_samples"))
 
 
-@query()
+_M6 = """
+with s as (select peak_id, i, x, sum(x) over (partition by peak_id order by i) as c, sum(x) over (partition by peak_id) as total
+  from (select peak_id, unnest(data) as x, unnest(range(1, 65)) as i from v_waves)),
+q as (select distinct peak_id, k, cast(total as double) * k / 20 as target from s, unnest(range(0, 21)) as r(k)),
+t as (select peak_id, k, case when k = 0 then 0.0 else min_by((i - 1 + (target - (c - x)) / x) * 10, i) filter (c >= target) end as t from q join s using (peak_id) group by peak_id, k),
+p as (select peak_id, max(t) filter (k = 15) - max(t) filter (k = 5) as w5, max(t) filter (k = 19) - max(t) filter (k = 1) as w9, max(t) filter (k = 2) - max(t) filter (k = 10) as d1 from t group by peak_id)
+select * from p"""
+
+
+@rounded("w5 w9 d1")
+@query(_M6, "v_waves")
 def m6_peak_widths(spark, sf):
-    return kernels.peak_widths(v_waves(spark, sf)).select("peak_id", "width", "area_decile_from_midpoint")
+    out = kernels.peak_widths(v_waves(spark, sf))
+    w, d = F.col("width"), F.col("area_decile_from_midpoint")
+    return out.select("peak_id", F.get(w, F.lit(5)).alias("w5"), F.get(w, F.lit(9)).alias("w9"), F.get(d, F.lit(1)).alias("d1"))
 
 
 @query()
@@ -98,7 +110,12 @@ def m22_split_peaks(spark, sf):
     return kernels.split_peaks(v_waves(spark, sf), 100.0, 4.0).select("peak_id", "part", "time", "endtime", "length", "area")
 
 
-@query()
+@query(
+    """select peak_id, cast(sum(case when near >= 200 then x else 0 end) as bigint) as area from (
+  select peak_id, x, max(x) over (partition by peak_id order by i rows between 20 preceding and 3 following) as near
+  from (select peak_id, unnest(data) as x, unnest(range(0, 64)) as i from v_waves)) group by peak_id""",
+    "v_waves",
+)
 def m23_cut_outside_hits(spark, sf):
     out = kernels.cut_outside_hits(v_waves(spark, sf), 200.0, 3, 20)
     return out.select("peak_id", F.aggregate("data", F.lit(0).cast("bigint"), lambda s, x: s + x).alias("area"))
@@ -305,7 +322,16 @@ def g15_records_matrix_coarse(spark, sf):
     return analysis.records_matrix(v_waves(spark, sf), 1000, 100_000, 10, record_length=64, max_samples=160)
 
 
-@query()
+@rounded("pe_per_ns")
+@query(
+    """with own as (select *, case when record_i = 0 then list_avg(data) end as b from v_fragments),
+f as (select *, last_value(b ignore nulls) over (partition by channel order by time, record_i rows between unbounded preceding and current row) as base from own),
+pts as (select channel, time + i * 10 as tick, -(x - trunc(base)) as v from (
+  select channel, time, base, unnest(data) as x, unnest(range(0, 16)) as i from f where time >= 0 and time < 100000)),
+s as (select tick // 10 as time_bin, channel, sum(v) / 10 as v from pts where tick < 100000 group by all),
+g as (select distinct time_bin, cast(c as int) as channel from s, unnest(range(0, 10)) as t(c)) select time_bin, channel, coalesce(v, 0) as pe_per_ns from g left join s using (time_bin, channel)""",
+    _FRAGMENTS,
+)
 def g16_raw_records_matrix(spark, sf):
     return analysis.raw_records_matrix(v_fragments(spark, sf), 0, 100_000, 10, record_length=16)
 
