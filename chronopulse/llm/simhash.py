@@ -71,8 +71,8 @@ class Pigeonhole:
     """Keys of all choices of `blocks - distance` (or fewer: `choose`) blocks of a 64-bit fingerprint."""
 
     distance: int = 4
-    blocks: int = 6
-    choose: int = 2
+    blocks: int = 7
+    choose: int = 3
 
     def __post_init__(self):
         if not 1 <= self.choose <= self.blocks - self.distance:
@@ -95,8 +95,8 @@ class Pigeonhole:
 class Sampled:
     """`tables` keys of `bits` randomly drawn fingerprint bits each."""
 
-    tables: int = 96
-    bits: int = 22
+    tables: int = 128
+    bits: int = 24
     n_words: int = 4
     seed: int = 42
 
