@@ -99,8 +99,9 @@ def paths(chosen: DataFrame, jumps: list[DataFrame]) -> DataFrame:
     for k in reversed(range(len(jumps))):
         jump = jumps[k].select(F.col("tree_id").alias("t"), F.col("id").alias("from"), F.col("up").alias("to"))
         same = F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("id") == F.col("from"))
-        higher = found.join(jump, same).select("tree_id", "leaf", (F.col("position") - 2**k).alias("position"), F.col("to").alias("id"))
-        found = found.unionByName(higher)
+        above = F.struct((F.col("position") - 2**k).alias("position"), F.col("to").alias("id"))
+        both = F.array_compact(F.array(F.struct("position", "id"), F.when(F.col("to").isNotNull(), above)))
+        found = found.join(jump, same, "left").select("tree_id", "leaf", F.explode(both).alias("m")).select("tree_id", "leaf", "m.*")
     return found
 
 
