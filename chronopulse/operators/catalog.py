@@ -203,9 +203,9 @@ def daq_settings(docs: DataFrame) -> DataFrame:
     ns = lambda x: (x * 1_000_000_000).cast("bigint")
     return docs.select(
         "number",
-        F.call_function("div", c["strax_fragment_payload_bytes"], F.lit(2)).cast("int").alias("record_length"),
-        ns(c["strax_chunk_length"]).alias("chunk_ns"),
-        ns(c["strax_chunk_overlap"]).alias("overlap_ns"),
+        F.call_function("div", c["fragment_payload_bytes"], F.lit(2)).cast("int").alias("record_length"),
+        ns(c["chunk_length"]).alias("chunk_ns"),
+        ns(c["chunk_overlap"]).alias("overlap_ns"),
         F.unix_seconds("start").alias("start_s"),
         c["processing_threads"].alias("threads"),
     )

@@ -185,7 +185,7 @@ def m17_run_duration(spark, sf):
     "v_runs",
 )
 def m25_daq_settings(spark, sf):
-    config = F.struct(F.lit(440).alias("strax_fragment_payload_bytes"), F.lit(5.0).alias("strax_chunk_length"), F.lit(0.5).alias("strax_chunk_overlap"), F.create_map(F.lit("reader0"), F.lit(2)).alias("processing_threads"))
+    config = F.struct(F.lit(440).alias("fragment_payload_bytes"), F.lit(5.0).alias("chunk_length"), F.lit(0.5).alias("chunk_overlap"), F.create_map(F.lit("reader0"), F.lit(2)).alias("processing_threads"))
     return catalog.daq_settings(v_runs(spark, sf).withColumn("daq_config", config)).drop("threads")
 
 

@@ -61,12 +61,12 @@ RUN_DOCUMENT = T.StructType(
             "daq_config",
             T.StructType(
                 [
-                    T.StructField("strax_output_path", T.StringType()),
+                    T.StructField("output_path", T.StringType()),
                     T.StructField("processing_threads", T.MapType(T.StringType(), T.IntegerType())),
                     T.StructField("registers", T.ArrayType(T.StructType([T.StructField("reg", T.StringType()), T.StructField("val", T.StringType())]))),
-                    T.StructField("strax_fragment_payload_bytes", T.IntegerType()),
-                    T.StructField("strax_chunk_length", T.DoubleType()),
-                    T.StructField("strax_chunk_overlap", T.DoubleType()),
+                    T.StructField("fragment_payload_bytes", T.IntegerType()),
+                    T.StructField("chunk_length", T.DoubleType()),
+                    T.StructField("chunk_overlap", T.DoubleType()),
                     T.StructField("compressor", T.StringType()),
                 ]
             ),

@@ -7,6 +7,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import run_key as run_key
 from ..schemas import FRAGMENT, RUN_DOCUMENT
@@ -22,9 +23,18 @@ def concat_chunks(fragments: DataFrame) -> DataFrame:
     return fragments.dropDuplicates(["run_id", "channel", "time", "record_i"])
 
 
-def read_run_docs(spark: SparkSession, path: str, fields: list[str] | None = None, number: int | None = None) -> DataFrame:
-    """Run documents (JSON lines); fields may be nested paths. An absent mode becomes empty."""
-    docs = spark.read.schema(RUN_DOCUMENT).json(path).withColumn("mode", F.coalesce("mode", F.lit("")))
+def read_run_docs(spark: SparkSession, path: str, fields: list[str] | None = None, number: int | None = None, prefix: str = "") -> DataFrame:
+    """Run documents (JSON lines); fields may be nested paths. An absent mode becomes empty.
+
+    prefix stands before the names of some acquisition settings in the files (output_path, fragment_payload_bytes,
+    chunk_length, chunk_overlap) and is taken off.
+    """
+    settings = RUN_DOCUMENT["daq_config"].dataType
+    named = ("output_path", "fragment_payload_bytes", "chunk_length", "chunk_overlap")
+    stored = T.StructType([T.StructField(prefix + f.name if f.name in named else f.name, f.dataType) for f in settings])
+    schema = T.StructType([T.StructField(f.name, stored) if f.name == "daq_config" else f for f in RUN_DOCUMENT])
+    docs = spark.read.schema(schema).json(path)
+    docs = docs.withColumns({"mode": F.coalesce("mode", F.lit("")), "daq_config": F.col("daq_config").cast(settings)})
     if number is not None:
         docs = docs.where(F.col("number") == number)
     return docs.select(*[F.col(f).alias(f.replace(".", "_")) for f in fields]) if fields else docs

@@ -239,10 +239,10 @@ def test_files(spark, tmp_path):
     assert rows(io.read_run_list(spark, str(tmp_path / "list.txt")), "run_id") == [("000012",), ("000345",)]
     (tmp_path / "log.csv").write_text("run,notes\n3,hello\n")
     assert io.read_measurements(spark, str(tmp_path / "log.csv")).first()["notes"] == "hello"
-    (tmp_path / "runs.json").write_text('{"number": 3, "daq_config": {"strax_chunk_length": 5.0, "strax_fragment_payload_bytes": 220}}\n{"number": 4, "mode": "x"}\n')
-    docs = io.read_run_docs(spark, str(tmp_path / "runs.json"))
+    (tmp_path / "runs.json").write_text('{"number": 3, "daq_config": {"daq_chunk_length": 5.0, "daq_fragment_payload_bytes": 220, "compressor": "zstd"}}\n{"number": 4, "mode": "x"}\n')
+    docs = io.read_run_docs(spark, str(tmp_path / "runs.json"), prefix="daq_")
     assert rows(docs, "number", "mode") == [(3, ""), (4, "x")] and catalog.daq_settings(docs).where("number = 3").first()["record_length"] == 110
-    assert io.read_run_docs(spark, str(tmp_path / "runs.json"), ["number", "daq_config.strax_chunk_length"], 3).columns == ["number", "daq_config_strax_chunk_length"]
+    assert io.read_run_docs(spark, str(tmp_path / "runs.json"), ["number", "daq_config.chunk_length"], 3).columns == ["number", "daq_config_chunk_length"]
     df = spark.createDataFrame([("000001", 1), ("000002", 2)], "run_id string, x int")
     path = io.write_dataset(df, str(tmp_path / "out"), "peaks", {"gap": 300})
     io.write_dataset(df.where("x = 2").withColumn("x", F.lit(9)), str(tmp_path / "out"), "peaks", {"gap": 300})
