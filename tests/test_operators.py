@@ -250,6 +250,8 @@ def test_files(spark, tmp_path):
     assert rows(back, "x") == [(1,), (9,)]
     kinds = io.file_inventory(back).collect()
     assert sum(r["n_rows"] for r in kinds) == 2
+    stored = io.dataset_inventory(back).collect()
+    assert {(r["run_id"], r["data_type"], r["n_files"]) for r in stored} == {("000001", "peaks", 1), ("000002", "peaks", 1)} and stored[0]["mb"] > 0
     wanted = spark.createDataFrame([("000001",), ("000003",)], "run_id string")
     assert rows(io.missing_runs(wanted, back.withColumn("run_id", F.lpad(F.col("run_id").cast("string"), 6, "0"))), "run_id") == [("000003",)]
 
