@@ -144,6 +144,9 @@ def test_imatch_edited_text_and_likeness(spark):
         mean = lambda c: np.mean([r[c] for r in got.values()])
         assert mean("near_edited") > mean("near_next") + 0.1
     assert imatch.compare_edited(frame.limit(0), words).count() == 0
+    more = spark.createDataFrame([(None, "w1é w2é", 1), (None, "w1é w2é", 1), (7, "w3é", 1)], frame.schema)  # null and repeated ids
+    got = imatch.compare_edited(frame.unionByName(more), words, per_bucket=5)
+    assert got.count() == len(docs) + 3 and got.where("doc_id is null").count() == 2
     one = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     assert imatch.compare_edited(one, words).count() == 1
 
