@@ -73,6 +73,7 @@ class Pigeonhole:
     distance: int = 4
     blocks: int = 7
     choose: int = 3
+    rounds: tuple[int | None, ...] = (None,)
 
     def __post_init__(self):
         if not 1 <= self.choose <= self.blocks - self.distance:
@@ -99,6 +100,7 @@ class Sampled:
     bits: int = 24
     n_words: int = 4
     seed: int = 42
+    rounds: tuple[int | None, ...] = (8, 32, None)
 
     def __call__(self, words64: np.ndarray) -> np.ndarray:
         rng = np.random.default_rng(self.seed)
@@ -139,6 +141,10 @@ def components(prints: DataFrame, keys, distance: int, n_words: int = 1) -> Data
     """(fingerprint, component_id) for every distinct fingerprint of prints (doc_id, fingerprint).
 
     component_id is the smallest doc_id whose fingerprint is reachable over links of at most `distance` bits.
+
+    In rounds over the first keys.rounds[i] keys of each fingerprint, only keys that hold several components so far
+    count, and their members are verified against one head each; last, all pairs of different components that share a
+    key are. So a dense group merges early and costs no pairs, and no pair that could change a component is left out.
     """
     same = prints.where("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("rep"))
 
@@ -146,14 +152,18 @@ def components(prints: DataFrame, keys, distance: int, n_words: int = 1) -> Data
     def words_udf(hexes: pd.Series) -> pd.Series:
         return pd.Series(list(_words_of(hexes).view("<i8")) if len(hexes) else [], dtype=object)
 
-    @F.pandas_udf("array<bigint>")
-    def keys_udf(hexes: pd.Series) -> pd.Series:
-        return pd.Series(list(keys(_words_of(hexes)).view("<i8")) if len(hexes) else [], dtype=object)
-
     reps = cut(same.select("rep", "fingerprint", words_udf("fingerprint").alias("w")))
-    keyed = reps.select("rep", F.explode(keys_udf("fingerprint")).alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1")
-    members = cut(keyed.join(shared.select("key", "head"), "key"))
+
+    def mixed(state: DataFrame, tables: int | None) -> tuple[DataFrame, DataFrame]:
+        """(key, rep, component) of each fingerprint's first keys; and, of keys with several components, one head."""
+
+        @F.pandas_udf("array<bigint>")
+        def keys_udf(hexes: pd.Series) -> pd.Series:
+            return pd.Series(list(keys(_words_of(hexes))[:, :tables].view("<i8")) if len(hexes) else [], dtype=object)
+
+        rows = state.select("rep", "component", F.explode(keys_udf("fingerprint")).alias("key"))
+        heads = rows.groupBy("key").agg(F.min(F.struct("component", "rep")).alias("head"), F.max("component").alias("last"))
+        return rows, heads.where("head.component <> last").select("key", "head")
 
     def verified(pairs: DataFrame) -> DataFrame:
         a = reps.select(F.col("rep").alias("a"), F.col("w").alias("wa"))
@@ -161,19 +171,23 @@ def components(prints: DataFrame, keys, distance: int, n_words: int = 1) -> Data
         close = _hamming(F.col("wa"), F.col("wb"), n_words) <= distance
         return pairs.distinct().join(a, "a").join(b, "b").where(close).select("a", "b")
 
-    to_head = cut(verified(members.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b"))))
-    first = cut(connected_components(to_head))
-    named = members.select("key", "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    open_keys = cut(named.join(mixed.select("key"), "key"))
-    left = open_keys.select("key", F.col("rep").alias("a"), F.col("component").alias("ca"))
-    right = open_keys.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"))
+    def labelled(edges: DataFrame) -> DataFrame:
+        found = connected_components(edges).withColumnRenamed("node", "rep")
+        return reps.join(found, "rep", "left").select("rep", "fingerprint", F.coalesce("component", "rep").alias("component"))
+
+    state, edges = reps.withColumn("component", F.col("rep")), None
+    for tables in keys.rounds:
+        rows, heads = mixed(state, tables)
+        pairs = rows.join(heads, "key").where("component <> head.component").select(F.col("head.rep").alias("a"), F.col("rep").alias("b"))
+        found = cut(verified(pairs))
+        edges = found if edges is None else edges.unionByName(found)
+        state = cut(labelled(edges))
+    rows, heads = mixed(state, None)
+    left_open = cut(rows.join(heads.select("key"), "key"))
+    left = left_open.select("key", F.col("rep").alias("a"), F.col("component").alias("ca"))
+    right = left_open.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"))
     across = verified(left.join(right, "key").where("ca < cb").select("a", "b"))
-    final = connected_components(to_head.unionByName(across))
-    return reps.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "fingerprint", F.coalesce("component", "rep").alias("component_id")
-    )
+    return labelled(edges.unionByName(across)).select("fingerprint", F.col("component").alias("component_id"))
 
 
 def near_duplicates(
