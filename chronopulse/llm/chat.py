@@ -72,15 +72,14 @@ def branches(messages: DataFrame, best: int | None = None) -> tuple[DataFrame, l
         jumps.append(state.where("up is not null").select("tree_id", "id", "up"))
         above = state.select(*[F.col(c).alias(f"a_{c}") for c in state.columns])
         same = F.col("tree_id").eqNullSafe(F.col("a_tree_id")) & (F.col("up") == F.col("a_id"))
-        state = cut(
-            state.join(above, same, "left").select(
-                "tree_id",
-                "id",
-                F.col("a_up").alias("up"),
-                (F.col("n") + F.coalesce("a_n", F.lit(0))).alias("n"),
-                (F.col("s") + F.coalesce("a_s", F.lit(0.0))).alias("s"),
-            )
+        moved = state.where("up is not null").join(above, same, "left").select(
+            "tree_id",
+            "id",
+            F.col("a_up").alias("up"),
+            (F.col("n") + F.coalesce("a_n", F.lit(0))).alias("n"),
+            (F.col("s") + F.coalesce("a_s", F.lit(0.0))).alias("s"),
         )
+        state = cut(state.where("up is null").unionByName(moved))  # messages that know their root wait
     same = F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("id") == F.col("p"))
     leaves = state.where("up is null").join(children, same, "left_anti")
     leaves = leaves.select("tree_id", F.col("id").alias("leaf"), "n", (F.col("s") / F.col("n")).alias("score"))
