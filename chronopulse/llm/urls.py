@@ -3,7 +3,8 @@
 The tree's first level is the host, the next ones are path segments. Segments that vary (numbers, hashes, dates, or
 more different ones under one parent than a limit) become wildcards; sibling branches whose labelled shares of blocked
 urls do not differ significantly merge into a wildcard; a template is rejected if its smoothed labelled purity, the
-share of its labelled urls that are blocked, reaches a threshold.
+share of its labelled urls that are blocked, reaches a threshold. Unlabelled branches join siblings that merge; other
+templates without labels inherit from the nearest ancestor, the host at last, with at least two labelled branches.
 """
 
 from __future__ import annotations
@@ -86,8 +87,10 @@ def templates(urls: DataFrame, config: TreeConfig = TreeConfig()) -> DataFrame:
     """The tree of urls (host, path, label), label 1 blocked, 0 allowed, null unknown; any other columns are ignored.
 
     Returns one row per host and distinct generalised path: host, raw (its segments), template (its final segments),
-    n, blocked (labelled urls of the template and the blocked ones among them), purity, rejected. Equal urls count as
-    often as they occur. Urls collapse to distinct generalised paths before anything else, with partial sums, so a
+    level, n, blocked, purity, rejected. level is the number of the template's first segments whose labels decide: all
+    of them if the template has labels, else those of its nearest ancestor (0: the host) with at least two labelled
+    branches, as a single branch does not tell how others are; null if there is none. n and blocked count the labelled
+    urls there and the blocked ones among them. Equal urls count as often as they occur. Urls collapse to distinct generalised paths before anything else, with partial sums, so a
     host with most of all urls costs no more than its distinct paths.
     """
     label = F.col("label")
@@ -104,12 +107,31 @@ def templates(urls: DataFrame, config: TreeConfig = TreeConfig()) -> DataFrame:
     totals = cut(totals)
     n, b = totals.agg(F.sum("t_n"), F.sum("t_b")).first()
     prior = b / n if n else 0.0
-    purity = (F.col("t_b") + config.prior_weight * prior) / (F.col("t_n") + config.prior_weight)
-    rejected = (purity >= config.purity) & (F.col("t_n") >= config.least_labelled)
-    totals = totals.select("host", "template", F.col("t_n").alias("n"), F.col("t_b").alias("blocked"), purity.alias("purity"), rejected.alias("rejected"))
+    totals = totals.join(_inherited(tree, totals), ["host", "template"], "left")
+    own = F.col("t_n") > 0
+    level = F.when(own, F.size("template")).otherwise(F.col("from.level"))
+    n = F.when(own, F.col("t_n")).otherwise(F.coalesce("from.n", F.lit(0)))
+    b = F.when(own, F.col("t_b")).otherwise(F.coalesce("from.b", F.lit(0)))
+    totals = totals.select("host", "template", level.alias("level"), n.alias("n"), b.alias("blocked"))
+    purity = (F.col("blocked") + config.prior_weight * prior) / (F.col("n") + config.prior_weight)
+    rejected = (F.col("purity") >= config.purity) & (F.col("n") >= config.least_labelled)
+    totals = totals.withColumn("purity", purity).withColumn("rejected", rejected)
     return tree.select("host", "raw", "template").join(totals, ["host", "template"])
 
 
+def _inherited(tree: DataFrame, totals: DataFrame) -> DataFrame:
+    """(host, template, from: level, n, b of the nearest ancestor with two labelled branches) of unlabelled templates."""
+    branch = F.coalesce(F.get("raw", F.col("level")), F.lit(""))
+    labelled = tree.where("n > 0").withColumn("level", F.explode(F.sequence(F.lit(0), F.size("template"))))
+    prefix = F.slice("template", F.lit(1), F.col("level")).alias("prefix")
+    ancestors = labelled.select("host", prefix, branch.alias("branch"), "n", "b").groupBy("host", "prefix")
+    ancestors = ancestors.agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.min("branch").alias("x"), F.max("branch").alias("y"))
+    ancestors = ancestors.where("x <> y").select("host", "prefix", "n", "b")
+    without = totals.where("t_n = 0").withColumn("level", F.explode(F.sequence(F.lit(0), F.size("template"))))
+    found = without.select("host", "template", "level", prefix).join(ancestors, ["host", "prefix"])
+    return found.groupBy("host", "template").agg(F.max(F.struct("level", "n", "b")).alias("from"))
+
+
 def _at(level: int) -> Column:
     return F.get("template", F.lit(level))
 
@@ -143,10 +165,9 @@ def _merge(tree: DataFrame, level: int, limit: float) -> DataFrame:
     alike = siblings.where((F.col("k") > 1) & (statistic <= limit * (F.col("k") - 1)))
     alike = alike.select(F.col("host").alias("h"), F.col("starred").alias("s"))
     same = (F.col("host") == F.col("h")) & (_starred(level) == F.col("s")) & (F.size("template") > level)
-    # only labelled branches merge: nothing is known about the others
-    labelled = tree.join(alike, same, "left")
-    change = F.col("h").isNotNull() & (F.col("n") > 0)
-    return labelled.withColumn("template", F.when(change, F.col("s")).otherwise(F.col("template"))).drop("h", "s")
+    # branches without labels have no part in the test, but join where at least two labelled ones merge
+    joined = tree.join(alike, same, "left")
+    return joined.withColumn("template", F.when(F.col("h").isNotNull(), F.col("s")).otherwise(F.col("template"))).drop("h", "s")
 
 
 def judge(
@@ -159,8 +180,8 @@ def judge(
 ) -> DataFrame:
     """page id, host, path, rule (its text, else null) and verdict: the longest rule's, else the template tree's.
 
-    Urls that a rule fits serve as labelled ones, as do labels (url, label) if given. A url of a rejected template is
-    blocked, any other allowed; so is a null url or one without "://" (its host and path are empty). One row per row
+    Urls that a rule fits serve as labelled ones, as do labels (url, label) if given. A url of a rejected template, by
+    its own labels or by those it inherits, is blocked, any other allowed; so is a null url or one without "://" (its host and path are empty). One row per row
     of pages; repeated rows stay; an empty table gives no rows.
     """
     url = F.col(f"`{url_col}`")

@@ -238,3 +238,31 @@ def test_url_templates(spark):
     assert tree["a", "about"] == ("*", "about") == tree["c", "about"] and tree["shop", "*", "buy"] == ("shop", "*", "buy")
     many = spark.createDataFrame([("h", f"/u/name{i}/x", None) for i in range(50)], "host string, path string, label int")
     assert {tuple(r["template"]) for r in urls.templates(many).collect()} == {("u", "*", "x")}
+
+
+def test_urls_without_labels_join_siblings_or_inherit(spark):
+    bad = [(f"http://h.io/{k}/about", 1) for k in ("a", "b", "c") for _ in range(4)] + [("http://h.io/d/1/x", 1)] * 4
+    one = [("http://i.io/shop/1", 1)] * 12  # one labelled branch does not tell how others are
+    labels = spark.createDataFrame(bad + one + [("http://j.io/a/1", 0)] * 12, "url string, label int")
+    pages = [(1, "http://h.io/z/about"), (2, "http://h.io/q"), (3, "http://h.io/d/2/y"), (4, "http://i.io/blog/1"), (5, "http://j.io/b/1")]
+    pages = spark.createDataFrame(pages, "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in urls.judge(pages, labels=labels).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow"}
+
+
+def test_rules_as_labels_decide_urls_without_rule(spark):
+    rules = (urls.Rule("block", "h.io", "/a/"), urls.Rule("block", "h.io", "/b/"), urls.Rule("allow", "i.io", "/a/"))
+    pages = [f"http://{h}.io/{s}/{k}" for h in "hi" for s in "abc" for k in range(8)]
+    pages = spark.createDataFrame(list(enumerate(pages)), "page_id long, url string")
+    got = {(r["host"], r["verdict"]) for r in urls.judge(pages, rules=rules).where("rule is null").collect()}
+    assert got == {("h.io", "block"), ("i.io", "allow")}
+
+
+def test_registered_rules_label_one_branch_of_a_host(spark):
+    split = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    split = split.select(urls.host_of(F.col("url")).alias("host"), urls.path_of(F.col("url")).alias("path"))
+    verdict = urls.rule_for(F.col("host"), F.col("path"))[1]
+    ruled = split.withColumn("label", F.when(verdict == "block", 1).when(verdict == "allow", 0)).cache()
+    tree = urls.templates(ruled).select("host", F.col("raw").alias("r"), "level")
+    unruled = ruled.where("label is null").withColumn("r", urls._segments(F.col("path"), urls.TreeConfig().depth))
+    assert unruled.join(tree, ["host", "r"]).agg(F.count("*"), F.count("level")).first() == (1407, 0)  # as the README says
