@@ -1,14 +1,16 @@
 """License scans.
 
-Templates are cut into word shingles whose hashes are winnowed; the kept fingerprints form an inverted index. A
-document's shingles that are in the index vote for a template and a place (their diagonal); around each place a banded
-alignment of template words and document words gives the matched coverage and span.
+An inverted index holds the words of all templates with their places. A document's words vote for the shifts between a
+template and the document; where enough template words lie within the band of a shift to reach the coverage, a banded
+alignment of template words and document words gives the matched coverage and span. Shingles serve no candidates: with
+a word inserted or changed here and there, a notice has the coverage but not one shingle of its template.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
-import zlib
+from bisect import bisect, insort
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -51,11 +53,8 @@ TEMPLATES = {
 
 @dataclass(frozen=True)
 class LicenseConfig:
-    """shingle: words a shingle; window: shingles of which winnowing keeps the least hash; band: words that alignment
-    may shift; least_coverage: share of a template's words that must be matched."""
+    """band: words that alignment may shift; least_coverage: share of a template's words that must be matched."""
 
-    shingle: int = 3
-    window: int = 3
     band: int = 8
     least_coverage: float = 0.8
 
@@ -102,59 +101,91 @@ def align(template: list, found: list, shift: int, band: int) -> tuple[int, int,
 
 
 class LicenseIndex:
-    """Inverted index of winnowed template fingerprints."""
+    """Inverted index of template words."""
 
     def __init__(self, templates: dict[str, str], config: LicenseConfig):
         self.config = config
-        self.templates = {name: words(text) for name, text in templates.items()}
-        self.vocabulary: dict[bytes, int] = {}
-        for found in self.templates.values():
-            for w in found:
-                self.vocabulary.setdefault(w, zlib.crc32(w) or 1)
-        self.places: dict[int, list[tuple[str, int]]] = defaultdict(list)
-        for name, found in self.templates.items():
-            size = min(config.shingle, len(found))
-            hashes = [hash_of(found[k : k + size]) for k in range(len(found) - size + 1)] if found else []
-            for at in winnow(hashes, config.window):
-                self.places[hashes[at]].append((name, at))
+        self.templates = {name: found for name, text in templates.items() if (found := words(text))}
+        self.vocabulary = {w for found in self.templates.values() for w in found}
 
     def find(self, text: str) -> list[dict]:
-        """Matches as template, coverage, start, stop (code points), words matched, in order of start and template."""
+        """Matches as template, coverage, start, stop (code points), words matched, in order of start and template.
+
+        Matches of one template don't overlap: the one of most words comes first (of equals the later start, then the
+        earlier end), then the best one in the words that are left, until no shift has a match in these.
+        """
         found = words(text)
-        codes = np.array([self.vocabulary.get(w, 0) for w in found], dtype=np.int64)
-        runs = np.flatnonzero(np.diff(np.concatenate(([0], (codes != 0).astype(np.int8), [0])))).reshape(-1, 2)
-        votes: dict[str, set[int]] = defaultdict(set)
-        size = self.config.shingle
-        for a, b in runs:
-            for k in range(a, b - size + 1):
-                for name, at in self.places.get(hash_of(found[k : k + size]), ()):
-                    votes[name].add(int(k) - at)
+        present = self.vocabulary.intersection(found)
+        likely = [name for name, t in self.templates.items() if self._enough(sum(w in present for w in t), t)]
+        if not likely:
+            return []
+        at: dict[bytes, list[int]] = defaultdict(list)
+        for j, w in enumerate(found):
+            if w in present:
+                at[w].append(j)
         out, spans = [], None
-        for name, shifts in votes.items():
+        for name in likely:
             template = self.templates[name]
-            for shift in _clusters(sorted(shifts), self.config.band):
-                low = max(0, shift - 2 * self.config.band)
-                high = shift + len(template) + 2 * self.config.band
-                n, first, last = align(template, found[low : max(0, high)], shift - low, self.config.band)
-                if n / len(template) >= self.config.least_coverage:
-                    spans = spans or [m.span() for m in _WORD.finditer(text)]
-                    start, stop = spans[low + first][0], spans[low + last - 1][1]
-                    out.append({"template": name, "coverage": n / len(template), "start": start, "stop": stop, "matched": n})
-        unique = {(m["template"], m["start"], m["stop"]): m for m in out}
-        return [unique[k] for k in sorted(unique, key=lambda k: (k[1], k[0], k[2]))]
-
-
-def hash_of(found: list[bytes]) -> int:
-    return zlib.crc32(b" ".join(found))
-
-
-def _clusters(shifts: list[int], band: int) -> list[int]:
-    """One shift per group of shifts that lie within a band of the group's first."""
-    out: list[int] = []
-    for s in shifts:
-        if not out or s - out[-1] > band:
-            out.append(s)
-    return out
+            for n, first, last in self._select(template, found, self._shifts(template, at, len(found))):
+                spans = spans or [m.span() for m in _WORD.finditer(text)]
+                start, stop = spans[first][0], spans[last - 1][1]
+                out.append({"template": name, "coverage": n / len(template), "start": start, "stop": stop, "matched": n})
+        return sorted(out, key=lambda m: (m["start"], m["template"]))
+
+    def _enough(self, n, template: list[bytes]):
+        return n / len(template) >= self.config.least_coverage
+
+    def _shifts(self, template: list[bytes], at: dict[bytes, list[int]], n_found: int) -> list[int]:
+        """All shifts for which enough template words occur within the band; no other can have a match."""
+        band = self.config.band
+        zero = len(template) - 1 + band
+        votes = np.zeros(n_found + zero + band, dtype=np.int32)
+        for i, w in enumerate(template):
+            if w in at:
+                low = np.array(at[w]) - i + zero - band
+                edges = np.zeros(len(votes) + 1, dtype=np.int32)
+                edges[low] += 1
+                edges[low + 2 * band + 1] -= 1
+                votes += np.cumsum(edges[:-1]) > 0
+        return (np.flatnonzero(self._enough(votes, template)) - zero).tolist()
+
+    def _select(self, template: list[bytes], found: list[bytes], shifts: list[int]) -> list[tuple[int, int, int]]:
+        """(matched words, first, last) of matches that don't overlap, best first.
+
+        A shift is aligned anew only when its match comes up but meets one already selected: matches only get worse as
+        fewer words are left, so the best of the heap is the best of all.
+        """
+        band, taken, heap = self.config.band, [], []
+
+        def push(shift: int) -> None:
+            low, high = max(0, shift - band), min(len(found), shift + len(template) + band)
+            k = max(0, bisect(taken, (low, -1)) - 1)
+            best = (0, 0, 0)
+            while low < high:
+                while k < len(taken) and taken[k][1] <= low:
+                    k += 1
+                stop = min(high, max(low, taken[k][0])) if k < len(taken) else high
+                if stop > low:
+                    n, first, last = align(template, found[low:stop], shift - low, band)
+                    best = max(best, (n, low + first, -(low + last)))
+                low = max(stop, taken[k][1]) if k < len(taken) else high
+            n, first, last = best
+            if n and self._enough(n, template):
+                heapq.heappush(heap, (-n, -first, -last, shift))
+
+        for shift in shifts:
+            push(shift)
+        out = []
+        while heap:
+            n, first, last, shift = heapq.heappop(heap)
+            n, first = -n, -first
+            k = bisect(taken, (first, last))
+            free = (k == 0 or taken[k - 1][1] <= first) and (k == len(taken) or taken[k][0] >= last)
+            if free:
+                insort(taken, (first, last))
+                out.append((n, first, last))
+            push(shift)
+        return out
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, config: LicenseConfig = LicenseConfig(), text_col="text") -> DataFrame:

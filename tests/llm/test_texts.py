@@ -109,6 +109,49 @@ def test_winnowing_keeps_one_of_every_window():
     assert all(kept & set(range(k, k + 4)) for k in range(97)) and licenses.winnow([], 4) == [] and licenses.winnow([3], 4) == [0]
 
 
+def brute_notices(text, band=8, least=0.8):
+    """Alignment at every position; the best match first, then the best one in the words that are left."""
+    found, out = licenses.words(text), set()
+    for name, body in licenses.TEMPLATES.items():
+        template, free = licenses.words(body), [(0, len(found))]
+        while True:
+            best = (0, 0, 0)
+            for a, b in free:
+                for shift in range(a - len(template) - band, b + band + 1):
+                    n, first, last = licenses.align(template, found[a:b], shift - a, band)
+                    best = max(best, (n, a + first, -(a + last)))
+            n, first, last = best[0], best[1], -best[2]
+            if n / len(template) < least:
+                break
+            out.add((name, first, last, n))
+            free = [x for a, b in free for x in ([(a, first), (last, b)] if a <= first < b else [(a, b)]) if x[0] < x[1]]
+    return out
+
+
+def test_every_notice_against_brute_force(spark):
+    rng, t = random.Random(5), licenses.TEMPLATES
+    texts = [" ".join([t[k]] * n) for k, n in (("mit", 7), ("cc-by-nc-4.0", 6), ("apache-2.0", 5), ("gpl-3.0", 3))]
+    texts += ["Released under an MIT License", "Released under a the MIT License.", " ".join([t["mit"], t["cc-by-nc-4.0"]] * 4)]
+    for name in ("mit", "mit", "mit", "apache-2.0", "cc-by-nc-4.0", "gpl-3.0", "gpl-3.0", "bsd-redistribution"):
+        w = [w for _ in range(rng.randrange(1, 4)) for w in t[name].split()]
+        for _ in range(len(w) // 5 + 1):
+            k = rng.randrange(len(w))
+            w[k : k + rng.randrange(2)] = [rng.choice(["the", "x", "License"])]
+        texts.append(" ".join(w))
+    every_third = [x for k, w in enumerate(t["bsd-redistribution"].split()) for x in ([w, "y"] if k % 3 == 1 else [w])]
+    texts += [" ".join(every_third), "a b " * 9 + t["mit"] + " c" * 9]
+    got = {}
+    for r in licenses.matches(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        first = len(licenses.words(texts[r["doc_id"]][: r["start"]]))
+        last = len(licenses.words(texts[r["doc_id"]][: r["stop"]]))
+        assert (r["template"], first, last, r["matched"]) not in got.setdefault(r["doc_id"], set())
+        got[r["doc_id"]].add((r["template"], first, last, r["matched"]))
+    for k, text in enumerate(texts):
+        assert got.get(k, set()) == brute_notices(text), text
+    count = lambda k, name: sum(m[0] == name for m in got[k])
+    assert (count(0, "mit"), count(1, "cc-by-nc-4.0"), count(2, "apache-2.0"), count(4, "mit")) == (7, 6, 5, 1)
+
+
 def test_ftrl_separates():
     rng = np.random.default_rng(0)
     rows = [(np.array([k % 2, 2 + k % 5]), np.array([1.0, 1.0])) for k in range(400)]
