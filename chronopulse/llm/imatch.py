@@ -120,27 +120,76 @@ def fingerprints(docs: DataFrame, words: DataFrame, id_col: str = "doc_id", text
     return hashed.withColumn("fingerprint", to_text(F.col("hashes")))
 
 
+#: The order of documents: descending doc_id, null ids last, then a hash of the text.
+_ORDER = ("absent", "back", "hash")
+
+
+def _placed_keys(docs: DataFrame) -> DataFrame:
+    """docs with their order as three columns, all ascending, and a row number that only deals out equal rows."""
+    back = F.coalesce(F.bitwise_not(F.col("doc_id").cast("bigint")), F.lit(0))
+    keys = {"absent": F.col("doc_id").isNull().cast("bigint"), "back": back, "hash": F.xxhash64("text")}
+    return docs.withColumns(keys | {"row": F.monotonically_increasing_id()})
+
+
+def _cuts(keys: DataFrame, per_bucket: int) -> list[tuple]:
+    """The keys of every per_bucket-th row in their order, which is found in ranges with a narrow row a document."""
+    n = keys.count()
+    parts = max(1, min(2000, -(-n // 20_000)))
+    ranged = cut(keys.repartitionByRange(parts, *_ORDER, "row").withColumn("part", F.spark_partition_id()))
+    sizes, offsets, total = sorted(ranged.groupBy("part").count().collect()), [], 0
+    for part, size in sizes:
+        offsets.append((part, total))
+        total += size
+    before = keys.sparkSession.createDataFrame(offsets, "part int, before bigint")
+    rank = F.row_number().over(Window.partitionBy("part").orderBy(*_ORDER, "row"))
+    at = ranged.withColumn("rank", rank).join(F.broadcast(before), "part").select(*_ORDER, (F.col("before") + F.col("rank") - 1).alias("at"))
+    return sorted(tuple(r) for r in at.where((F.col("at") > 0) & (F.col("at") % per_bucket == 0)).select(*_ORDER).collect())
+
+
+def _bucket(cuts: list[tuple]) -> Column:
+    """The number of cuts at or before a row's key, by binary search. Rows that several cuts equal are equal rows: they
+    are dealt out to the buckets between these cuts."""
+    if not cuts:
+        return F.lit(0).cast("bigint")
+    arrays = [F.split(F.lit(",".join(str(c[k]) for c in cuts)), ",").cast("array<bigint>") for k in range(len(_ORDER))]
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+
+    def search(fits) -> Column:
+        def step(found: Column, by: Column) -> Column:
+            to = found + by
+            one = F.struct(*[F.get(a, to - 1).alias(c) for a, c in zip(arrays, _ORDER)])
+            return F.when((to <= len(cuts)) & fits(one), to).otherwise(found)
+
+        return F.aggregate(steps, F.lit(0), step)
+
+    key = F.struct(*[F.col(c) for c in _ORDER])
+    last, first = search(lambda one: one <= key), search(lambda one: one < key)
+    between = last - first - 1
+    return F.when(between > 0, first + 1 + F.pmod(F.col("row"), between)).otherwise(last).cast("bigint")
+
+
 def _in_order(docs: DataFrame, per_bucket: int) -> DataFrame:
     """(bucket, doc_id, text, real): documents in buckets of descending doc_id; each bucket ends with a copy (real:
     false) of the document after its last one, after the very last the first.
 
-    A bucket is a range of ids with about per_bucket documents; only one narrow row a bucket is ordered as a whole.
+    Buckets are cut at row counts, whatever the ids: about per_bucket documents each, null and repeated ids included.
+    Only narrow rows are ordered for that (one a document in ranges, one a bucket as a whole).
     """
-    n, low, high = docs.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
-    width = max(1, -(-((high or 0) - (low or 0) + 1) // max(1, -(-n // per_bucket))))
-    bucket = F.coalesce(F.floor((F.lit(high or 0) - F.col("doc_id")) / width), F.lit(1 << 62))  # null ids come last
-    placed = docs.select(bucket.cast("bigint").alias("bucket"), "doc_id", "text")
-    first = placed.groupBy("bucket").agg(F.max("doc_id").alias("head"))
+    keyed = _placed_keys(docs)
+    keys = cut(keyed.select(*_ORDER, "row"))
+    bucket = _bucket(_cuts(keys, per_bucket))
+    placed = keyed.select(bucket.alias("bucket"), "doc_id", "text", *_ORDER)
+    first = keys.select(bucket.alias("bucket"), F.struct(*_ORDER).alias("key")).groupBy("bucket").agg(F.min("key").alias("head"))
     whole = Window.orderBy("bucket")
     before = F.lag("bucket").over(whole)  # the bucket that the head follows; the very first follows the last
     heads = first.withColumn("to", F.coalesce(before, F.max("bucket").over(Window.partitionBy())))
     heads = cut(heads)
-    marked = heads.select(F.col("bucket").alias("b"), "to", F.col("head"))
-    same = (F.col("bucket") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("head"))
+    marked = heads.select(F.col("bucket").alias("b"), "to", "head")
+    same = (F.col("bucket") == F.col("b")) & (F.struct(*_ORDER) == F.col("head"))
     narrow = F.broadcast(marked) if heads.count() <= 200_000 else marked
-    copies = placed.join(narrow, same).groupBy("to").agg(F.min_by(F.struct("doc_id", "text"), F.xxhash64("text")).alias("d"))
+    copies = placed.join(narrow, same).groupBy("to").agg(F.first(F.struct("doc_id", "text")).alias("d"))
     copies = copies.select(F.col("to").alias("bucket"), "d.doc_id", "d.text", F.lit(False).alias("real"))
-    return placed.withColumn("real", F.lit(True)).unionByName(copies)
+    return placed.select("bucket", "doc_id", "text", F.lit(True).alias("real")).unionByName(copies)
 
 
 def compare_edited(

@@ -156,3 +156,26 @@ def test_lexicon_band(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     wanted = spark.sql("select xxhash64('half') as h").first()["h"]
     assert [r["term"] for r in imatch.lexicon(docs, 0.1, 0.6).collect()] == [wanted]
+
+
+@pytest.mark.parametrize("case", ["outlier", "nulls", "one id", "equal rows"])
+def test_imatch_buckets_are_cut_at_row_counts(spark, case):
+    ids = {"outlier": [*range(399), 9 * 10**9], "nulls": [None if k % 3 else k for k in range(400)], "one id": [7] * 400}
+    docs = [(i, f"text {k}") for k, i in enumerate(ids.get(case, range(100)))]
+    docs += [(50, "same")] * 300 if case == "equal rows" else []
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows = imatch._in_order(d, 20).cache()
+    assert sorted(map(str, docs)) == sorted(str((r["doc_id"], r["text"])) for r in rows.where("real").collect())
+    sizes = [r["count"] for r in rows.where("real").groupBy("bucket").count().collect()]
+    assert max(sizes) <= 60 and sum(sizes) == 400
+    hashes = {r["text"]: r["h"] for r in d.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1]])
+    ordered = sorted(docs, key=order)
+    chain = []
+    for _, group in sorted(((b, [r for r in rows.collect() if r["bucket"] == b]) for b in {r["bucket"] for r in rows.collect()})):
+        own = sorted(((r["doc_id"], r["text"]) for r in group if r["real"]), key=order)
+        after = [(r["doc_id"], r["text"]) for r in group if not r["real"]]
+        assert len(after) == 1
+        chain.append((own, after[0]))
+    assert [x for own, _ in chain for x in own] == ordered
+    assert [after for _, after in chain] == [own[0] for own, _ in chain[1:] + chain[:1]]
