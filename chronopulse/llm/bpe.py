@@ -310,6 +310,23 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
     return append_columns(docs, text_col, make, "ids binary, n_tokens bigint")
 
 
+def encode_checked(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """As encode, and decodes: whether the ids, decoded in the same pass, give the text again."""
+
+    def make():
+        ranks = load_ranks(ranks_path)
+        encoder, decoder = TextEncoder(ranks, pattern), TokenDecoder(ranks)
+
+        def each(texts: list[str]):
+            ids = [encoder.encode(t) for t in texts]
+            same = ["".join(decoder.stream(i)) == t for i, t in zip(ids, texts)]
+            return [pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(same, pa.bool_())]
+
+        return each
+
+    return append_columns(docs, text_col, make, "ids binary, n_tokens bigint, decodes boolean")
+
+
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """encoded with the text of its ids; null ids give empty text."""
 

@@ -45,9 +45,10 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and ids (packed, little-endian unsigned 32-bit) of every text, and whether they decode to it."""
+    """doc_id, n_tokens and ids (packed, little-endian unsigned 32-bit) of every text; decodes: whether they decode to it."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN).select("doc_id", "n_tokens", "ids")
+    encoded = bpe.encode_checked(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    return encoded.select("doc_id", "n_tokens", "ids", "decodes")
 
 
 STAGES = [

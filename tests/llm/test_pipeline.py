@@ -1,5 +1,7 @@
 """The pipeline over a small table: decisions take effect stage by stage."""
 
+import array
+
 import public_tokenizers
 import tiktoken
 
@@ -28,3 +30,22 @@ def test_pipeline(spark):
     assert sum(labels[i]["quality"] == 1 and labels[i]["toxic"] == 0 for i in texts if i in labels) > 50
     toxic = lambda ids: sum(labels[i]["toxic"] for i in ids if i in labels)
     assert toxic(texts) < toxic(labels) / 2  # learnt from some eighty labelled texts only
+
+
+def test_last_stage_decodes_every_text(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    out = corpus_pipeline.encode(spark, docs, SF).collect()
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert len(out) == len(texts)
+    for r in out:
+        ids = array.array("I", bytes(r["ids"])).tolist()
+        assert ids == library.encode_ordinary(texts[r["doc_id"]]) and r["n_tokens"] == len(ids) and r["decodes"] is True
+        assert library.decode(ids) == texts[r["doc_id"]]
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    monkeypatch.setattr(bpe.TokenDecoder, "stream", lambda self, ids: ["other"])
+    checked = []
+    monkeypatch.setattr(bpe, "append_columns", lambda d, c, make, f: checked.extend(make()(["a text"])[2].to_pylist()))
+    bpe.encode_checked(docs, path, public_tokenizers.PATTERN)
+    assert checked == [False]
