@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import append_columns, connected_components, cut, text_rows
@@ -114,8 +114,9 @@ class Sampled:
         return keys
 
 
-def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", shingle=4, n_words=1) -> DataFrame:
-    """(doc_id, fingerprint): lowercase hex, 16 digits per word, most significant first. Null text counts as empty."""
+def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", shingle=4, n_words=1, hashed=False) -> DataFrame:
+    """(doc_id, fingerprint): lowercase hex, 16 digits per word, most significant first. Null text counts as empty.
+    hashed: with hash, one of the text."""
 
     def make():
         def each(texts: list[str]):
@@ -124,7 +125,13 @@ def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", shingle=4, n
 
         return each
 
-    return append_columns(text_rows(docs, id_col, text_col), "text", make, "fingerprint string").drop("text")
+    rows = text_rows(docs, id_col, text_col)
+    rows = rows.withColumn("hash", _text_hash(F.col("text"))) if hashed else rows
+    return append_columns(rows, "text", make, "fingerprint string").drop("text")
+
+
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def _hamming(a: Column, b: Column, n_words: int) -> Column:
@@ -153,6 +160,10 @@ def components(prints: DataFrame, keys, distance: int, n_words: int = 1) -> Data
         return pd.Series(list(_words_of(hexes).view("<i8")) if len(hexes) else [], dtype=object)
 
     reps = cut(same.select("rep", "fingerprint", words_udf("fingerprint").alias("w")))
+    shared = bool(reps.groupBy("rep").count().where("count > 1").head(1))
+    if shared:  # one id with several texts: a node is an id and a number, as ids alone would merge fingerprints
+        number = F.row_number().over(Window.partitionBy("rep").orderBy("fingerprint"))
+        reps = cut(reps.withColumn("rep", F.struct("rep", number.alias("number"))))
 
     def mixed(state: DataFrame, tables: int | None) -> tuple[DataFrame, DataFrame]:
         """(key, rep, component) of each fingerprint's first keys; and, of keys with several components, one head."""
@@ -187,7 +198,7 @@ def components(prints: DataFrame, keys, distance: int, n_words: int = 1) -> Data
     left = left_open.select("key", F.col("rep").alias("a"), F.col("component").alias("ca"))
     right = left_open.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"))
     across = verified(left.join(right, "key").where("ca < cb").select("a", "b"))
-    return labelled(edges.unionByName(across)).select("fingerprint", F.col("component").alias("component_id"))
+    return labelled(edges.unionByName(across)).select("fingerprint", F.col("component.rep" if shared else "component").alias("component_id"))
 
 
 def near_duplicates(
@@ -219,10 +230,14 @@ WIDE_DISTANCE = 44
 def deduplicate(docs: DataFrame, id_col="doc_id", text_col="text", shingle=5, distance=WIDE_DISTANCE, keys=None) -> DataFrame:
     """docs without near copies: of each group the row(s) with the smallest doc_id stay, all columns unchanged.
 
+    Rows go by doc_id and text, so an id that occurs with other texts loses only those that are copies.
+
     Works on five-word shingles at a similarity of about 0.8 and more, by 256-bit fingerprints and sampled keys.
     Rows with a null doc_id stay.
     """
     plan = keys or Sampled()
-    found = near_duplicates(docs, id_col, text_col, shingle, distance, plan, plan.n_words)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    prints = cut(fingerprints(docs, id_col, text_col, shingle, plan.n_words, hashed=True))
+    found = prints.join(components(prints, plan, distance, plan.n_words), "fingerprint")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone"), F.col("hash").alias("__hash")).distinct()
+    same = (docs[id_col] == gone["__gone"]) & (_text_hash(docs[text_col]) == gone["__hash"])
+    return docs.join(gone, same, "left_anti")

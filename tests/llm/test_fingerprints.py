@@ -179,3 +179,18 @@ def test_imatch_buckets_are_cut_at_row_counts(spark, case):
         chain.append((own, after[0]))
     assert [x for own, _ in chain for x in own] == ordered
     assert [after for _, after in chain] == [own[0] for own, _ in chain[1:] + chain[:1]]
+
+
+def test_one_id_with_two_texts(spark):
+    a, b, c = ("alpha beta gamma delta epsilon zeta " * 20, "one two three four five six seven " * 20, "red green blue grey pink teal " * 20)
+    rows = [(1, a), (5, a), (5, b), (7, b), (2, c), (2, "other words here and there again " * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r["doc_id"], r["text"]) for r in simhash.deduplicate(docs).collect())
+    assert kept == sorted([rows[0], rows[2], rows[4], rows[5]])
+    prints = [(2, "0" * 16), (2, "f" * 16), (3, "0" * 15 + "1"), (4, "f" * 15 + "e")]
+    prints = spark.createDataFrame(prints, "doc_id long, fingerprint string")
+    got = {r["fingerprint"]: r["component_id"] for r in simhash.components(prints, simhash.Pigeonhole(4), 4).collect()}
+    assert set(got.values()) == {2} and len(got) == 4
+    other = spark.createDataFrame([(2, "0" * 16), (2, "f" * 16), (1, "0" * 15 + "1"), (9, "f" * 15 + "e")], "doc_id long, fingerprint string")
+    got = {r["fingerprint"][0]: r["component_id"] for r in simhash.components(other, simhash.Pigeonhole(4), 4).collect()}
+    assert got == {"0": 1, "f": 2}
