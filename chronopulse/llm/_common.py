@@ -27,6 +27,34 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Recent:
+    """Values by text, of at most `limit` recent texts: two generations, of which the older goes when the newer is full."""
+
+    def __init__(self, limit: int):
+        self.limit, self.new, self.old = limit // 2, {}, {}
+
+    def look(self, texts: list[str]) -> tuple[list, list[str]]:
+        """The values of texts, None where not known, and the distinct texts not known."""
+        found = list(map(self.new.get, texts))
+        if None not in found:
+            return found, []
+        if len(self.new) >= self.limit:
+            self.old, self.new = self.new, {}
+            found = [None] * len(texts)
+        missing, new, old = {}, self.new, self.old
+        for k, f in enumerate(found):
+            if f is None:
+                f = old.get(texts[k])
+                if f is None:
+                    missing[texts[k]] = None
+                else:
+                    found[k] = new[texts[k]] = f
+        return found, list(missing)
+
+    def update(self, pairs) -> None:
+        self.new.update(pairs)
+
+
 def append_columns(
     df: DataFrame,
     text_col: str,

@@ -2,11 +2,14 @@
 
 The merges of a rank table are compiled as a trie of tokens plus one fact about pairs: tokens a, b may stand side by
 side in an encoding only if encoding their joined bytes gives back a, b. The encoding of every prefix of a piece then
-ends in exactly one token, so one pass over the bytes suffices: a state holds the trie nodes that are still open, each
-with the token before it, and each transition tells the token in which the prefix ends. Whatever follows, the final
-encoding passes through one of the open positions, which lie within a token's length of the head: once all of them
-agree on the tokens before, those are emitted (bounded lookahead). States and transitions are made when first met (a
-lazy subset construction) and thrown away as a whole when there are too many, so memory is bounded whatever the text.
+ends in exactly one token, so one pass over the bytes suffices. At each byte the trie nodes still open are those that
+spell a suffix of the prefix; the longest one determines the others, so it names the state of the determinised
+automaton. States and transitions are made when first met (a lazy subset construction), each with the tokens that may
+end there, longest first; there are at most as many states as trie nodes. A register holds the token in which each
+recent prefix ends: the longest token that may follow what ends before it.
+
+Whatever follows, the final encoding passes through one of the open positions, which lie within a token's length of
+the head: once all of them agree on the tokens before, those are emitted (bounded lookahead).
 
 Decoding maps ids to bytes and passes them through an incremental UTF-8 state machine.
 """
@@ -17,18 +20,18 @@ import base64
 import hashlib
 import sys
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ._common import append_columns
+from ._common import Recent, append_columns
 
-_NONE = -1
 _NEVER = 1 << 60
 #: Bytes of a piece between two emissions.
-_BLOCK = 8192
+_BLOCK = 512
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -39,37 +42,28 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class BpeTransducer:
     """Encodes one piece of bytes at a time; `max_states` and `max_pairs` bound what is remembered."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000, max_pairs: int = 1_000_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 1_000_000, max_pairs: int = 1_000_000):
         self.ranks, self.max_states, self.max_pairs = ranks, max_states, max_pairs
         self.tokens = {i: t for t, i in ranks.items()}
         self.size = {i: len(t) for t, i in ranks.items()}
         self.longest = max(self.size.values())
+        #: The token before the first one, which every token may follow.
+        self.before_all = max(self.size) + 1
+        #: The token before a position that is behind the emitted tokens; none may follow.
+        self.blocked = self.before_all + 1
         self.child: dict[int, int] = {}  # node << 8 | byte -> node; node 0 is the root
-        self.accepts: list[int] = [_NONE]
-        for token, rank in ranks.items():
+        self.spelt: list[bytes] = [b""]  # the bytes of each node
+        for token in ranks:
             node = 0
-            for byte in token:
-                node = self.child.setdefault(node << 8 | byte, len(self.accepts))
-                if node == len(self.accepts):
-                    self.accepts.append(_NONE)
-            self.accepts[node] = rank
-        self.pairs: dict[tuple[int, int], bool] = {}
+            for k, byte in enumerate(token):
+                node = self.child.setdefault(node << 8 | byte, len(self.spelt))
+                if node == len(self.spelt):
+                    self.spelt.append(token[: k + 1])
+        self.pairs: dict[int, bool] = {}  # token before << 32 | token -> whether they may be neighbours
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.edges: tuple[dict[int, list[int]], dict[int, list[int]]] = ({}, {})
-        self._forget()
-
-    def _forget(self) -> None:
-        self.states: list[tuple] = []
-        self.number: dict[tuple, int] = {}
-        self.steps: dict[int, tuple[int, int]] = {}  # state | byte -> next state, token
-        self.start = self._state(((0, _NONE),))
-
-    def _state(self, items: tuple) -> int:
-        found = self.number.get(items)
-        if found is None:
-            found = self.number[items] = len(self.states) << 8  # leaves room for a byte: the key of a step
-            self.states.append(items)
-        return found
+        self.ends: dict[int, tuple[tuple[int, int], ...]] = {}  # node -> (size, token) of tokens that may end there
+        self.steps: dict[int, tuple[int, tuple]] = {}  # node << 8 | byte -> node << 8, its ends
 
     def merge(self, piece: bytes) -> list[int]:
         """Plain BPE by rank: joins the leftmost pair of lowest rank until none is left. Defines what is right."""
@@ -95,7 +89,7 @@ class BpeTransducer:
 
     def _possible(self, token: int) -> bool:
         """Whether merging the token's own bytes gives the token."""
-        return len(self.tokens[token]) == 1 or self._halves(token) is not None
+        return self.size[token] == 1 or self._halves(token) is not None
 
     def _edge(self, token: int, side: int) -> list[int]:
         """The tokens that stand at an end (side 0: left, 1: right) of a token while it is merged, from byte to token."""
@@ -114,47 +108,51 @@ class BpeTransducer:
         A token's rank exceeds its halves', so the tokens next to the boundary grow in the order of their ranks; a
         crossing merge happens if it comes before the next growth on either side, on equal rank the left one first.
         """
-        found = self.pairs.get((a, b))
-        if found is None:
-            if len(self.pairs) >= self.max_pairs:
-                self.pairs.clear()
-            left, right = self._edge(a, 1), self._edge(b, 0)
-            i = j = 0
-            found = True
-            while found:
-                grow_left = left[i + 1] if i + 1 < len(left) else _NEVER
-                grow_right = right[j + 1] if j + 1 < len(right) else _NEVER
-                crossing = self.ranks.get(self.tokens[left[i]] + self.tokens[right[j]], _NEVER)
-                if crossing < grow_left and crossing <= grow_right and crossing != _NEVER:
-                    found = False
-                elif grow_left == grow_right == _NEVER:
-                    break
-                elif grow_left <= grow_right:
-                    i += 1
-                else:
-                    j += 1
-            self.pairs[a, b] = found
+        left, right = self._edge(a, 1), self._edge(b, 0)
+        i = j = 0
+        while True:
+            grow_left = left[i + 1] if i + 1 < len(left) else _NEVER
+            grow_right = right[j + 1] if j + 1 < len(right) else _NEVER
+            crossing = self.ranks.get(self.tokens[left[i]] + self.tokens[right[j]], _NEVER)
+            if crossing < grow_left and crossing <= grow_right and crossing != _NEVER:
+                return False
+            if grow_left == grow_right == _NEVER:
+                return True
+            if grow_left <= grow_right:
+                i += 1
+            else:
+                j += 1
+
+    def _learn_pair(self, pair: int) -> bool:
+        before, token = pair >> 32, pair & 0xFFFFFFFF
+        if len(self.pairs) >= self.max_pairs:
+            self.pairs.clear()
+        sentinel = before >= self.before_all
+        found = self.pairs[pair] = before == self.before_all if sentinel else self._neighbours(before, token)
         return found
 
-    def _step(self, state: int, byte: int) -> tuple[int, int]:
-        """Makes the transition of a state on a byte: the next state and the token in which the prefix now ends."""
-        items, ended, child, accepts = [], _NONE, self.child, self.accepts
-        for node, before in self.states[state >> 8]:
-            node = child.get(node << 8 | byte)
-            if node is None:
-                continue
-            items.append((node, before))
-            token = accepts[node]
-            if token != _NONE and ended == _NONE and self._possible(token):
-                if before == _NONE or self._neighbours(before, token):
-                    ended = token
-        if ended == _NONE:
-            raise ValueError("the ranks lack a single byte or are no BPE merges")
-        items.append((0, ended))
-        if len(self.states) >= self.max_states:
-            self._forget()
-            return self._state(tuple(items)), ended
-        made = self.steps[state | byte] = self._state(tuple(items)), ended
+    def _step(self, at: int) -> tuple[int, tuple]:
+        """Makes a transition (node << 8 | byte): the longest open node after the byte, and the tokens that may end there."""
+        spelt, child, node = self.spelt[at >> 8] + bytes([at & 255]), self.child, at >> 8
+        found = child.get(at)
+        while found is None:  # drop bytes in front until what is left is spelt by a node
+            spelt = spelt[1:]
+            if not spelt:
+                raise ValueError("the ranks lack a single byte")
+            node = 0
+            for byte in spelt[:-1]:
+                node = child.get(node << 8 | byte)
+                if node is None:
+                    break
+            found = None if node is None else child.get(node << 8 | spelt[-1])
+        ends = self.ends.get(found)
+        if ends is None:
+            suffixes = (self.ranks.get(self.spelt[found][k:]) for k in range(len(self.spelt[found])))
+            ends = tuple((self.size[t], t) for t in suffixes if t is not None and self._possible(t))
+            self.ends[found] = ends
+        if len(self.steps) >= self.max_states:
+            self.steps.clear()
+        made = self.steps[at] = found << 8, ends
         return made
 
     def encode(self, piece: bytes) -> list[int]:
@@ -162,92 +160,119 @@ class BpeTransducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        state, last, out = self.start, [], []
-        add = last.append
+        state, base, out = 0, 0, []
+        last = [self.before_all]  # by position: the token in which the prefix ends there
+        steps, pairs, add = self.steps, self.pairs, last.append
         for start in range(0, len(piece), _BLOCK):
             if start:
-                self._emit(last, out)
-            steps = self.steps
+                base = self._emit(last, base, out)
             for byte in piece[start : start + _BLOCK]:
                 try:
-                    state, token = steps[state | byte]
+                    state, ends = steps[state | byte]
                 except KeyError:
-                    state, token = self._step(state, byte)
-                    steps = self.steps  # all steps may have been forgotten
+                    state, ends = self._step(state | byte)
+                for size, token in ends:
+                    pair = last[-size] << 32 | token
+                    try:
+                        fits = pairs[pair]
+                    except KeyError:
+                        fits = self._learn_pair(pair)
+                    if fits:
+                        break
+                else:
+                    raise ValueError("the ranks are no BPE merges")
                 add(token)
-        return out + self._trace(last, len(last))
+        return out + self._trace(last, base, len(last) - 1)
 
-    def _trace(self, last: list[int], end: int) -> list[int]:
-        """The tokens of the prefix that ends at a position."""
+    def _trace(self, last: list[int], base: int, end: int) -> list[int]:
+        """The tokens from position base to end."""
         found, size = [], self.size
-        while end > 0:
-            token = last[end - 1]
+        while end > base:
+            token = last[end]
             found.append(token)
             end -= size[token]
         return found[::-1]
 
-    def _emit(self, last: list[int], out: list[int]) -> None:
-        """Moves the tokens that the open positions agree on from last to out.
+    def _emit(self, last: list[int], base: int, out: list[int]) -> int:
+        """Moves the tokens after position base that the open positions agree on from last to out; returns the new base.
 
         All open positions lie within a token's length of the head; so does the furthest point where paths may part.
+        In front of the base the register is blocked: no token reaches across it.
         """
-        paths = [self._trace(last, len(last) - back) for back in range(min(self.longest, len(last)))]
-        agreed = 0
-        for column in zip(*paths, strict=False):
+        heads = range(len(last) - 1, max(base, len(last) - 1 - self.longest), -1)
+        agreed = []
+        for column in zip(*[self._trace(last, base, head) for head in heads], strict=False):
             if any(t != column[0] for t in column):
                 break
-            agreed += 1
-        out += paths[0][:agreed]
-        del last[: sum(self.size[t] for t in paths[0][:agreed])]
+            agreed.append(column[0])
+        if not agreed:
+            return base
+        out += agreed
+        base += sum(self.size[t] for t in agreed)
+        last[:base] = [self.blocked] * self.longest
+        return self.longest
 
 
 class TextEncoder:
     """Encodes texts split by a pattern, each match on its own.
 
     Remembers the packed ids of recent stretches between single spaces, a bounded number. A space between two
-    characters that are no white space always starts a match of the pattern, so such stretches are independent; texts
-    with other spacing are split as a whole.
+    characters that are no white space always starts a match of the pattern, so such stretches are independent, and
+    all that a text has anew are split in one go; texts with other spacing are split as a whole.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 400_000):
         self.transducer, self.find = BpeTransducer(ranks), regex.compile(pattern).findall
-        self.memo: dict[str, bytes | bool] = {}
-        self.limit = memo
+        self.memo: Recent = Recent(memo)
+
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        packed = array("I", ids)
+        if sys.byteorder != "little":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _pieces(self, text: str) -> bytes:
-        ids = array("I")
+        ids, encode = [], self.transducer.encode
         for piece in self.find(text):
-            ids.extend(self.transducer.encode(piece.encode()))
-        if sys.byteorder != "little":
-            ids.byteswap()
-        return ids.tobytes()
-
-    def _learn(self, stretch: str) -> bytes | bool:
-        """The packed ids of a space and the stretch; False if the stretch's ends are white space or it is empty."""
-        if not stretch or stretch[0].isspace() or stretch[-1].isspace():
-            return False
-        found = self._pieces(" " + stretch)
-        if len(stretch) < 100:
-            if len(self.memo) >= self.limit:
-                self.memo.clear()
-            self.memo[stretch] = found
-        return found
+            ids += encode(piece.encode())
+        return self._packed(ids)
+
+    def _learn(self, stretches: list[str]) -> None:
+        """Remembers the packed ids of a space and each stretch; all begin and end in characters that are no white space."""
+        ids, encode, found = [], self.transducer.encode, []
+        for piece in self.find(" " + " ".join(stretches)):
+            if piece[0] == " ":  # only the first match of a stretch starts with a space
+                ids = []
+                found.append(ids)
+            ids += encode(piece.encode())
+        self.memo.update(zip(stretches, map(self._packed, found), strict=True))
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         first, *rest = text.split(" ")
         if not rest or not first or first[-1].isspace():
             return self._pieces(text)
-        found = list(map(self.memo.get, rest))
-        if None in found:
-            for k, f in enumerate(found):
-                if f is None:
-                    f = found[k] = self._learn(rest[k])
-                    if f is False:
-                        return self._pieces(text)
+        found, missing = self.memo.look(rest)
+        if missing:
+            if any(not s or s[0].isspace() or s[-1].isspace() for s in missing):
+                return self._pieces(text)
+            self._learn(missing)
+            found = [self.memo.new[s] if f is None else f for s, f in zip(rest, found, strict=True)]
         return self._pieces(first) + b"".join(found)
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str, pattern: str) -> TextEncoder:
+    """One encoder a worker process: what it has learnt serves all tasks that the process runs."""
+    return TextEncoder(load_ranks(path), pattern)
+
+
+@lru_cache(maxsize=2)
+def _decoder(path: str) -> TokenDecoder:
+    return TokenDecoder(load_ranks(path))
+
+
 class Utf8Decoder:
     """Incremental UTF-8: feed() gives the text of all characters completed so far, finish() what is left.
 
@@ -282,24 +307,29 @@ class TokenDecoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.table = {i: t for t, i in ranks.items()}
 
-    def stream(self, ids: bytes, chunk: int = 65536):
-        """Text of packed ids, chunk by chunk."""
-        machine, look = Utf8Decoder(), self.table.__getitem__
-        numbers = np.frombuffer(ids, dtype="<u4")
+    def chunks(self, ids: bytes, chunk: int = 65536):
+        """Bytes of packed ids, chunk by chunk; a chunk may end within a character."""
+        look, numbers = self.table.__getitem__, np.frombuffer(ids, dtype="<u4")
         for start in range(0, len(numbers), chunk):
-            yield machine.feed(b"".join(map(look, numbers[start : start + chunk].tolist())))
+            yield b"".join(map(look, numbers[start : start + chunk].tolist()))
+
+    def stream(self, ids: bytes, chunk: int = 65536):
+        """Text of packed ids, chunk by chunk: whole characters only."""
+        machine = Utf8Decoder()
+        for part in self.chunks(ids, chunk):
+            yield machine.feed(part)
         yield machine.finish()
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
     """docs with ids (binary: little-endian unsigned 32-bit) and n_tokens. Whole texts; null and empty: no ids.
 
-    Columns of these names are replaced; repeated rows stay. The rank file is read by each task, at a path that all
-    machines have.
+    Columns of these names are replaced; repeated rows stay. The rank file is read once a worker process, at a path that
+    all machines have.
     """
 
     def make():
-        encoder = TextEncoder(load_ranks(ranks_path), pattern)
+        encoder = _encoder(ranks_path, pattern)
 
         def each(texts: list[str]):
             ids = [encoder.encode(t) for t in texts]
@@ -314,8 +344,7 @@ def encode_checked(docs: DataFrame, ranks_path: str, pattern: str, text_col: str
     """As encode, and decodes: whether the ids, decoded in the same pass, give the text again."""
 
     def make():
-        ranks = load_ranks(ranks_path)
-        encoder, decoder = TextEncoder(ranks, pattern), TokenDecoder(ranks)
+        encoder, decoder = _encoder(ranks_path, pattern), _decoder(ranks_path)
 
         def each(texts: list[str]):
             ids = [encoder.encode(t) for t in texts]
@@ -331,7 +360,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: s
     """encoded with the text of its ids; null ids give empty text."""
 
     def make():
-        decoder = TokenDecoder(load_ranks(ranks_path))
+        decoder = _decoder(ranks_path)
         return lambda rows: [pa.array(["".join(decoder.stream(r or b"")) for r in rows], pa.string())]
 
     return append_columns(encoded, ids_col, make, f"{out_col} string")
@@ -344,8 +373,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "
     """
 
     def make():
-        ranks = load_ranks(ranks_path)
-        encoder, decoder = TextEncoder(ranks, pattern), TokenDecoder(ranks)
+        encoder, decoder = _encoder(ranks_path, pattern), _decoder(ranks_path)
 
         def each(texts: list[str]):
             n, a, b = [], [], []

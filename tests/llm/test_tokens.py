@@ -54,6 +54,21 @@ def test_transducer_with_few_states_and_long_pieces():
     assert small.encode(long) == library.encode_ordinary(long.decode())
 
 
+def test_tokens_leave_after_a_bounded_lookahead(monkeypatch):
+    transducer, held, emit = bpe.BpeTransducer(bpe.load_ranks(BPE)), [], bpe.BpeTransducer._emit
+
+    def watched(self, last, base, out):
+        base = emit(self, last, base, out)
+        held.append(len(last) - 1 - base)
+        return base
+
+    monkeypatch.setattr(bpe.BpeTransducer, "_emit", watched)
+    rng = random.Random(4)
+    for letters in ("abcdeinrst", "etaoin", "é漢字ж", "ab"):
+        transducer.encode("".join(rng.choice(letters) for _ in range(20000)).encode())
+    assert len(held) > 100 and max(held) <= 2 * transducer.longest
+
+
 def test_utf8_machine_over_every_cut():
     data = "aé漢😀z".encode()
     for cut in range(len(data) + 1):
@@ -92,6 +107,32 @@ def test_spliced_counts(chunk, overlap):
             assert tokens.spliced_count(t, plain.starts, chunk, overlap) == plain.counts([t])[0]
 
 
+@pytest.mark.parametrize("chunk,overlap", [(16, 1), (64, 4), (32768, 1024)])
+def test_byte_level_file_s_counts(chunk, overlap):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain = tokens.LibraryEncoder(path)
+    assert plain.boundary is tokens._lone_space and tokens.LibraryEncoder(WORDS).boundary is tokens._after_white
+    some = [t for t in texts(200, seed=5) if len(t) < 4000] + ["a b  c\n d e\n\n f g " * 3, "  two  spaces  ", "one two three four five six"]
+    assert tokens.TokenCounter(path, chunk, overlap).count(some) == plain.counts(some)
+
+
+def test_boundaries_that_a_file_does_not_prove():
+    def file(pattern="[a-z]+", added=(), **split):
+        kind = {"type": "Split", "pattern": {"Regex": pattern}, "behavior": "Removed", "invert": True} | split
+        return {"added_tokens": list(added), "normalizer": None, "pre_tokenizer": kind}
+
+    token = {"content": "<x>", "lstrip": False, "rstrip": False}
+    assert tokens.proven_boundary(file(added=[token])) is tokens._after_white
+    assert tokens.proven_boundary(file(r"[^\s\p{L}]+|\p{L}+")) is tokens._after_white
+    for other in (r"[^a]+", r"\s?[a-z]+", ".+", "a b", r"\W+"):
+        assert tokens.proven_boundary(file(other)) is None
+    assert tokens.proven_boundary(file(behavior="Isolated")) is None and tokens.proven_boundary(file(invert=False)) is None
+    assert tokens.proven_boundary(file(added=[token | {"content": "a b"}])) is None
+    assert tokens.proven_boundary(file(added=[token | {"lstrip": True}])) is None
+    assert tokens.proven_boundary(file() | {"normalizer": {"type": "Strip"}}) is None
+    assert tokens.proven_boundary({"pre_tokenizer": None}) is None
+
+
 def test_count_tokens_query(spark):
     rows = [(1, "word " * 3000), (2, None), (3, "é"), (4, "x" * 5000)]
     docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, n_bytes int")
