@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,17 +16,39 @@ from pyspark.sql import types as T
 ROWS_AT_ONCE = 256
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the folder the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir. Where it is unset, a temporary one serves local
+    sessions only, as in tests: executors of a cluster could not read each other's files there."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return _local_folder()
+
+
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="spark-")
+
+
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """df written to a table of its own in the shared folder and read again, and that table's path."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialises df in the shared checkpoint folder, so that lost executors cost no recomputation of its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """df from a table written to the shared folder, so that lost executors cost no recomputation of its lineage."""
+    return stored(df)[0]
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Removes tables that stored() wrote and that nothing needs any more."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 class Recent:
@@ -97,25 +121,31 @@ def fold(column: Column, modulus: int) -> Column:
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable over the undirected edges (a, b); nodes without edges are absent.
 
-    Alternating large-star and small-star rounds, each checkpointed; the number of rounds grows with the logarithm of
-    the longest path. Ties and repeated edges don't matter; rows with a null end are ignored; no edges: no rows.
+    Alternating large-star and small-star rounds, each written to a table of which only the last stays; the number of
+    rounds grows with the logarithm of the longest path. Ties and repeated edges don't matter; rows with a null end
+    are ignored; no edges: no rows.
     """
+    spark = edges.sparkSession
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
-    star, before = cut(pairs), None
+    star, path = stored(pairs)
     for _ in range(max_rounds):
         both = star.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             star.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-        large = cut(large.distinct())
+        large, middle = stored(large.distinct())
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(least, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        star = cut(small.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct())
-        now = star.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if now == before:
+        star, after = stored(small.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct())
+        discard(spark, path, middle)
+        path = after
+        # settled: every node but the roots hangs from one node, and that is a root
+        once = star.select(F.col("hi").alias("node"), F.lit(1).alias("n"))
+        below = once.unionByName(star.select(F.col("lo").alias("node"), F.lit(None).cast("int").alias("n")).distinct())
+        hung = below.groupBy("node").agg(F.count("n").alias("n"), F.count("*").alias("all"))
+        if not hung.where("n > 1 or (n = 1 and all > 1)").head(1):
             break
-        before = now
     else:
         raise RuntimeError("the components did not settle")
     roots = star.select(F.col("lo").alias("node")).distinct().select("node", F.col("node").alias("component"))

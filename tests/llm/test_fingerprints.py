@@ -34,7 +34,7 @@ def brute_components(ids, prints, distance):
 
 @pytest.mark.parametrize("text", ["", " \t", "One", "A b C", "a b c d e f a b c d", "é\x85x y z\xa0w Q\x0bR", "x " * 300])
 def test_fingerprint_is_the_defined_one(text):
-    assert int(simhash.fingerprint(text)[0]) == brute_fingerprint(text)
+    assert simhash.fingerprint(text) == brute_fingerprint(text)
 
 
 def test_spark_hash_is_the_same(spark):
@@ -49,7 +49,7 @@ def test_pigeonhole_keys_meet_for_every_close_pair():
         b = a
         for bit in rng.sample(range(64), rng.randrange(5)):
             b ^= 1 << bit
-        keys = plan(np.array([[a], [b]], dtype=np.uint64))
+        keys = plan(np.array([a, b], dtype=np.uint64))
         assert set(keys[0]) & set(keys[1])
     with pytest.raises(ValueError):
         simhash.Pigeonhole(4, blocks=6, choose=3)
@@ -101,6 +101,56 @@ def test_deduplicate_keeps_one_of_near_copies(spark):
     assert {r["doc_id"] for r in kept.collect()} == expected and kept.columns == docs.columns
 
 
+def brute_groups(rows, size=5, similarity=0.8):
+    """The smallest doc_id of each document's group, by all pairs of shingle sets."""
+    sets = []
+    for _, text in rows:
+        w = (text or "").lower().split()
+        sets.append({tuple(w[k : k + size]) for k in range(len(w) - size + 1)} or ({tuple(w)} if w else set()))
+    label = [i for i, _ in rows]
+    links = []
+    for x in range(len(rows)):
+        for y in range(x):
+            union = len(sets[x] | sets[y])
+            if not union or len(sets[x] & sets[y]) / union >= similarity:
+                links.append((x, y))
+    for _ in rows:
+        for x, y in links:
+            label[x] = label[y] = min(label[x], label[y])
+    return {i: k for (i, _), k in zip(rows, label)}
+
+
+def test_deduplicate_against_all_pairs(spark):
+    """Groups of copies around the limit, below it, and far from it: what links is what all pairs of sets say."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    rows = [(900, None), (901, ""), (902, "one"), (903, "One"), (904, "one two three four"), (905, " \n")]
+    for g in range(14):
+        base = [word() for _ in range(rng.choice([12, 60, 200]))]
+        for k in range(8):
+            copy = [word() if rng.random() < rng.choice([0, 0.01, 0.02, 0.06]) else w for w in base]
+            rows.append((g * 20 + k, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got, want = {r["doc_id"] for r in simhash.deduplicate(docs).collect()}, brute_groups(rows)
+    assert want[901] == want[905] == 900 and want[903] == 902
+    kept = {i for i, k in want.items() if i == k}
+    assert kept <= got and len(got - kept) <= 1  # no document is lost that has no copy before it
+
+
+def test_keys_of_similar_sets_meet():
+    rng, plan = np.random.default_rng(5), simhash.Strongest()
+    met = {0.8: 0, 0.9: 0, 0.3: 0}
+    for similarity in met:
+        for _ in range(200):
+            common = round(300 * 2 * similarity / (1 + similarity))
+            h = rng.integers(0, 1 << 63, 600 - common, dtype=np.uint64)
+            a, b = h[:300], np.concatenate((h[:common], h[300:]))
+            ka, kb = plan(np.stack([simhash.wide_sums(a, 4), simhash.wide_sums(b, 4)]))
+            assert len(set(ka)) == plan.tables
+            met[similarity] += bool(set(ka) & set(kb))
+    assert met[0.8] >= 180 and met[0.9] >= 198 and met[0.3] <= 20
+
+
 def test_connected_components_of_a_long_chain(spark):
     edges = spark.range(60).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     edges = edges.unionByName(spark.createDataFrame([(100, 101), (101, 100), (7, 7), (None, 1)], "a long, b long"))
