@@ -5,13 +5,13 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the las
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from chronopulse.llm import bpe, decontam, quality, simhash, toxicity
+from chronopulse.llm._common import shared_folder
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and ids (packed, little-endian unsigned 32-bit) of every text; decodes: whether they decode to it."""
+    """doc_id, n_tokens and ids (packed, little-endian unsigned 32-bit) of every text, and decodes: whether they decode to it."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode_checked(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
     return encoded.select("doc_id", "n_tokens", "ids", "decodes")
@@ -66,8 +66,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each stage's result is written to the shared folder and read again."""
     docs = _documents(spark, sf_dir)
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    root = f"{root.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    root = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
