@@ -44,6 +44,15 @@ def cut(df: DataFrame) -> DataFrame:
     return stored(df)[0]
 
 
+#: Most narrow rows that are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df (narrow rows of a stored table), marked for broadcast if it has at most BROADCAST_ROWS rows."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Removes tables that stored() wrote and that nothing needs any more."""
     for path in paths:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import append_columns, connected_components, cut, discard, stored, text_rows
+from ._common import append_columns, connected_components, cut, discard, small, stored, text_rows
 
 #: Lower-cases A-Z and turns the white space that separates words into spaces; other bytes of UTF-8 stay.
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
@@ -272,19 +272,12 @@ def near_duplicates(
 #: Of pairs of similarity 0.8, 39 of 256 bits differ (15 %), with a standard deviation of 6; all but one in a thousand
 #: are within this bound. Pairs within it are verified by their shingle sets.
 WIDE_DISTANCE = 58
-#: Most rows that are broadcast; more are joined by a shuffle.
-BROADCAST_ROWS = 500_000
 
 
 def _text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """df (narrow rows of a stored table), marked for broadcast if it is small enough."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def similar(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """The pairs (a, b) of nodes whose shingle sets have at least a Jaccard similarity.
 
@@ -296,7 +289,7 @@ def similar(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int,
     def make():
         return lambda some: [pa.array([shingle_set(t, shingle).view("<i8") for t in some], pa.list_(pa.int64()))]
 
-    found = texts.join(_small(needed), ["doc_id", "hash"]).select("node", "text").dropDuplicates(["node"])
+    found = texts.join(small(needed), ["doc_id", "hash"]).select("node", "text").dropDuplicates(["node"])
     sets, sets_path = stored(append_columns(found, "text", make, "s array<bigint>").drop("text"))
     a, b = sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), sets.select(F.col("node").alias("b"), F.col("s").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
@@ -344,4 +337,4 @@ def deduplicate(
     gone = cut(gone.select(F.col("doc_id").alias("__gone"), F.col("hash").alias("__hash")).distinct())
     discard(docs.sparkSession, prints_path, nodes_path)
     same = (docs[f"`{id_col}`"] == F.col("__gone")) & (_text_hash(docs[f"`{text_col}`"]) == F.col("__hash"))
-    return docs.join(_small(gone), same, "left_anti")
+    return docs.join(small(gone), same, "left_anti")

@@ -3,18 +3,20 @@
 The tree's first level is the host, the next ones are path segments. Segments that vary (numbers, hashes, dates, or
 more different ones under one parent than a limit) become wildcards; sibling branches whose labelled shares of blocked
 urls do not differ significantly merge into a wildcard; a template is rejected if its smoothed labelled purity, the
-share of its labelled urls that are blocked, reaches a threshold. Unlabelled branches join siblings that merge; other
-templates without labels inherit from the nearest ancestor, the host at last, with at least two labelled branches.
+share of its labelled urls that are blocked, reaches a threshold. Unlabelled branches join siblings if all labelled
+ones merge. Other templates without labels go by the nearest ancestor in their host's tree, the host at last, with at
+least two labelled branches; else by their template, or its nearest ancestor, in a tree of the paths of all hosts, if at
+least two hosts have labels there. A single branch, or a single host, does not tell how others are.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import cut
+from ._common import cut, small
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Segments that vary by their form: numbers and dates, with an extension or not; hex strings; uuids.
@@ -44,13 +46,14 @@ RULES = (
 
 @dataclass(frozen=True)
 class TreeConfig:
-    """depth: segments kept (deeper ones share one wildcard); most_children: literal siblings before they all become a
-    wildcard; chi_square: largest statistic a degree of freedom at which siblings merge; prior_weight: labelled urls
-    that the overall share of blocked ones counts as; least_labelled, purity: when a template is rejected."""
+    """depth: segments told apart (deeper ones become one wildcard); most_children: literal siblings before they all
+    become a wildcard; chi_square: largest statistic of two branches that merge, with one degree of freedom (3.84: a
+    p-value of 0.05); prior_weight: labelled urls that the overall share of blocked ones counts as; least_labelled,
+    purity: when a template is rejected."""
 
-    depth: int = 6
+    depth: int = 32
     most_children: int = 32
-    chi_square: float = 2.7
+    chi_square: float = 3.84
     prior_weight: float = 2.0
     least_labelled: int = 5
     purity: float = 0.8
@@ -87,49 +90,79 @@ def templates(urls: DataFrame, config: TreeConfig = TreeConfig()) -> DataFrame:
     """The tree of urls (host, path, label), label 1 blocked, 0 allowed, null unknown; any other columns are ignored.
 
     Returns one row per host and distinct generalised path: host, raw (its segments), template (its final segments),
-    level, n, blocked, purity, rejected. level is the number of the template's first segments whose labels decide: all
-    of them if the template has labels, else those of its nearest ancestor (0: the host) with at least two labelled
-    branches, as a single branch does not tell how others are; null if there is none. n and blocked count the labelled
-    urls there and the blocked ones among them. Equal urls count as often as they occur. Urls collapse to distinct generalised paths before anything else, with partial sums, so a
-    host with most of all urls costs no more than its distinct paths.
+    basis, level, n, blocked, purity, rejected. basis tells whose labels decide: own (the template's), host (an
+    ancestor's in the host's tree), hosts (of all hosts), or none; level is the number of the template's first segments
+    that share them. n and blocked count these labelled urls and the blocked ones among them. Equal urls count as often
+    as they occur. Urls collapse to distinct generalised paths before anything else, with partial sums, so a host with
+    most of all urls costs no more than its distinct paths. Rows with a null host or path are left out.
     """
     label = F.col("label")
-    raw = urls.select("host", _segments(F.col("path"), config.depth).alias("raw"), label)
+    known = urls.where("host is not null and path is not null")
+    raw = known.select("host", _segments(F.col("path"), config.depth).alias("raw"), label)
     tree = raw.groupBy("host", "raw").agg(F.count("label").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("b"))
-    tree = cut(tree.withColumn("template", F.col("raw")))
-    deepest = tree.agg(F.max(F.size("raw"))).first()[0] or 0
-    for level in range(deepest):  # generalise from the top: a wildcard above lets more branches below come together
-        tree = _widen(tree, level, config.most_children)
-    tree = cut(tree) if deepest else tree
-    for level in reversed(range(deepest)):  # merge from the leaves up
-        tree = _merge(tree, level, config.chi_square)
-    totals = tree.groupBy("host", "template").agg(F.sum("n").alias("t_n"), F.sum("b").alias("t_b"))
-    totals = cut(totals)
+    tree = _generalised(tree, config)
+    totals = cut(tree.groupBy("host", "template").agg(F.sum("n").alias("t_n"), F.sum("b").alias("t_b")))
     n, b = totals.agg(F.sum("t_n"), F.sum("t_b")).first()
     prior = b / n if n else 0.0
-    totals = totals.join(_inherited(tree, totals), ["host", "template"], "left")
-    own = F.col("t_n") > 0
-    level = F.when(own, F.size("template")).otherwise(F.col("from.level"))
-    n = F.when(own, F.col("t_n")).otherwise(F.coalesce("from.n", F.lit(0)))
-    b = F.when(own, F.col("t_b")).otherwise(F.coalesce("from.b", F.lit(0)))
-    totals = totals.select("host", "template", level.alias("level"), n.alias("n"), b.alias("blocked"))
+    found = tree.select("host", "raw", "template").join(totals, ["host", "template"])
+    found = found.join(_of_host(tree, totals), ["host", "template"], "left").join(_of_all_hosts(tree, config), "raw", "left")
+    own, near = F.col("t_n") > 0, F.coalesce("of_host", "of_all")
+    basis = F.when(own, "own").when(F.col("of_host").isNotNull(), "host").when(near.isNotNull(), "hosts").otherwise("none")
+    level = F.when(own, F.size("template")).otherwise(near["level"])
+    n = F.when(own, F.col("t_n")).otherwise(F.coalesce(near["n"], F.lit(0)))
+    b = F.when(own, F.col("t_b")).otherwise(F.coalesce(near["b"], F.lit(0)))
+    found = found.select("host", "raw", "template", basis.alias("basis"), level.alias("level"), n.alias("n"), b.alias("blocked"))
     purity = (F.col("blocked") + config.prior_weight * prior) / (F.col("n") + config.prior_weight)
     rejected = (F.col("purity") >= config.purity) & (F.col("n") >= config.least_labelled)
-    totals = totals.withColumn("purity", purity).withColumn("rejected", rejected)
-    return tree.select("host", "raw", "template").join(totals, ["host", "template"])
+    return found.withColumn("purity", purity).withColumn("rejected", rejected)
+
+
+def _generalised(tree: DataFrame, config: TreeConfig) -> DataFrame:
+    """tree (host, raw, n, b and others) with template: its segments after widening and merging."""
+    tree = cut(tree.withColumn("template", F.col("raw")))
+    deepest = _deepest(tree)
+    for level in range(deepest):  # generalise from the top: a wildcard above lets more branches below come together
+        tree = cut(_widen(tree, level, config.most_children))
+    for level in reversed(range(deepest)):  # merge from the leaves up
+        tree = cut(_merge(tree, level, config.chi_square))
+    return tree
 
 
-def _inherited(tree: DataFrame, totals: DataFrame) -> DataFrame:
-    """(host, template, from: level, n, b of the nearest ancestor with two labelled branches) of unlabelled templates."""
+def _deepest(tree: DataFrame) -> int:
+    """Levels at which two paths of one host can meet: the largest second depth of any host."""
+    depths = tree.groupBy("host", F.size("raw").alias("depth")).agg(F.count("*").alias("n"))
+    so_far = F.sum("n").over(Window.partitionBy("host").orderBy(F.desc("depth")))
+    return depths.withColumn("so_far", so_far).where("so_far > 1").agg(F.max("depth")).first()[0] or 0
+
+
+def _prefixes(rows: DataFrame, least: int) -> DataFrame:
+    """rows once for each prefix of their templates of at least that many segments, with level and prefix."""
+    rows = rows.where(F.size("template") >= least)
+    rows = rows.withColumn("level", F.explode(F.sequence(F.lit(least), F.size("template"))))
+    return rows.withColumn("prefix", F.slice("template", F.lit(1), F.col("level")))
+
+
+def _of_host(tree: DataFrame, totals: DataFrame) -> DataFrame:
+    """(host, template, of_host: level, n, b of the nearest ancestor with two labelled branches) of unlabelled templates."""
     branch = F.coalesce(F.get("raw", F.col("level")), F.lit(""))
-    labelled = tree.where("n > 0").withColumn("level", F.explode(F.sequence(F.lit(0), F.size("template"))))
-    prefix = F.slice("template", F.lit(1), F.col("level")).alias("prefix")
-    ancestors = labelled.select("host", prefix, branch.alias("branch"), "n", "b").groupBy("host", "prefix")
+    ancestors = _prefixes(tree.where("n > 0"), 0).withColumn("branch", branch).groupBy("host", "prefix")
     ancestors = ancestors.agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.min("branch").alias("x"), F.max("branch").alias("y"))
     ancestors = ancestors.where("x <> y").select("host", "prefix", "n", "b")
-    without = totals.where("t_n = 0").withColumn("level", F.explode(F.sequence(F.lit(0), F.size("template"))))
-    found = without.select("host", "template", "level", prefix).join(ancestors, ["host", "prefix"])
-    return found.groupBy("host", "template").agg(F.max(F.struct("level", "n", "b")).alias("from"))
+    found = _prefixes(totals.where("t_n = 0"), 0).join(ancestors, ["host", "prefix"])
+    return found.groupBy("host", "template").agg(F.max(F.struct("level", "n", "b")).alias("of_host"))
+
+
+def _of_all_hosts(tree: DataFrame, config: TreeConfig) -> DataFrame:
+    """(raw, of_all: level, n, b of the nearest ancestor, itself included, in the tree of all hosts' paths that has
+    labels of two hosts). The root counts as none."""
+    host = F.when(F.col("n") > 0, F.col("host"))
+    every = tree.groupBy("raw").agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.min(host).alias("x"), F.max(host).alias("y"))
+    every = _generalised(every.withColumn("host", F.lit("")), config)
+    ancestors = _prefixes(every.where("n > 0"), 1).groupBy("prefix")
+    ancestors = ancestors.agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.min("x").alias("x"), F.max("y").alias("y"))
+    ancestors = cut(ancestors.where("x <> y").select("prefix", "n", "b"))
+    found = _prefixes(every.select("raw", "template"), 1).join(small(ancestors), "prefix")
+    return found.groupBy("raw").agg(F.max(F.struct("level", "n", "b")).alias("of_all"))
 
 
 def _at(level: int) -> Column:
@@ -152,22 +185,43 @@ def _widen(tree: DataFrame, level: int, most: int) -> DataFrame:
 
 
 def _merge(tree: DataFrame, level: int, limit: float) -> DataFrame:
-    """Siblings at a level (equal templates but for it) merge if a chi-square test finds their shares alike."""
+    """Siblings at a level (equal templates but for it) merge if chi-square tests find their shares alike.
+
+    Labelled siblings, of which there are few after _widen, are taken in the order of their shares; each is tested
+    against the group before it and joins it or starts a new one. A group of several becomes a wildcard: "*", or "*"
+    and its first member if there are several groups. Siblings without labels join a wildcard if it is the only group.
+    """
     here = tree.where(F.size("template") > level)
     branch = here.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).where("n > 0")
-    # sum of (b_i - n_i p)^2 / (n_i p (1 - p)) = (sum of b_i^2 / n_i - B^2 / N) / (p (1 - p))
-    siblings = branch.groupBy("host", _starred(level).alias("starred")).agg(
-        F.count("*").alias("k"), F.sum("n").alias("N"), F.sum("b").alias("B"), F.sum(F.col("b") * F.col("b") / F.col("n")).alias("q")
-    )
-    p = F.col("B") / F.col("N")
-    spread = p * (1 - p)
-    statistic = F.when(spread > 0, (F.col("q") - F.col("B") * p) / spread).otherwise(0.0)
-    alike = siblings.where((F.col("k") > 1) & (statistic <= limit * (F.col("k") - 1)))
-    alike = alike.select(F.col("host").alias("h"), F.col("starred").alias("s"))
-    same = (F.col("host") == F.col("h")) & (_starred(level) == F.col("s")) & (F.size("template") > level)
-    # branches without labels have no part in the test, but join where at least two labelled ones merge
-    joined = tree.join(alike, same, "left")
-    return joined.withColumn("template", F.when(F.col("h").isNotNull(), F.col("s")).otherwise(F.col("template"))).drop("h", "s")
+    one = F.struct((F.col("b") / F.col("n")).alias("share"), _at(level).alias("child"), "n", "b")
+    siblings = branch.groupBy("host", _starred(level).alias("s")).agg(F.sort_array(F.collect_list(one)).alias("all")).where("size(all) > 1")
+
+    def alike(g: Column, x: Column) -> Column:
+        n, b = g["n"] + x["n"], g["b"] + x["b"]
+        off = (g["b"] * x["n"] - x["b"] * g["n"]).cast("double")
+        return (b == 0) | (b == n) | (off * off * n <= limit * g["n"] * x["n"] * b * (n - b))
+
+    def step(groups: Column, x: Column) -> Column:
+        last = F.element_at(groups, -1)
+        grown = F.struct((last["n"] + x["n"]).alias("n"), (last["b"] + x["b"]).alias("b"), F.array_append(last["members"], x["child"]).alias("members"))
+        new = F.struct(x["n"].alias("n"), x["b"].alias("b"), F.array(x["child"]).alias("members"))
+        head = F.slice(groups, F.lit(1), F.size(groups) - 1)
+        return F.when(alike(last, x), F.array_append(head, grown)).otherwise(F.array_append(groups, new))
+
+    first = F.col("all")[0]
+    start = F.array(F.struct(first["n"].alias("n"), first["b"].alias("b"), F.array(first["child"]).alias("members")))
+    groups = siblings.select("host", "s", F.aggregate(F.slice("all", F.lit(2), F.size("all")), start, step).alias("groups"))
+    groups = groups.withColumn("only", F.size("groups") == 1).select("host", "s", "only", F.explode("groups.members").alias("members"))
+    groups = groups.where("size(members) > 1")
+    star = F.when(F.col("only") | F.array_contains("members", "*"), F.lit("*")).otherwise(F.concat(F.lit("*"), F.col("members")[0]))
+    named = groups.select(F.col("host").alias("h"), F.col("s").alias("s"), F.explode("members").alias("member"), star.alias("star"))
+    whole = groups.where("only").select(F.col("host").alias("wh"), F.col("s").alias("ws"))
+    deep = F.size("template") > level
+    joined = tree.join(named, deep & (F.col("host") == F.col("h")) & (_starred(level) == F.col("s")) & (_at(level) == F.col("member")), "left")
+    joined = joined.join(whole, deep & (F.col("host") == F.col("wh")) & (_starred(level) == F.col("ws")), "left")
+    to = F.coalesce("star", F.when(F.col("wh").isNotNull(), F.lit("*")))
+    changed = F.transform("template", lambda x, k: F.when(k == level, to).otherwise(x))
+    return joined.withColumn("template", F.when(to.isNotNull(), changed).otherwise(F.col("template"))).select(*tree.columns)
 
 
 def judge(
@@ -178,21 +232,24 @@ def judge(
     labels: DataFrame | None = None,
     config: TreeConfig = TreeConfig(),
 ) -> DataFrame:
-    """page id, host, path, rule (its text, else null) and verdict: the longest rule's, else the template tree's.
+    """page id, host, path, rule (its text, else null), verdict, basis: the longest rule's, else the template tree's.
 
-    Urls that a rule fits serve as labelled ones, as do labels (url, label) if given. A url of a rejected template, by
-    its own labels or by those it inherits, is blocked, any other allowed; so is a null url or one without "://" (its host and path are empty). One row per row
-    of pages; repeated rows stay; an empty table gives no rows.
+    Urls that a rule fits serve as labelled ones, as do labels (url, label) if given. A url of a rejected template is
+    blocked, any other allowed; so is a null url or one without "://" (its host and path are empty). basis is "rule",
+    or as in templates(). One row per row of pages; repeated rows stay; an empty table gives no rows.
     """
     url = F.col(f"`{url_col}`")
-    split = pages.select(F.col(f"`{id_col}`"), host_of(url).alias("host"), path_of(url).alias("path"))
+    split = pages.select(F.col(f"`{id_col}`").alias("__id"), host_of(url).alias("host"), path_of(url).alias("path"))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     ruled = split.withColumns({"rule": rule, "ruling": verdict})
     known = ruled.select("host", "path", F.when(F.col("ruling") == "block", 1).when(F.col("ruling") == "allow", 0).alias("label"))
     if labels is not None:
         more = labels.where("label in (0, 1)")
         known = known.unionByName(more.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "label"))
-    tree = templates(known, config).where("rejected").select(F.col("host").alias("h"), F.col("raw").alias("r")).distinct()
-    same = (F.col("host") == F.col("h")) & (_segments(F.col("path"), config.depth) == F.col("r"))
-    fallback = F.when(F.col("h").isNotNull(), "block").otherwise("allow")
-    return ruled.join(tree, same, "left").select(id_col, "host", "path", "rule", F.coalesce("ruling", fallback).alias("verdict"))
+    tree = templates(known, config).where("basis <> 'none'").select(F.col("host").alias("h"), F.col("raw").alias("r"), "rejected", F.col("basis").alias("by"))
+    tree = cut(tree)
+    same = F.col("ruling").isNull() & (F.col("host") == F.col("h")) & (_segments(F.col("path"), config.depth) == F.col("r"))
+    verdict = F.coalesce("ruling", F.when(F.col("rejected"), "block").otherwise("allow"))
+    basis = F.when(F.col("ruling").isNotNull(), "rule").otherwise(F.coalesce("by", F.lit("none")))
+    joined = ruled.join(small(tree), same, "left")
+    return joined.select(F.col("__id").alias(id_col), "host", "path", "rule", verdict.alias("verdict"), basis.alias("basis"))
