@@ -174,15 +174,24 @@ def _hamming(a: Column, b: Column, n_words: int) -> Column:
     return sum((F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(n_words)), F.lit(0))
 
 
-def linked(nodes: DataFrame, distance: int, n_words: int, confirm=None, rounds: int = 2) -> DataFrame:
+def _alike(similarity: float) -> Column:
+    """Whether the sets sa and sb have at least the Jaccard similarity; sizes that rule it out are looked at first."""
+    small, large = F.least(F.size("sa"), F.size("sb")), F.greatest(F.size("sa"), F.size("sb"))
+    common = F.size(F.array_intersect("sa", "sb"))
+    return (small >= similarity * large) & (common / (small + large - common) >= similarity)
+
+
+def linked(nodes: DataFrame, distance: int, n_words: int, sets=None, similarity: float = 0.8, rounds: int = 2) -> DataFrame:
     """(node, component): the smallest node reachable over links; nodes without links are absent.
 
     nodes: node, w (n_words words of fingerprint), keys; a stored table. Nodes that share a key and differ in at most
-    `distance` bits link, if confirm, a function from pairs (a, b) to those that hold, agrees.
+    `distance` bits link. If sets is given, a function from some nodes to a stored table (node, s) and its path, the
+    sets s must have at least the Jaccard similarity as well.
 
     Only keys that several nodes share count. In `rounds` rounds, members of other components are verified against one
     head a key; last, all pairs of different components that share a key are, so no pair that could change a component
-    is left out. A dense group merges early and costs no pairs; the distance is tested within the join.
+    is left out. A dense group merges early and costs no pairs. The last join tests distance and similarity itself and
+    so makes no rows but links; before, members without any close member of another component are left out.
     """
     spark = nodes.sparkSession
     rows = nodes.select("node", F.explode("keys").alias("key"))
@@ -209,22 +218,36 @@ def linked(nodes: DataFrame, distance: int, n_words: int, confirm=None, rounds:
             near = _hamming(F.col("w"), F.col("head.w"), n_words) <= distance
             pairs = members.join(some, "key").where((F.col("component") != F.col("head.component")) & near)
             pairs = pairs.select(F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b"))
+            pairs, path = stored(pairs.distinct())
+            paths.append(path)
+            if sets and pairs.head(1):
+                both = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+                known, path = sets(both.distinct())
+                a = known.select(F.col("node").alias("a"), F.col("s").alias("sa"))
+                b = known.select(F.col("node").alias("b"), F.col("s").alias("sb"))
+                pairs, pairs_path = stored(pairs.join(b, "b").join(a, "a").where(_alike(similarity)).select("a", "b"))
+                paths += [path, pairs_path]
         else:
-            left_open, path = stored(members.join(heads.select("key"), "key"))
+            left_open, path = stored(members.join(heads.select("key"), "key").drop("head"))
             paths.append(path)
-            left = left_open.select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("w").alias("wa"))
-            right = left_open.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("w").alias("wb"))
-            near = _hamming(F.col("wa"), F.col("wb"), n_words) <= distance
-            pairs = left.join(right, "key").where((F.col("ca") < F.col("cb")) & near).select("a", "b")
-        pairs, path = stored(pairs.distinct())
-        paths.append(path)
-        if not pairs.head(1):
-            continue
-        if confirm:
-            pairs, path = stored(confirm(pairs))
+            names = {"key": "other_key", "node": "other", "component": "other_component", "w": "other_w"}
+            right = left_open.withColumnsRenamed(names)
+            near = (F.col("component") != F.col("other_component")) & (_hamming(F.col("w"), F.col("other_w"), n_words) <= distance)
+            close, path = stored(left_open.join(right, (F.col("key") == F.col("other_key")) & near, "left_semi"))
             paths.append(path)
-        edges = pairs if edges is None else edges.unionByName(pairs)
-        labels = connected_components(edges)
+            if sets:
+                known, path = sets(close.select("node").distinct())
+                paths.append(path)
+                close = close.join(known, "node")
+            left = close.withColumnsRenamed({c: f"{c}a" for c in close.columns if c != "key"})
+            right = close.withColumnsRenamed({c: f"{c}b" for c in close.columns if c != "key"})
+            near = (F.col("componenta") < F.col("componentb")) & (_hamming(F.col("wa"), F.col("wb"), n_words) <= distance)
+            both = left.join(right, "key").where(near & _alike(similarity) if sets else near)
+            pairs, path = stored(both.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct())
+            paths.append(path)
+        if pairs.head(1):
+            edges = pairs if edges is None else edges.unionByName(pairs)
+            labels = connected_components(edges)
     discard(spark, shared_path, *paths)
     return spark.createDataFrame([], "node bigint, component bigint") if labels is None else labels
 
@@ -278,25 +301,20 @@ def _text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def similar(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose shingle sets have at least a Jaccard similarity.
+def shingle_sets(some: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int) -> tuple[DataFrame, str]:
+    """(node, s: shingle set) of some nodes as a stored table, and its path.
 
-    nodes: node, doc_id, hash of one text each; texts: doc_id, hash, text. Only texts of pairs are moved.
+    nodes: node, doc_id, hash of one text each; texts: doc_id, hash, text. Only the texts of these nodes are moved.
     """
-    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    needed, needed_path = stored(needed.join(nodes.select("node", "doc_id", "hash"), "node"))
+    needed, needed_path = stored(some.join(nodes.select("node", "doc_id", "hash"), "node"))
 
     def make():
-        return lambda some: [pa.array([shingle_set(t, shingle).view("<i8") for t in some], pa.list_(pa.int64()))]
+        return lambda rows: [pa.array([shingle_set(t, shingle).view("<i8") for t in rows], pa.list_(pa.int64()))]
 
     found = texts.join(small(needed), ["doc_id", "hash"]).select("node", "text").dropDuplicates(["node"])
-    sets, sets_path = stored(append_columns(found, "text", make, "s array<bigint>").drop("text"))
-    a, b = sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), sets.select(F.col("node").alias("b"), F.col("s").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    alike = common / (F.size("sa") + F.size("sb") - common) >= similarity
-    held = cut(pairs.join(b, "b").join(a, "a").where(alike).select("a", "b"))
-    discard(pairs.sparkSession, needed_path, sets_path)
-    return held
+    out = stored(append_columns(found, "text", make, "s array<bigint>").drop("text"))
+    discard(texts.sparkSession, needed_path)
+    return out
 
 
 def deduplicate(
@@ -329,7 +347,7 @@ def deduplicate(
     one = F.min(F.struct("doc_id", "hash", "w", "keys")).alias("one")
     nodes = prints.groupBy("same").agg(one).select("same", "one.*").withColumn("node", F.monotonically_increasing_id())
     nodes, nodes_path = stored(nodes)
-    labels = linked(nodes, distance, plan.n_words, lambda pairs: similar(pairs, nodes, rows, shingle, similarity))
+    labels = linked(nodes, distance, plan.n_words, lambda some: shingle_sets(some, nodes, rows, shingle), similarity)
     narrow = nodes.select("same", "node", F.col("doc_id").alias("own")).join(labels, "node", "left")
     least = narrow.where("component is not null").groupBy("component").agg(F.min("own").alias("least"))
     kept = narrow.join(least, "component", "left").select("same", F.coalesce("least", "own").alias("kept"))
