@@ -3,7 +3,9 @@
 The lexicon is every term whose inverse document frequency lies in a band. A text keeps its distinct lexicon terms,
 sorted; each of several random subsets of the lexicon gives one hash of the terms that text and subset share. Subsets
 come in levels of 16 that hold a 16th, a 128th, a 1024th and an 8192nd of the lexicon, so that texts of any length
-have subsets with a few of their terms each. Built-in functions only.
+have subsets with a few of their terms each. A level draws a number for each term, by bits of its hash that no other
+level uses, and subset i holds the terms that drew i: the subsets of a level are disjoint random samples of the
+lexicon, so a changed term spoils one of them at most. Built-in functions only.
 
 The band's lower end bounds the lexicon: terms that at least a share s of all documents hold number at most 1/s times
 the mean number of distinct terms of a document, however many documents there are.
@@ -21,6 +23,8 @@ _LEVELS = ((0, 4), (4, 7), (11, 10), (21, 13))
 _SUBSETS = 16
 #: xxhash64 of no terms is its seed: the subset is empty for this text.
 _EMPTY = 42
+#: Bits of a subset's hash, all of which the fingerprint shows.
+_SHOWN = 0xFFFFFFFF
 #: Largest lexicon that is broadcast (16 bytes a term); a larger one is joined by a shuffle.
 BROADCAST_TERMS = 2_000_000
 
@@ -48,20 +52,20 @@ def _level(terms: Column, first: int, bits: int) -> Column:
 
     def subset(i: Column) -> Column:
         drawn = lambda t: F.shiftrightunsigned(t, first).bitwiseAND(F.lit((1 << bits) - 1))
-        return F.xxhash64(F.filter(terms, lambda t: drawn(t) == i))
+        return F.xxhash64(F.filter(terms, lambda t: drawn(t) == i)).bitwiseAND(F.lit(_SHOWN))
 
     return F.transform(F.sequence(F.lit(0), F.lit(_SUBSETS - 1)), subset)
 
 
 def _hashes(terms: Column, whole: Column) -> Column:
     """Subset hashes of sorted distinct terms; last, a hash of the whole text if it holds no term of the lexicon."""
-    last = F.when(F.size(terms) == 0, whole).otherwise(F.lit(_EMPTY).cast("bigint"))
+    last = F.when(F.size(terms) == 0, whole.bitwiseAND(F.lit(_SHOWN))).otherwise(F.lit(_EMPTY).cast("bigint"))
     return F.concat(*[_level(terms, first, bits) for first, bits in _LEVELS], F.array(last))
 
 
 def to_text(hashes: Column) -> Column:
     """A fingerprint as text: eight hex digits a subset, dashes for a subset without terms."""
-    one = lambda h: F.when(h == _EMPTY, F.lit("-")).otherwise(F.lpad(F.lower(F.hex(h.bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0"))
+    one = lambda h: F.when(h == _EMPTY, F.lit("-")).otherwise(F.lpad(F.lower(F.hex(h)), 8, "0"))
     return F.array_join(F.transform(hashes, one), "")
 
 
@@ -124,9 +128,23 @@ def fingerprints(docs: DataFrame, words: DataFrame, id_col: str = "doc_id", text
 _ORDER = ("absent", "back", "hash")
 
 
+#: Most buckets: so many cuts reach the driver, whatever the number of documents.
+MOST_BUCKETS = 20_000
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """docs with number, a bigint in the order of doc_id: integers are their own, other ids get their rank."""
+    if dict(docs.dtypes)["doc_id"] in ("tinyint", "smallint", "int", "bigint"):
+        return docs.withColumn("number", F.col("doc_id").cast("bigint"))
+    ids = docs.select("doc_id").where("doc_id is not null").distinct()
+    ids = ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id").withColumn("number", F.monotonically_increasing_id())
+    return docs.join(cut(ids), "doc_id", "left")
+
+
 def _placed_keys(docs: DataFrame) -> DataFrame:
     """docs with their order as three columns, all ascending, and a row number that only deals out equal rows."""
-    back = F.coalesce(F.bitwise_not(F.col("doc_id").cast("bigint")), F.lit(0))
+    docs = _numbered(docs)
+    back = F.coalesce(F.bitwise_not(F.col("number")), F.lit(0))
     keys = {"absent": F.col("doc_id").isNull().cast("bigint"), "back": back, "hash": F.xxhash64("text")}
     return docs.withColumns(keys | {"row": F.monotonically_increasing_id()})
 
@@ -134,6 +152,7 @@ def _placed_keys(docs: DataFrame) -> DataFrame:
 def _cuts(keys: DataFrame, per_bucket: int) -> list[tuple]:
     """The keys of every per_bucket-th row in their order, which is found in ranges with a narrow row a document."""
     n = keys.count()
+    per_bucket = max(per_bucket, -(-n // MOST_BUCKETS))
     parts = max(1, min(2000, -(-n // 20_000)))
     ranged = cut(keys.repartitionByRange(parts, *_ORDER, "row").withColumn("part", F.spark_partition_id()))
     sizes, offsets, total = sorted(ranged.groupBy("part").count().collect()), [], 0
@@ -172,7 +191,8 @@ def _in_order(docs: DataFrame, per_bucket: int) -> DataFrame:
     """(bucket, doc_id, text, real): documents in buckets of descending doc_id; each bucket ends with a copy (real:
     false) of the document after its last one, after the very last the first.
 
-    Buckets are cut at row counts, whatever the ids: about per_bucket documents each, null and repeated ids included.
+    Buckets are cut at row counts, whatever the ids: about per_bucket documents each, null and repeated ids included;
+    more where there would be over MOST_BUCKETS. What follows sorts and spills, so a bucket need not fit in memory.
     Only narrow rows are ordered for that (one a document in ranges, one a bucket as a whole).
     """
     keyed = _placed_keys(docs)
@@ -198,7 +218,7 @@ def compare_edited(
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row of docs.
 
     The edited text has the last floor(n_chars / 3) code points replaced by the first as many (or all) of the next
-    document's, in descending doc_id; after the last comes the first. near_edited and near_next are the likeness of a
+    document's, in descending doc_id (of any type that has an order); after the last comes the first. near_edited and near_next are the likeness of a
     fingerprint to the edited text's and to the next document's. Null counts as empty; documents of equal id follow
     each other in the order of a hash of their texts; null ids come last; an empty table gives no rows.
 

@@ -1,6 +1,9 @@
 """SimHash and I-Match against brute force and on edge cases."""
 
 import random
+import re
+import struct
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -201,6 +204,56 @@ def test_imatch_edited_text_and_likeness(spark):
     assert imatch.compare_edited(one, words).count() == 1
 
 
+def brute_imatch(docs, low, high):
+    """Fingerprints (lists, None for a subset without terms) and their text, in plain Python."""
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    terms = {i: {signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in re.findall(r"[^\W_]+", (t or "").lower())} for i, t in docs}
+    count = Counter(h for own in terms.values() for h in own)
+    lexicon = {h for h, n in count.items() if max(2, low * len(docs)) <= n <= max(2, high * len(docs))}
+    out = {}
+    for i, t in docs:
+        kept, found = sorted(terms[i] & lexicon), []
+        for first, bits in ((0, 4), (4, 7), (11, 10), (21, 13)):
+            for subset in range(16):
+                h = 42
+                for term in kept:
+                    if (term % (1 << 64)) >> first & ((1 << bits) - 1) == subset:
+                        h = xxhash.xxh64_intdigest(struct.pack("<q", term), h)
+                found.append(None if h == 42 else h & 0xFFFFFFFF)
+        found.append(None if kept else xxhash.xxh64_intdigest((t or "").encode(), 42) & 0xFFFFFFFF)
+        out[i] = found
+    return out
+
+
+def brute_likeness(a, b):
+    if a == b:
+        return 1.0
+    share = lambda x, y: (sum(p is not None or q is not None for p, q in zip(x, y)), sum(p is not None and p == q for p, q in zip(x, y)))
+    levels = [share(a[k : k + 16], b[k : k + 16]) for k in range(0, 64, 16)]
+    best = [equal / used for used, equal in levels if used >= 4]
+    used, equal = share(a, b)
+    return max(best) if best else equal / used if used else 0.0
+
+
+def test_imatch_against_brute_force(spark):
+    rng = random.Random(15)
+    vocabulary = ["w%dé" % i for i in range(300)]
+    docs = [(i, ", ".join(rng.choice(vocabulary) for _ in range(rng.randrange(90)))) for i in range(60)] + [(90, None), (91, "__"), (92, "only here")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    words = imatch.lexicon(frame, 0.01, 0.5)
+    want = brute_imatch(docs, 0.01, 0.5)
+    text = lambda f: "".join("-" if h is None else f"{h:08x}" for h in f)
+    got = {r["doc_id"]: r for r in imatch.compare_edited(frame, words, per_bucket=20).collect()}
+    ordered = sorted(want, reverse=True)
+    for k, i in enumerate(ordered):
+        after = want[ordered[(k + 1) % len(ordered)]]
+        assert got[i]["fingerprint"] == text(want[i])
+        assert got[i]["near_next"] == pytest.approx(brute_likeness(want[i], after))
+    named = spark.createDataFrame([(f"id{i:03}", t) for i, t in docs], "doc_id string, text string")
+    other = {r["doc_id"]: r for r in imatch.compare_edited(named, words, per_bucket=20).collect()}  # ids of another type
+    assert {int(i[2:]): tuple(r)[1:] for i, r in other.items()} == {i: tuple(r)[1:] for i, r in got.items()}
+
+
 def test_lexicon_band(spark):
     rows = [(i, ("Every " + ("half " if i % 2 else "") + f"only{i}")) for i in range(10)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
