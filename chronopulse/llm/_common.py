@@ -122,6 +122,13 @@ def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores until no column of df has it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def fold(column: Column, modulus: int) -> Column:
     """crc32 of a column's text form modulo a number; null counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))

@@ -22,8 +22,9 @@ _NORMAL = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-#: Largest broadcast: characters of benchmark text in one block. A larger benchmark is scanned block by block.
-BLOCK_CHARS = 32_000_000
+#: Largest broadcast: characters of benchmark text in one block, whose index takes about seven bytes each. A larger
+#: benchmark is scanned block by block.
+BLOCK_CHARS = 8_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -32,21 +33,31 @@ def words(text: str) -> list[bytes]:
 
 
 class WindowIndex:
-    """All windows of the items (id, text): `size` consecutive words; an item of fewer, but not none, is one window."""
+    """All windows of the items (id, text): `size` consecutive words; an item of fewer, but not none, is one window.
 
-    def __init__(self, items: Iterable[tuple[int, str]], size: int = 10):
+    Words are numbered; the items' numbers lie in one array, windows are places in it, sorted by hash for each length.
+    """
+
+    def __init__(self, items: Iterable[tuple[object, str]], size: int = 10):
         self.vocabulary: dict[bytes, int] = {}
-        by_length: dict[int, dict[tuple[int, ...], set]] = defaultdict(lambda: defaultdict(set))
+        self.ids: list[str | None] = []
+        parts, places, at = [np.empty(0, dtype=np.uint32)], defaultdict(list), 0
         for item, text in items:
             codes = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text or "")]
-            length = min(size, len(codes))
-            for k in range(len(codes) - length + 1) if codes else ():
-                by_length[length][tuple(codes[k : k + length])].add(item)
-        self.windows = {n: {w: tuple(sorted(i, key=str)) for w, i in found.items()} for n, found in by_length.items()}
-        self.hashes = {
-            n: np.unique(self._hash(np.array(list(found), dtype=np.uint64).ravel(), n)[::n])
-            for n, found in self.windows.items()
-        }
+            if codes:
+                n, count = min(size, len(codes)), max(1, len(codes) - size + 1)
+                places[n].append((at, count, len(self.ids)))
+                parts.append(np.array(codes, dtype=np.uint32))
+                self.ids.append(None if item is None else str(item))
+                at += len(codes)
+        self.codes = np.concatenate(parts)
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}  # length -> hashes, places, items
+        for n, found in places.items():
+            start = np.concatenate([np.arange(a, a + count) for a, count, _ in found])
+            owner = np.repeat([k for _, _, k in found], [count for _, count, _ in found])
+            h = self._hash(self.codes.astype(np.uint64), n)[start]
+            order = np.argsort(h, kind="stable")
+            self.windows[n] = h[order], start[order].astype(np.uint32), owner[order].astype(np.uint32)
 
     @staticmethod
     def _hash(codes: np.ndarray, n: int) -> np.ndarray:
@@ -57,26 +68,35 @@ class WindowIndex:
             h ^= h >> np.uint64(29)
         return h
 
-    def find(self, found: list[bytes]) -> tuple[np.ndarray, set]:
-        """A flag for each word (inside an occurrence of a window) and the set of items with occurring windows."""
+    def find(self, found: list[bytes]) -> tuple[np.ndarray, set[str]]:
+        """A flag for each word (inside an occurrence of a window) and the ids of items with occurring windows.
+
+        An item without an id hits words but is not named.
+        """
         hit, items = np.zeros(len(found), dtype=bool), set()
         look = self.vocabulary.get
-        codes = np.array([look(w, 0) for w in found], dtype=np.uint64)
-        for n, hashes in self.hashes.items():
+        codes = np.array([look(w, 0) for w in found], dtype=np.uint32)
+        for n, (hashes, places, owners) in self.windows.items():
             if len(codes) < n:
                 continue
+            seen: dict[bytes, bool] = {}
             # only stretches of n or more benchmark words can hold a window
             unknown = np.concatenate(([-1], np.flatnonzero(codes == 0), [len(codes)]))
             for gap in np.flatnonzero(np.diff(unknown) > n):
                 start, stop = unknown[gap] + 1, unknown[gap + 1]
-                h = self._hash(codes[start:stop], n)
-                at = np.searchsorted(hashes, h)
-                for k in np.flatnonzero(hashes[np.minimum(at, len(hashes) - 1)] == h):
-                    window = tuple(int(c) for c in codes[start + k : start + k + n])
-                    if window in self.windows[n]:  # verified: the words are equal, not only their hashes
-                        items.update(self.windows[n][window])
+                h = self._hash(codes[start:stop].astype(np.uint64), n)
+                first = np.searchsorted(hashes, h)
+                for k in np.flatnonzero(hashes[np.minimum(first, len(hashes) - 1)] == h):
+                    window = codes[start + k : start + k + n]
+                    name = window.tobytes()
+                    if name not in seen:  # verified: the words are equal, not only their hashes
+                        low, high = first[k], np.searchsorted(hashes, h[k], "right")
+                        there = (self.codes[places[low:high, None] + np.arange(n, dtype=np.uint32)] == window).all(axis=1)
+                        seen[name] = bool(there.any())
+                        items.update(self.ids[o] for o in np.unique(owners[low:high][there]))
+                    if seen[name]:
                         hit[start + k : start + k + n] = True
-        return hit, items
+        return hit, items - {None}
 
 
 def _runs(text: str, hit: np.ndarray) -> list[dict]:
@@ -101,11 +121,11 @@ _RUN_TYPE = pa.list_(pa.struct([(n, pa.int64()) for n in ("first", "last", "star
 
 
 def _scan(docs: DataFrame, block: DataFrame, size: int, text_col: str, names: tuple[str, str, str]) -> DataFrame:
-    rows = [(r["item_id"], r["text"]) for r in block.collect()]  # at most a block of stated size
-    shared = docs.sparkSession.sparkContext.broadcast(rows)
+    rows = ((r["item_id"], r["text"]) for r in block.collect())  # at most a block of stated size
+    shared = docs.sparkSession.sparkContext.broadcast(WindowIndex(rows, size))  # unpacked once a worker process
 
     def make():
-        index = WindowIndex(shared.value, size)
+        index = shared.value
 
         def each(texts: list[str]):
             n_words, items, runs = [], [], []
@@ -113,8 +133,8 @@ def _scan(docs: DataFrame, block: DataFrame, size: int, text_col: str, names: tu
                 found = words(t)
                 hit, ids = index.find(found)
                 n_words.append(len(found))
-                items.append(sorted(map(str, ids)))
-                runs.append(_runs(t, hit) if ids else [])
+                items.append(sorted(ids))
+                runs.append(_runs(t, hit) if hit.any() else [])
             return [pa.array(n_words, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(runs, _RUN_TYPE)]
 
         return each
@@ -127,8 +147,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_col="text",
     """docs with n_words, n_hit, items (ids as sorted strings) and runs of hit words (word numbers, code points).
 
     A window is `size` consecutive words of an item; an item of fewer words, but not none, is one window. Whole texts,
-    no shuffle. Null text has no words; an empty benchmark hits nothing; an item given twice counts once; repeated
-    rows stay; columns of these names are replaced. A benchmark of more than block_chars characters is scanned in
+    no shuffle. Null text has no words; an empty benchmark hits nothing; an item given twice counts once; an item with
+    a null id hits words but is not named; repeated rows stay; columns of these names are replaced. A benchmark of more than block_chars characters is scanned in
     blocks of at most that size, one after the other; runs found by different blocks may overlap.
     """
     out, blocks = docs, benchmark_blocks(benchmark, block_chars=block_chars)
@@ -166,10 +186,13 @@ def remove_spans(scanned: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, mode: str = "spans", text_col="text") -> DataFrame:
-    """docs without benchmark passages: mode "spans" cuts the hit words out, "documents" drops every document hit."""
-    scanned = scan(docs, benchmark, size, text_col)
-    if mode == "documents":
-        return scanned.where("n_hit = 0").select(*docs.columns)
-    if mode != "spans":
+    """docs without benchmark passages: mode "spans" cuts the hit words out, "documents" drops every document hit.
+
+    All columns of docs stay as they are, but for the text; whatever their names, they do not clash with ours.
+    """
+    if mode not in ("spans", "documents"):
         raise ValueError(f"mode is spans or documents, not {mode}")
-    return remove_spans(scanned, text_col).select(*docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    scanned = scan(docs.select(F.col(f"`{text_col}`").alias("text"), row.alias("row")), benchmark, size)
+    left = scanned.where("n_hit = 0") if mode == "documents" else remove_spans(scanned)
+    return left.select(*[(F.col("text") if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])

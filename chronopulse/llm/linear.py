@@ -76,7 +76,8 @@ def train_sample(docs, labels, label_col: str, usable, limit: int):
     """(doc_id, text, label): at most `limit` labelled rows, chosen by hash order, as even between the labels as they allow.
 
     The choice is made on the narrow labels table; the bounded set of ids is then broadcast to the documents.
-    Rows with a null id, text or label are not used; a document with several labels counts once per distinct label.
+    Rows with a null id, text or label are not used; a document with several labels counts once per distinct label, an
+    id with several texts by its least one.
     """
     from pyspark.sql import Window
     from pyspark.sql import functions as F
@@ -92,7 +93,8 @@ def train_sample(docs, labels, label_col: str, usable, limit: int):
     # at most 2 * limit narrow rows are ranked; taking the lowest ranks of both labels evens them out
     ids = ids.withColumn("rank", rank).orderBy("rank", "label").limit(limit).select("doc_id", "label")
     texts = docs.select("doc_id", "text").where("text is not null")
-    return texts.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label")
+    # repeats of an id would make the sample unbounded: each counts once, with its least text
+    return texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def train(sample, make_weights) -> np.ndarray:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import append_columns, fold
+from ._common import append_columns, fold, unused
 from .linear import FtrlProximal, HashedModel, train, train_sample
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -93,18 +93,22 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, config: QualityConfig =
     return train(sample, make_weights)
 
 
-def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", config: QualityConfig = QualityConfig()) -> DataFrame:
-    """docs with score (0 to 1; higher: label 1 likelier) and predicted (1 if score >= config.threshold, else 0).
-
-    Whole texts; null counts as empty; empty texts get the bias alone; columns of these names are replaced.
-    """
+def _scored(docs: DataFrame, weights: np.ndarray, text_col: str, config: QualityConfig, out_col: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype("<f4"))  # 4 * 2^bits bytes, whatever the corpus
 
     def make():
         model = HashedModel(shared.value, WordFeatures(config))
         return lambda texts: [pa.array([model.score(t) for t in texts], pa.float64())]
 
-    scored = append_columns(docs, text_col, make, "score double")
+    return append_columns(docs, text_col, make, f"{out_col} double")
+
+
+def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", config: QualityConfig = QualityConfig()) -> DataFrame:
+    """docs with score (0 to 1; higher: label 1 likelier) and predicted (1 if score >= config.threshold, else 0).
+
+    Whole texts; null counts as empty; empty texts get the bias alone; columns of these names are replaced.
+    """
+    scored = _scored(docs, weights, text_col, config, "score")
     return scored.withColumn("predicted", (F.col("score") >= config.threshold).cast("int"))
 
 
@@ -115,4 +119,6 @@ def held_out(column):
 
 def keep_good(docs: DataFrame, weights: np.ndarray, config: QualityConfig = QualityConfig()) -> DataFrame:
     """The rows of docs that the classifier accepts, with the columns of docs."""
-    return score(docs, weights, config=config).where("predicted = 1").select(*docs.columns)
+    mine = unused(docs, "score")
+    scored = _scored(docs, weights, "text", config, mine)
+    return scored.where(F.col(mine) >= config.threshold).select(*[F.col(f"`{c}`") for c in docs.columns])

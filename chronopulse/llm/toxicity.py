@@ -1,8 +1,8 @@
 """Toxicity: a character n-gram linear classifier over naive Bayes log-count ratios.
 
-A text's features are the hashed character n-grams that occur in it, each with the value of its naive Bayes log-count
-ratio log(p/q), where p and q are the smoothed shares of toxic and other training texts that hold it; a logistic model
-is then trained on those values.
+A text's features are its hashed character n-grams, with log counts scaled to unit length. Each is multiplied by its
+naive Bayes log-count ratio log(p/q), where p and q are the smoothed shares that the n-gram has of all n-grams of toxic
+and of other training texts, every text counting alike; a logistic model is then trained on those values.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import append_columns, fold
+from ._common import append_columns, fold, unused
 from .linear import FtrlProximal, sigmoid, train, train_sample
 
 
@@ -24,26 +24,26 @@ class ToxicityConfig:
 
     sample: int = 6000
     bits: int = 18
-    orders: tuple[int, ...] = (3, 4, 5, 6)
+    orders: tuple[int, ...] = (4, 6, 7)
     smoothing: float = 1.0
-    scale: float = 0.1
-    alpha: float = 0.05
+    scale: float = 16.0
+    alpha: float = 0.2
     l2: float = 1e-3
-    epochs: int = 4
+    epochs: int = 3
     threshold: float = 0.5
 
 
 class CharFeatures:
-    """Text to the sorted hashed indices of the n-grams present in it, lower-cased and padded by a space."""
+    """Text to the hashed indices of its n-grams and their values, lower-cased and padded by a space."""
 
     def __init__(self, config: ToxicityConfig):
         self.config = config
-        self.seen = np.zeros(1 << config.bits, dtype=bool)
 
-    def __call__(self, text: str, block: int = 1 << 20) -> np.ndarray:
+    def counts(self, text: str, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted indices and how often each occurs."""
         codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype="<u4")
         longest, shift = max(self.config.orders), np.uint32(32 - self.config.bits)
-        self.seen[:] = False
+        found = np.zeros(1 << self.config.bits, dtype=np.int64)
         for start in range(0, len(codes), block):  # blocks overlap, so that memory stays bounded on huge texts
             part = codes[start : start + block + longest - 1]
             gram = part.copy()
@@ -52,8 +52,15 @@ class CharFeatures:
                     break
                 gram = gram[:-1] * np.uint32(0x01000193) + part[n - 1 :]
                 if n in self.config.orders:
-                    self.seen[((gram ^ (gram >> np.uint32(15)) ^ np.uint32(n)) * np.uint32(0x9E3779B1)) >> shift] = True
-        return np.flatnonzero(self.seen)
+                    own = gram[:block]  # those that start in this block
+                    found += np.bincount(((own ^ (own >> np.uint32(15)) ^ np.uint32(n)) * np.uint32(0x9E3779B1)) >> shift, minlength=len(found))
+        idx = np.flatnonzero(found)
+        return idx, found[idx]
+
+    @staticmethod
+    def values(count: np.ndarray) -> np.ndarray:
+        val = np.log1p(count)
+        return val / np.sqrt(val @ val) if len(val) else val
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable=None, config: ToxicityConfig = ToxicityConfig()) -> np.ndarray:
@@ -66,32 +73,48 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, config: ToxicityConfig
 
     def make_weights(texts: list[str], targets: list[int]) -> np.ndarray:
         features, size = CharFeatures(config), 1 << config.bits
-        rows = [features(t).astype(np.int32) for t in texts]
-        counts = np.full((2, size), config.smoothing)
-        for idx, label in zip(rows, targets, strict=True):
-            counts[label, idx] += 1
-        totals = np.bincount(targets, minlength=2)[:2] + 2 * config.smoothing
-        ratio = np.log(counts[1] / totals[1]) - np.log(counts[0] / totals[0])
-        value = ratio * config.scale
+        rows, counts = [], np.full((2, size), config.smoothing)
+        for text, label in zip(texts, targets, strict=True):
+            idx, count = features.counts(text)
+            counts[label, idx] += count * (1000.0 / max(1, count.sum()))
+            rows.append((idx.astype(np.int32), features.values(count).astype(np.float32)))
+        share = counts / counts.sum(axis=1, keepdims=True)
+        ratio = (np.log(share[1]) - np.log(share[0])) * config.scale
         model = FtrlProximal(size, config.alpha, 1.0, 0.0, config.l2)
-        w = model.fit(_Rows(rows, value), targets, config.epochs)
-        w[:-1] *= value
+        w = model.fit(_Scaled(rows, ratio), targets, config.epochs)
+        w[:-1] *= ratio
         return w
 
     return train(sample, make_weights)
 
 
-class _Rows:
-    """Rows as (indices, values), made when asked for, so that only the indices are kept."""
+class _Scaled:
+    """Rows (indices, values), scaled when asked for, so that only the narrow form is kept."""
 
-    def __init__(self, rows: list[np.ndarray], value: np.ndarray):
-        self.rows, self.value = rows, value
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], ratio: np.ndarray):
+        self.rows, self.ratio = rows, ratio
 
     def __len__(self):
         return len(self.rows)
 
     def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        return self.rows[k], self.value[self.rows[k]]
+        idx, val = self.rows[k]
+        return idx, val * self.ratio[idx]
+
+
+def _scored(docs: DataFrame, weights: np.ndarray, text_col: str, config: ToxicityConfig, out_col: str) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(weights.astype("<f4"))  # 4 * 2^bits bytes, whatever the corpus
+
+    def make():
+        features, w = CharFeatures(config), shared.value
+
+        def one(text: str) -> float:
+            idx, count = features.counts(text)
+            return float(sigmoid(w[idx].astype(np.float64) @ features.values(count) + w[-1]))
+
+        return lambda texts: [pa.array([one(t) for t in texts], pa.float64())]
+
+    return append_columns(docs, text_col, make, f"{out_col} double")
 
 
 def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", config: ToxicityConfig = ToxicityConfig()) -> DataFrame:
@@ -100,13 +123,7 @@ def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", config:
     Whole texts; null counts as empty; empty texts get the bias and the padding's features; columns of these names
     are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(weights.astype("<f4"))  # 4 * 2^bits bytes, whatever the corpus
-
-    def make():
-        features, w = CharFeatures(config), shared.value
-        return lambda texts: [pa.array([float(sigmoid(w[features(t)].sum(dtype=np.float64) + w[-1])) for t in texts], pa.float64())]
-
-    scored = append_columns(docs, text_col, make, "score double")
+    scored = _scored(docs, weights, text_col, config, "score")
     return scored.withColumn("predicted", (F.col("score") >= config.threshold).cast("int"))
 
 
@@ -117,4 +134,6 @@ def held_out(column):
 
 def keep_harmless(docs: DataFrame, weights: np.ndarray, config: ToxicityConfig = ToxicityConfig()) -> DataFrame:
     """The rows of docs that the classifier does not call toxic, with the columns of docs."""
-    return score(docs, weights, config=config).where("predicted = 0").select(*docs.columns)
+    mine = unused(docs, "score")
+    scored = _scored(docs, weights, "text", config, mine)
+    return scored.where(F.col(mine) < config.threshold).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -2,13 +2,15 @@
 
 import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from chronopulse.llm import chat, decontam, licenses, quality, toxicity, urls
-from chronopulse.llm.linear import FtrlProximal, sigmoid
+from chronopulse.llm.linear import FtrlProximal, sigmoid, train_sample
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -214,6 +216,66 @@ def tree_rows():
 SCHEMA = "tree_id long, message_id long, parent_id long, role string, text string, score double"
 
 
+@pytest.mark.parametrize("module,label,modulus,rest,least", [(quality, "quality", 4, 2, 0.9), (toxicity, "toxic", 5, 0, 0.75)])
+def test_held_out_rows_of_the_supplied_labels(spark, module, label, modulus, rest, least):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.join(labels, "doc_id").select("doc_id", "text", label)
+    weights = module.fit(docs, labels, lambda c: ~module.held_out(c))
+    rows = [r for r in module.score(docs, weights).collect() if zlib.crc32(str(r["doc_id"]).encode()) % modulus == rest]
+    hits = sum(r["predicted"] for r in rows if r[label] == 1)
+    false = sum(r["predicted"] for r in rows if r[label] == 0)
+    assert hits >= least * sum(r[label] for r in rows) and false <= 0.02 * len(rows)
+
+
+def test_scores_against_brute_force(spark, corpus):
+    """A score is the logistic function of a sum over the text's n-grams, counted one by one."""
+    docs, labels = corpus[:2]
+    config = toxicity.ToxicityConfig()
+    weights = toxicity.fit(docs, labels).astype("<f4").astype(float)
+    mask = (1 << 32) - 1
+
+    def slow(text):
+        codes, found = [ord(c) for c in f" {text.lower()} "], Counter()
+        for n in config.orders:
+            for k in range(len(codes) - n + 1):
+                gram = codes[k]
+                for c in codes[k + 1 : k + n]:
+                    gram = (gram * 0x01000193 + c) & mask
+                found[((gram ^ gram >> 15 ^ n) * 0x9E3779B1 & mask) >> 32 - config.bits] += 1
+        norm = np.sqrt(sum(np.log1p(v) ** 2 for v in found.values()))
+        return float(sigmoid(sum(weights[i] * np.log1p(v) for i, v in found.items()) / (norm or 1) + weights[-1]))
+
+    for r in toxicity.score(docs.limit(40), weights).collect():
+        assert r["score"] == pytest.approx(slow(r["text"] or ""), abs=1e-6)
+
+
+def test_filters_keep_columns_that_clash(spark, corpus):
+    docs, labels = corpus[:2]
+    clash = docs.select("doc_id", "text", F.lit("mine").alias("score"), F.lit(7).alias("predicted"), F.lit("a").alias("items"), F.lit("b").alias("runs"), F.lit("c").alias("n_hit"), F.lit("d").alias("row"))
+    benchmark = spark.createDataFrame([(1, "never there at all")], "item_id long, text string")
+    for kept in (
+        quality.keep_good(clash, quality.fit(docs, labels), quality.QualityConfig(threshold=0.0)),
+        toxicity.keep_harmless(clash, toxicity.fit(docs, labels), toxicity.ToxicityConfig(threshold=2.0)),
+        decontam.decontaminate(clash, benchmark),
+        decontam.decontaminate(clash, benchmark, mode="documents"),
+    ):
+        assert kept.schema == clash.schema and sorted(map(str, kept.collect())) == sorted(map(str, clash.collect()))
+
+
+def test_sample_is_bounded_by_ids(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (2, "c"), (None, "d"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 1), (None, 1)], "doc_id long, quality int")
+    sample = train_sample(docs, labels, "quality", lambda c: c.isNotNull(), 10)
+    assert sorted(map(tuple, sample.select("doc_id", "text", "label").collect())) == [(1, "a", 1), (2, "c", 0)]
+
+
+def test_item_without_id_hits_but_is_not_named(spark):
+    docs = spark.createDataFrame([(1, "one two three")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(None, "two three"), (5, "one two"), (6, "")], "item_id long, text string")
+    r = decontam.scan(docs, benchmark).first()
+    assert (r["n_hit"], list(r["items"])) == (3, ["5"])
+
+
 def test_reply_trees(spark):
     messages = spark.createDataFrame(tree_rows(), SCHEMA)
     out = chat.format_chats(messages).withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn("loss", chat.read_loss(F.col("formatted"), F.col("loss_spans")))
