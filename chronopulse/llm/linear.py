@@ -6,6 +6,7 @@ feature values); the model is a dense weight vector over the hashed feature spac
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Sequence
 
 import numpy as np
@@ -60,6 +61,28 @@ class FtrlProximal:
         return self.weights()
 
 
+class PackedRows:
+    """Rows (indices, counts) in two growing buffers, which take less than as many small arrays and are given back as
+    a whole. values: a function from indices and counts to the values of a row, called when the row is asked for."""
+
+    def __init__(self, values):
+        self.values, self.starts = values, [0]
+        self.idx, self.count = array("i"), array("f")
+
+    def append(self, idx: np.ndarray, count: np.ndarray) -> None:
+        self.idx.frombytes(idx.astype(np.int32).tobytes())
+        self.count.frombytes(count.astype(np.float32).tobytes())
+        self.starts.append(self.starts[-1] + len(idx))
+
+    def __len__(self):
+        return len(self.starts) - 1
+
+    def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = self.starts[k], self.starts[k + 1]
+        idx = np.frombuffer(self.idx, dtype=np.int32, count=b - a, offset=4 * a)
+        return idx, self.values(idx, np.frombuffer(self.count, dtype=np.float32, count=b - a, offset=4 * a).astype(np.float64))
+
+
 class HashedModel:
     """Weights over a hashed feature space (bias last) with a function from a text to (indices, values)."""
 

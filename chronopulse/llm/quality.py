@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import append_columns, fold, unused
-from .linear import FtrlProximal, HashedModel, train, train_sample
+from .linear import FtrlProximal, HashedModel, PackedRows, train, train_sample
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _REPEAT = zlib.crc32(b"\x01repeat")
@@ -88,7 +88,10 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, config: QualityConfig =
     def make_weights(texts: list[str], targets: list[int]) -> np.ndarray:
         features = WordFeatures(config)
         model = FtrlProximal(1 << config.bits, config.alpha, 1.0, config.l1, config.l2)
-        return model.fit([features(t) for t in texts], targets, config.epochs)
+        rows = PackedRows(lambda idx, val: val)
+        for t in texts:
+            rows.append(*features(t))
+        return model.fit(rows, targets, config.epochs)
 
     return train(sample, make_weights)
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import append_columns, fold, unused
-from .linear import FtrlProximal, sigmoid, train, train_sample
+from .linear import FtrlProximal, PackedRows, sigmoid, train, train_sample
 
 
 @dataclass(frozen=True)
@@ -73,35 +73,22 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, config: ToxicityConfig
 
     def make_weights(texts: list[str], targets: list[int]) -> np.ndarray:
         features, size = CharFeatures(config), 1 << config.bits
-        rows, counts = [], np.full((2, size), config.smoothing)
+        counts = np.full((2, size), config.smoothing)
+        rows = PackedRows(lambda idx, count: features.values(count) * ratio[idx])
         for text, label in zip(texts, targets, strict=True):
             idx, count = features.counts(text)
             counts[label, idx] += count * (1000.0 / max(1, count.sum()))
-            rows.append((idx.astype(np.int32), features.values(count).astype(np.float32)))
+            rows.append(idx, count)
         share = counts / counts.sum(axis=1, keepdims=True)
         ratio = (np.log(share[1]) - np.log(share[0])) * config.scale
         model = FtrlProximal(size, config.alpha, 1.0, 0.0, config.l2)
-        w = model.fit(_Scaled(rows, ratio), targets, config.epochs)
+        w = model.fit(rows, targets, config.epochs)
         w[:-1] *= ratio
         return w
 
     return train(sample, make_weights)
 
 
-class _Scaled:
-    """Rows (indices, values), scaled when asked for, so that only the narrow form is kept."""
-
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], ratio: np.ndarray):
-        self.rows, self.ratio = rows, ratio
-
-    def __len__(self):
-        return len(self.rows)
-
-    def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        idx, val = self.rows[k]
-        return idx, val * self.ratio[idx]
-
-
 def _scored(docs: DataFrame, weights: np.ndarray, text_col: str, config: ToxicityConfig, out_col: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype("<f4"))  # 4 * 2^bits bytes, whatever the corpus
 
