@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import bin_index, floor_div
-from .filters import select_time
 from .records import baseline
 
 
@@ -121,7 +120,3 @@ def livetime(runs: DataFrame, things: DataFrame, second: float = 1e9) -> DataFra
     spans = things.groupBy("run_id").agg(((F.max_by("endtime", "time") - F.min("time")) / second).alias("__span"))
     asked = F.coalesce(F.col("livetime"), F.unix_micros(F.col("end")).cast("double") / 1e6 - F.unix_micros(F.col("start")).cast("double") / 1e6)
     return runs.join(spans, "run_id", "left").select("run_id", F.coalesce(asked, F.col("__span")).alias("livetime"))
-
-
-def selected(df: DataFrame, **ranges) -> DataFrame:
-    return select_time(df, **ranges)

@@ -7,11 +7,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schemas import Corrections, EventConfig
+from ..schemas import Corrections, EventConfig, SLAB_NS
 from .intervals import containment_join
 
-#: Peak columns copied into an event for each of its main and alternative S1 and S2.
-COPIED = ("time", "center_time", "area", "range_50p_area", "n_channels", "area_fraction_top", "tight_coincidence")
+#: Peak columns copied into an event for each of its main and alternative S1 and S2, with their types.
+COPIED = {
+    "time": "bigint", "center_time": "bigint", "endtime": "bigint", "area": "double", "n_channels": "int", "n_hits": "int", "max_pmt": "int",
+    "max_pmt_area": "double", "range_50p_area": "double", "range_90p_area": "double", "rise_time": "double", "area_fraction_top": "double",
+    "tight_coincidence": "int", "n_saturated_channels": "int",
+}
+#: Declared columns of an event that nothing fills: always null.
+UNFILLED = {
+    **{f"{r}_{k}_diff": "int" for r in ("s1", "alt_s1") for k in ("max", "min")},
+    **{f"{r}_{k}": "double" for r in ("s2", "alt_s2") for k in ("x", "y")},
+}
 KEY = ["run_id", "event_number"]
 _ROLES = ("s1", "alt_s1", "s2", "alt_s2")
 
@@ -37,7 +46,7 @@ def largest_peaks_per_event(peaks: DataFrame, s_type: int, k: int = 2, before_ti
     return ranked.where(F.col("rank") <= k) if k else ranked
 
 
-def event_basics(events: DataFrame, peaks: DataFrame, cfg: EventConfig = EventConfig(), contained: DataFrame | None = None, slab: int = 3_600_000_000_000) -> DataFrame:
+def event_basics(events: DataFrame, peaks: DataFrame, cfg: EventConfig = EventConfig(), contained: DataFrame | None = None, slab: int = SLAB_NS) -> DataFrame:
     """One row per event: n_peaks, main and alternative S1 and S2 with their copied properties and index, drift times,
     delays, area_before_main_s2 and large_s2_before_main_s2.
 
@@ -45,9 +54,15 @@ def event_basics(events: DataFrame, peaks: DataFrame, cfg: EventConfig = EventCo
     single shuffle by event serves all steps: windows give the index and the main S2's time, then one aggregation
     sorts each event's S1s and S2s (areas descending, ties by larger index) and picks from the front. Events without
     peaks have n_peaks 0 and nulls elsewhere.
+
+    Copied are the properties COPIED, null where the peaks lack one, and for both S2s the positions x_<algo>, y_<algo>
+    that the peaks have (see peak_positions). The columns UNFILLED are declared and always null.
     """
     inside = contained if contained is not None else containment_join(peaks, events, slab=slab)
-    copied = [c for c in COPIED if c in inside.columns]
+    placed = [c for c in inside.columns if c.startswith(("x_", "y_"))]
+    lacking = {c: F.lit(None).cast(kind) for c, kind in COPIED.items() if c not in inside.columns}
+    inside = inside.withColumns(lacking) if lacking else inside
+    copied = [*COPIED, *placed]
     rows = peak_index(inside)
     whole = Window.partitionBy(*KEY)
     largest = F.max(F.when(F.col("type") == 2, F.struct("area", "index", "time"))).over(whole)
@@ -78,7 +93,8 @@ def event_basics(events: DataFrame, peaks: DataFrame, cfg: EventConfig = EventCo
     role = {k: F.get(F.col(c), F.lit(i)) for k, (c, i) in role.items()}
     out = {"n_peaks": F.col("n_peaks")}
     for name in _ROLES:
-        out |= {f"{name}_{c}": role[name][c] for c in ("index", *copied)}
+        shown = copied if name.endswith("s2") else COPIED
+        out |= {f"{name}_{c}": role[name][c] for c in ("index", *shown)}
     c1, a1, c2, a2 = (role[n]["center_time"] for n in _ROLES)
     out |= {
         "drift_time": c2 - c1,
@@ -89,17 +105,18 @@ def event_basics(events: DataFrame, peaks: DataFrame, cfg: EventConfig = EventCo
         "area_before_main_s2": F.when(role["s2"].isNotNull(), F.coalesce("__before", F.lit(0.0))),
         "large_s2_before_main_s2": F.when(role["s2"].isNotNull(), F.coalesce("__large", F.lit(0.0))),
     }
+    out |= {c: F.lit(None).cast(kind) for c, kind in UNFILLED.items()}
     basics = grouped.select(*KEY, *[v.alias(k) for k, v in out.items()])
     joined = events.select(*KEY, "time", "endtime").join(basics, KEY, "left")
     return joined.withColumn("n_peaks", F.coalesce("n_peaks", F.lit(0)))
 
 
 def event_positions(events: DataFrame, gate: float = 3000.0, cathode: float = 39500.0, distance: float = 50.5, algo: str = "corr") -> DataFrame:
-    """Adds x, y, r of the main S2 and alt_x, alt_y, alt_r (columns s2_x_<algo> and so on), and z from the drift time."""
+    """Adds x, y, r of the main S2, alt_s2_x, alt_s2_y, alt_s2_r (from s2_x_<algo> and so on), and z from the drift time."""
     x, y, ax, ay = (F.col(f"{p}_{k}_{algo}") for p in ("s2", "alt_s2") for k in ("x", "y"))
     z = -distance / (cathode - gate) * (F.col("drift_time") - gate)
     return events.withColumns(
-        {"x": x, "y": y, "alt_x": ax, "alt_y": ay, "r": F.sqrt(x * x + y * y), "alt_r": F.sqrt(ax * ax + ay * ay), "z": z}
+        {"x": x, "y": y, "alt_s2_x": ax, "alt_s2_y": ay, "r": F.sqrt(x * x + y * y), "alt_s2_r": F.sqrt(ax * ax + ay * ay), "z": z}
     )
 
 
@@ -144,7 +161,20 @@ def lookup_by_index(events: DataFrame, peaks: DataFrame, columns: tuple[str, ...
     return out.withColumns({f"{r}_{c}": F.col(f"__{r}.{c}") for r in roles for c in columns}).drop(*[f"__{r}" for r in roles])
 
 
-def event_coincidences(events: DataFrame, external: DataFrame, max_delay: int = 100, edge: str = "all", centre=511.0, delta=65.0, slab: int = 3_600_000_000_000) -> DataFrame:
+def event_area_per_channel(events: DataFrame, peaks: DataFrame) -> DataFrame:
+    """time, endtime, and for each role area_per_channel, length and dt of its peak; s1_n_channels: channels with area."""
+    found = lookup_by_index(events.select(*KEY, "time", "endtime", *[f"{r}_index" for r in _ROLES]), peaks, ("area_per_channel", "length", "dt"))
+    lit = F.size(F.filter("s1_area_per_channel", lambda a: a > 0))
+    return found.withColumn("s1_n_channels", F.when(F.col("s1_area_per_channel").isNotNull(), lit)).drop(*[f"{r}_index" for r in _ROLES])
+
+
+def event_waveform(events: DataFrame, peaks: DataFrame) -> DataFrame:
+    """time, endtime, and for each role data, length and dt of its peak."""
+    found = lookup_by_index(events.select(*KEY, "time", "endtime", *[f"{r}_index" for r in _ROLES]), peaks, ("data", "length", "dt"))
+    return found.drop(*[f"{r}_index" for r in _ROLES])
+
+
+def event_coincidences(events: DataFrame, external: DataFrame, max_delay: int = 100, edge: str = "all", centre=511.0, delta=65.0, slab: int = SLAB_NS) -> DataFrame:
     """events with is_coinc: the main S1 is matched to an external peak of the absorption line (see coincidence_match)."""
     from .filters import absorption_window
     from .intervals import coincidence_match

@@ -136,16 +136,16 @@ def scatter_view(events: DataFrame, columns=("cs1", "cs2"), least: float = 0.9)
 def check_area(df: DataFrame, channel_map=None, rtol: float = 1e-4, fail: bool = False) -> DataFrame:
     """Offending rows: area > 0, but top and bottom areas do not sum up to it; with fraction_off.
 
-    fail: raise_error on the first offender met instead of returning it.
+    fail: df itself, in which an offender raises an error when it is computed.
     """
     total = top_area(channel_map) + bottom_area(channel_map)
     area = F.col("area")
     bad = (area > 0) & (F.abs(total - area) > 1e-8 + rtol * F.abs(area))
-    off = df.where(bad).withColumn("fraction_off", 1 - total / area)
-    if fail:
-        said = F.concat(F.lit("area is off by a fraction of "), F.col("fraction_off").cast("string"))
-        return off.withColumn("fraction_off", F.raise_error(said).cast("double"))
-    return off
+    off = 1 - total / area
+    if not fail:
+        return df.where(bad).withColumn("fraction_off", off)
+    said = F.concat(F.lit("area is off by a fraction of "), off.cast("string"))
+    return df.withColumn("area", F.when(bad, F.raise_error(said).cast("double")).otherwise(area))
 
 
 def _channels_area(first: int, last: int) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import floor_div
+from ..schemas import SLAB_NS
 
 
 def _slabbed(df: DataFrame, slab: int) -> DataFrame:
@@ -22,7 +23,7 @@ def _slabbed(df: DataFrame, slab: int) -> DataFrame:
 
 
 def sessionize(
-    df: DataFrame, gap: int, keys: Sequence[str] = ("run_id",), slab: int = 3_600_000_000_000, group: str = "group_id"
+    df: DataFrame, gap: int, keys: Sequence[str] = ("run_id",), slab: int = SLAB_NS, group: str = "group_id"
 ) -> DataFrame:
     """Adds the number (from 0, by time, per keys) of the row's session.
 
@@ -58,7 +59,7 @@ def sessionize_plain(df: DataFrame, gap: int, keys: Sequence[str] = ("run_id",),
 
 
 def build_events(
-    triggers: DataFrame, left: int = 500_000, right: int = 50_000, bounds: tuple[int, int] | None = None, slab: int = 3_600_000_000_000
+    triggers: DataFrame, left: int = 500_000, right: int = 50_000, bounds: tuple[int, int] | None = None, slab: int = SLAB_NS
 ) -> DataFrame:
     """(run_id, event_number, time, endtime, n_triggers): triggers nearer than left + right together, extended.
 
@@ -75,7 +76,7 @@ def build_events(
     return events.select("run_id", F.col("group_id").alias("event_number"), "time", "endtime", "n_triggers")
 
 
-def break_groups(df: DataFrame, safe_break: int = 1000, not_before: int | None = None, slab: int = 3_600_000_000_000) -> DataFrame:
+def break_groups(df: DataFrame, safe_break: int = 1000, not_before: int | None = None, slab: int = SLAB_NS) -> DataFrame:
     """Adds break_group: the stream may be cut between groups, which are safe_break or more of quiet apart.
 
     Breaks before not_before are not used: all that starts earlier falls into the group of the first row.
@@ -89,7 +90,7 @@ def break_groups(df: DataFrame, safe_break: int = 1000, not_before: int | None =
     return joined.withColumn("break_group", F.when(F.col("__free").isNull(), 0).otherwise(merged).cast("bigint")).drop("__free")
 
 
-def containment_join(peaks: DataFrame, events: DataFrame, keep: Sequence[str] = ("event_number",), slab: int = 3_600_000_000_000) -> DataFrame:
+def containment_join(peaks: DataFrame, events: DataFrame, keep: Sequence[str] = ("event_number",), slab: int = SLAB_NS) -> DataFrame:
     """Peaks with the columns `keep` of the event that fully contains them; peaks in no event are left out.
 
     Events of a run are disjoint, so the candidate is the last event that starts at or before the peak: events and
@@ -163,6 +164,21 @@ def _next_after(left: DataFrame, right: DataFrame, reach: int, keys: Sequence[st
     return both.drop("__at", "__slab", "__order")
 
 
+def _first_after(left: DataFrame, right: DataFrame, slab: int) -> DataFrame:
+    """left with __next: the earliest right time at or after its time, however far; by a scan within slabs, to which one
+    narrow row a slab carries the next time from later ones."""
+    times = right.where("time is not null").select("run_id", F.col("time").alias("__at"), F.lit(1).alias("__order"))
+    rows = left.withColumns({"__at": F.col("time"), "__order": F.lit(0)}).unionByName(times, allowMissingColumns=True)
+    rows = rows.withColumn("__slab", floor_div(F.col("__at"), slab))
+    own = F.when(F.col("__order") == 1, F.col("__at"))
+    later = Window.partitionBy("run_id").orderBy(F.desc("__slab")).rowsBetween(Window.unboundedPreceding, -1)
+    carry = rows.groupBy("run_id", "__slab").agg(F.min(own).alias("__min"))
+    carry = carry.select("run_id", "__slab", F.last("__min", ignorenulls=True).over(later).alias("__carry"))
+    order = Window.partitionBy("run_id", "__slab").orderBy(F.desc("__at"), F.desc("__order")).rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.join(carry, ["run_id", "__slab"]).withColumn("__next", F.coalesce(F.last(own, ignorenulls=True).over(order), "__carry"))
+    return found.where("__order = 0").drop("__at", "__order", "__slab", "__carry")
+
+
 def greedy_match(left: np.ndarray, right: np.ndarray, max_delay: int) -> np.ndarray:
     """For time-ordered arrays, the right index that each left row is paired with, -1 for none.
 
@@ -181,13 +197,14 @@ def greedy_match(left: np.ndarray, right: np.ndarray, max_delay: int) -> np.ndar
 
 
 def coincidence_match(
-    left: DataFrame, right: DataFrame, max_delay: int = 100, edge: str = "all", row_id: str = "peak_id", keys: Sequence[str] = ("run_id",), slab: int = 3_600_000_000_000
+    left: DataFrame, right: DataFrame, max_delay: int = 100, edge: str = "all", row_id: str = "peak_id", keys: Sequence[str] = ("run_id",), slab: int = SLAB_NS
 ) -> DataFrame:
     """left with is_coinc: greedy one-to-one forward matching of left and right times.
 
     Rows further apart than max_delay cannot compete, so both sides are cut into clusters where the merged times leave
-    a larger gap, and each cluster is matched on its own. edge "reference" ignores the last two rows (by time) of both
-    sides of every key. Null times never match; row_id names a unique column of left.
+    a larger gap, and clusters are matched on their own; those that begin in the same slab go to one worker. edge
+    "reference" ignores the last two rows (by time) of both sides of every key. Null times never match; row_id names a
+    column of left that is unique for each value of keys.
     """
     keys = list(keys)
     a = left.where("time is not null").select(*keys, "time", F.col(row_id).alias("__id"), F.lit(0).alias("__side"))
@@ -198,21 +215,23 @@ def coincidence_match(
     elif edge != "all":
         raise ValueError("edge is all or reference")
     both = sessionize(both.withColumn("endtime", F.col("time")), max_delay + 1, keys, slab, "__cluster").drop("endtime")
-    id_type, key_types = dict(left.dtypes)[row_id], dict(left.dtypes)
+    # clusters with one side only have no pair and need no helper; the others go to a worker many at once
+    sides = both.groupBy(*keys, "__cluster").agg(F.count_distinct("__side").alias("__n"), F.min("time").alias("__from")).where("__n = 2")
+    sides = sides.select(*keys, "__cluster", floor_div(F.col("__from"), slab).alias("__slab"))
+    work = both.join(sides, [*keys, "__cluster"])
+    kinds = dict(left.dtypes)
 
     def match(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["time", "__side", "__id"])
         mine, other = frame[frame["__side"] == 0], frame[frame["__side"] == 1]
+        # clusters are further apart than the delay, so one pass over all of them pairs within clusters only
         hit = greedy_match(mine["time"].to_numpy(), other["time"].to_numpy(), max_delay) >= 0
-        return mine.loc[hit, ["__id"]]
+        return mine.loc[hit, [*keys, "__id"]]
 
-    # clusters with one side only have no pair and need no helper
-    sides = both.groupBy(*keys, "__cluster").agg(F.count_distinct("__side").alias("__n")).where("__n = 2").drop("__n")
-    work = both.join(sides, [*keys, "__cluster"], "left_semi")
-    hits = work.groupBy(*keys, "__cluster").applyInPandas(match, f"__id {id_type}").withColumn("__hit", F.lit(True))
-    _ = key_types
-    joined = left.join(hits.withColumnRenamed("__id", row_id), row_id, "left")
-    return joined.withColumn("is_coinc", F.coalesce("__hit", F.lit(False))).drop("__hit")
+    out = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + f", __id {kinds[row_id]}"
+    hits = work.groupBy(*keys, "__slab").applyInPandas(match, out).withColumn("__hit", F.lit(True))
+    joined = left.join(hits.withColumnRenamed("__id", row_id), [*keys, row_id], "left")
+    return joined.select(*left.columns, F.coalesce("__hit", F.lit(False)).alias("is_coinc"))
 
 
 def _without_last(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
@@ -248,7 +267,7 @@ def n_competing(peaks: DataFrame, window: int, fraction: float = 0.5, inclusive_
     out = peaks.join(counts, "peak_id", "left").withColumn("n_competing", F.coalesce("__n", F.lit(0))).drop("__n")
     if not inclusive_edge:
         return out
-    beyond = _next_after(out.withColumns({"__own": F.col("time"), "time": F.col("time") + window + 1}), near.select("run_id", F.col("__t").alias("time")), 1 << 40, ("run_id",))
+    beyond = _first_after(out.withColumns({"__own": F.col("time"), "time": F.col("time") + window + 1}), peaks.select("run_id", "time"), 64 * size)
     first = peaks.groupBy("run_id", "time").agg(F.max("area").alias("__edge_area"))
     joined = beyond.withColumn("time", F.col("__own")).drop("__own").join(
         first.withColumnRenamed("time", "__next"), ["run_id", "__next"], "left"

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import NAN, floor_div
+from ..schemas import SLAB_NS
 from .intervals import sessionize
 
 _PAST = (Window.unboundedPreceding, -1)
@@ -15,17 +16,33 @@ def _end() -> Column:
     return F.col("time") + F.col("length").cast("bigint") * F.col("dt")
 
 
-def check_overlaps(df: DataFrame, fail: bool = False) -> DataFrame:
-    """Rows that start before the row before them in their channel ends, with previous_end; fail raises on the first."""
-    order = Window.partitionBy("run_id", "channel").orderBy("time", "record_i")
-    found = df.withColumn("previous_end", F.lag(_end()).over(order)).where(F.col("time") < F.col("previous_end"))
-    if fail:
-        return found.withColumn("previous_end", F.raise_error(F.concat(F.lit("pulses overlap in channel "), F.col("channel").cast("string"))).cast("bigint"))
-    return found
+def _with_previous_end(df: DataFrame, slab: int) -> DataFrame:
+    """df with previous_end: where the row before in the channel ends. Rows meet within slabs of time; one narrow row
+    per channel and slab carries the last end across."""
+    stamp = F.struct("time", "record_i")
+    rows = df.withColumn("__slab", floor_div(F.col("time"), slab))
+    last = rows.groupBy("run_id", "channel", "__slab").agg(F.max(F.struct(stamp.alias("at"), _end().alias("end"))).alias("__last"))
+    earlier = Window.partitionBy("run_id", "channel").orderBy("__slab")
+    carry = last.withColumn("__carry", F.lag("__last.end").over(earlier)).drop("__last")
+    before = F.lag(_end()).over(Window.partitionBy("run_id", "channel", "__slab").orderBy("time", "record_i"))
+    rows = rows.join(carry, ["run_id", "channel", "__slab"])
+    return rows.withColumn("previous_end", F.coalesce(before, "__carry")).drop("__slab", "__carry")
+
+
+def check_overlaps(df: DataFrame, fail: bool = False, slab: int = SLAB_NS) -> DataFrame:
+    """Rows that start before the row before them in their channel ends, with previous_end.
+
+    fail: df itself, in which such a row raises an error when it is computed.
+    """
+    found, over = _with_previous_end(df, slab), F.col("time") < F.col("previous_end")
+    if not fail:
+        return found.where(over)
+    error = F.raise_error(F.concat(F.lit("pulses overlap in channel "), F.col("channel").cast("string"))).cast("bigint")
+    return found.withColumn("time", F.when(over, error).otherwise(F.col("time"))).drop("previous_end")
 
 
 def baseline(
-    df: DataFrame, samples: int = 20, flip: bool = True, fallback: float = 16000.0, allow_sloppy: bool = True, slab: int = 3_600_000_000_000
+    df: DataFrame, samples: int = 20, flip: bool = True, fallback: float = 16000.0, allow_sloppy: bool = True, slab: int = SLAB_NS
 ) -> DataFrame:
     """Adds baseline and baseline_rms and subtracts the baseline.
 
@@ -65,7 +82,7 @@ def integrate(df: DataFrame) -> DataFrame:
     return df.withColumn("area", F.aggregate("data", F.lit(0).cast("bigint"), lambda s, x: s + x))
 
 
-def lone_pulses(df: DataFrame, slab: int = 3_600_000_000_000) -> DataFrame:
+def lone_pulses(df: DataFrame, slab: int = SLAB_NS) -> DataFrame:
     """Adds lone: a first fragment after the end of all earlier pulses of all channels, whose own end lies before the
     next record's time. The very last record is never lone; the next record may be the pulse's own second fragment.
     Later fragments carry the flag of the last first fragment of their channel (null if there was none)."""
@@ -216,7 +233,7 @@ def record_points(records: DataFrame, raw: bool = False) -> DataFrame:
 
 
 def build_peaks(
-    hits: DataFrame, n_channels: int, gap: int = 300, left: int = 10, right: int = 10, min_area: float = 10.0, min_channels: int = 1, slab: int = 3_600_000_000_000
+    hits: DataFrame, n_channels: int, gap: int = 300, left: int = 10, right: int = 10, min_area: float = 10.0, min_channels: int = 1, slab: int = SLAB_NS
 ) -> DataFrame:
     """Clusters hits into peaks: run_id, peak_id, time, endtime, area, area_per_channel, n_hits, n_channels.
 

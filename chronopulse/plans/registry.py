@@ -31,12 +31,17 @@ def provides(name: str, *parents: str):
     return add
 
 
-def build(name: str, given: dict[str, DataFrame], options: dict[str, dict] | None = None) -> DataFrame:
-    """The data type, made from what is given; what lies between is made on the way, each type once."""
+def build(name: str, given: dict[str, DataFrame], options: dict[str, dict] | None = None, keep: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The data type, made from what is given; what lies between is made on the way, each type once.
+
+    keep(name, df) is what becomes of each type made, e.g. its cache or the table it is written to and read from again.
+    Types that several others are made from (records, peaks, event_basics) are computed once only if they are kept.
+    """
     if name not in given:
         kind = DATA_TYPES[name]
-        parents = [build(p, given, options) for p in kind.parents]
-        given[name] = kind.make(*parents, **(options or {}).get(name, {}))
+        parents = [build(p, given, options, keep) for p in kind.parents]
+        made = kind.make(*parents, **(options or {}).get(name, {}))
+        given[name] = keep(name, made) if keep else made
     return given[name]
 
 

@@ -21,7 +21,9 @@ def query(sql: str | None = None, views: str = ""):
             names = views.split()
             head = "with " + ",\n".join(VIEWS[v] for v in names) if names else ""
             body = sql.strip()
-            if head and body.lower().startswith("with "):
+            if head and body.startswith("with recursive "):
+                head, body = head.replace("with ", "with recursive ", 1), ", " + body[15:]
+            elif head and body.startswith("with "):
                 body = ", " + body[5:]
             ORACLES[f.__name__] = f"{head}\n{body}"
         return f

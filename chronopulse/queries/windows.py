@@ -18,7 +18,7 @@ where time < previous_end""",
     _FRAGMENTS,
 )
 def w1_check_overlaps(spark, sf):
-    return records.check_overlaps(v_fragments(spark, sf)).select("time", "channel", "record_i", "previous_end")
+    return records.check_overlaps(v_fragments(spark, sf), slab=20_000).select("time", "channel", "record_i", "previous_end")
 
 
 _W2 = """

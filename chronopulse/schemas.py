@@ -12,6 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+
+#: Default length of a slab of time, the unit of work that a task takes from a run: ten seconds of nanosecond ticks.
+SLAB_NS = 10_000_000_000
+
+
 def _schema(ddl: str) -> T.StructType:
     fields = []
     kinds = {

@@ -256,7 +256,7 @@ def test_files(spark, tmp_path):
     assert rows(io.missing_runs(wanted, back.withColumn("run_id", F.lpad(F.col("run_id").cast("string"), 6, "0"))), "run_id") == [("000003",)]
 
 
-def test_job_chain(spark):
+def test_job_chain(spark, tmp_path):
     """Fragments to event_info: the areas of the peaks are those of their hits, and each peak is in one event at most."""
     rng = np.random.default_rng(5)
     data, t = [], 0
@@ -269,20 +269,88 @@ def test_job_chain(spark):
 
     frag = spark.createDataFrame(data, schema)
     given = {"fragments": frag}
+
+    def keep(name, df):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
     options = {"peaks": {"gap": 300, "min_area": 10.0}, "peak_basics": {"cfg": PeakConfig(s1_min_channels=1, s2_min_channels=1, s1_max_aft=1.0, s1_max_width=100.0, s2_min_width=100.0)}}
-    basics = registry.build("peak_basics", given, options).cache()
-    given["peak_basics"] = basics
+    basics = registry.build("peak_basics", given, options, keep)
     assert basics.count() == 60 and {r["type"] for r in basics.collect()} <= {0, 1, 2}
     hits = kernels.find_hits(given["records"]).agg(F.sum("area")).first()[0]
     total = given["peaks"].agg(F.sum(F.aggregate("area_per_channel", F.lit(0.0), lambda s, x: s + x))).first()[0]
     assert math.isclose(hits, total)
-    info = registry.build("event_info", given, options)
+    info = registry.build("event_info", given, options, keep)
     assert info.count() == given["events"].count() > 0 and "cs2" in info.columns
+    assert {"x", "y", "z", "r", "alt_s2_x", "cs1", "s2_x_corr", "s1_max_pmt", "s1_max_diff", "alt_s1_rise_time"} <= set(info.columns)
+    assert info.where("x is not null and x = s2_x_corr").count() == info.where("s2_x_corr is not null").count()
+    light = registry.build("event_area_per_channel", given, options, keep)
+    assert light.count() == info.count() and registry.build("event_n_channel", given, options, keep).columns == ["run_id", "event_number", "time", "endtime", "s1_n_channels"]
+    both = light.drop("s1_n_channels").join(given["event_basics"].select("run_id", "event_number", "s1_n_channels", "s2_n_channels"), ["run_id", "event_number"])
+    for role in ("s1", "s2"):
+        lit = F.size(F.filter(f"{role}_area_per_channel", lambda x: x > 0))
+        assert both.where(F.col(f"{role}_n_channels").isNotNull()).where(lit != F.col(f"{role}_n_channels")).count() == 0
+    waves = registry.build("event_waveform", given, options, keep)
+    assert waves.where("s1_data is not null").count() == info.where("s1_index is not null").count()
+    external = spark.createDataFrame([("000001", "e1", 0, 500.0)], "run_id string, peak_id string, time long, area double")
+    given["peak_basics_ext"] = external
+    assert registry.build("event_coincidences", given, options, keep).where("is_coinc").count() == 0
+    elife = spark.createDataFrame([(0, "000000-000005", 20000.0), (1, "000001", 5.0)], "position int, range string, value double")
+    areas = jobs.make_corrected(given["event_basics"], given["event_positions"], elife=elife).join(info.select("event_number", "s2_area", "drift_time"), "event_number")
+    for r in areas.where("cs2 is not null").collect():
+        assert math.isclose(r["cs2"], r["s2_area"] * math.exp(r["drift_time"] / 20000.0), rel_tol=1e-9)
     led = registry.build("led_calibration", {"raw_records": frag.withColumn("record_i", F.lit(0))}, {"records_led": {"n_records": 1}})
     assert led.count() == len(data)
     assert jobs.N_TPC == 5 and peaks.per_class(basics).count() >= 1
 
 
+def test_checks_inside_the_chain(spark):
+    from pyspark.errors import PySparkException
+
+    columns = "run_id string, time long, length int, dt int, channel int, pulse_length int, record_i int, data array<int>"
+    one = lambda t, ch=0: ("1", t, 4, 10, ch, 4, 0, [16000, 15990, 16000, 16000])
+    good = spark.createDataFrame([one(0), one(40), one(0, 1), one(500)], columns)
+    for slab in (30, 100, 10_000):
+        assert jobs.make_records(good, samples=1, slab=slab).count() == 4
+        late = good.unionByName(spark.createDataFrame([one(539)], columns))
+        assert records.check_overlaps(late, slab=slab).select("time", "previous_end").collect() == [(539, 540)]
+        with pytest.raises(PySparkException, match="overlap"):
+            jobs.make_records(late, samples=1, slab=slab).collect()
+    light = spark.createDataFrame([("1", "p", 5.0, [1.0, 2.0, 2.0, 0.0, 0.0])], "run_id string, peak_id string, area double, area_per_channel array<double>")
+    assert filters.check_area(light, fail=True).count() == 1
+    with pytest.raises(PySparkException, match="fraction"):
+        filters.check_area(light.withColumn("area", F.lit(9.0)), fail=True).collect()
+
+
+def test_parts_of_an_overlap(spark):
+    columns = "run_id string, time long, length int, dt int, channel int"
+    rows_at = lambda *times: spark.createDataFrame([("1", t, 10, 10, 0) for t in times], columns)
+    times = lambda df: sorted((r["time"], r["channel"]) for r in df.collect())
+    part = lambda df, kind: times(jobs.safe_part(df, kind, 0, 10_000, safe_break=1000, record_length=10, slab=700))
+    quiet = rows_at(0, 200, 8000)
+    assert part(quiet, "post") == times(quiet) and part(quiet, "pre") == []
+    broken = rows_at(0, 900, 3000, 9500)
+    assert part(broken, "post") == [(0, 0), (900, 0)] and part(broken, "pre") == [(3000, 0), (9500, 0)]
+    dense = rows_at(*range(0, 10_000, 500))
+    assert part(dense, "pre") == [(9000, 799)]
+    assert part(dense, "post") == sorted([(t, 0) for t in range(0, 9000, 500)] + [(8900, 799)])
+    assert part(rows_at(5).limit(0), "pre") == []
+
+
+def test_competing_peaks_at_a_far_edge(spark):
+    rows_ = [("1", k, t, a) for k, (t, a) in enumerate([(0, 10.0), (5, 6.0), (50, 4.0), (10**15, 8.0), (10**15 + 3, 1.0)])]
+    peaks_ = spark.createDataFrame(rows_, "run_id string, peak_id long, time long, area double")
+    for bucket in (20, 1000):
+        got = {r["peak_id"]: r["n_competing"] for r in intervals.n_competing(peaks_, 10, 0.5, inclusive_edge=True, bucket=bucket).collect()}
+        # the slice ends with the first peak at or beyond the right edge, however far
+        want = {}
+        for _, k, t, a in rows_:
+            near = [x for x in rows_ if abs(x[2] - t) <= 10]
+            beyond = [x for x in rows_ if x[2] > t + 10][:1]
+            want[k] = sum(x[3] > a * 0.5 for x in near + beyond)
+        assert got == want
+
+
 def test_analysis_decorator(spans):
     @registry.analysis("peaks")
     def n(p):
