@@ -158,16 +158,18 @@ def g6_peak_basics(spark, sf):
 
 
 @query(
-    """select peak_id, time + cast(trunc(list_sum(list_transform(range(1, 65), lambda i: (i - 1) * 10 * data[i])) / list_sum(data)) as bigint) as center_time from v_waves where list_sum(data) > 0""",
+    """select peak_id, case when peak_id % 5 > 0 then time + cast(trunc(list_sum(list_transform(range(1, 65), lambda i: (i - 1) * 10 * data[i])) / list_sum(data)) as bigint) else time end as center_time
+from v_waves""",
     "v_waves",
 )
 def m5_center_time(spark, sf):
-    out = peaks.peak_basics(full_peaks(spark, sf)).where("area > 0")
+    dark = F.when(F.col("peak_id") % 5 > 0, F.col("area")).otherwise(0.0)  # without area: the start
+    out = peaks.peak_basics(full_peaks(spark, sf).withColumn("area", dark))
     return out.select("peak_id", "center_time")
 
 
-_M2 = f"""with {_FULL}, s as (select peak_id, area * area_fraction_top as top, per from q),
-c as (select peak_id, (per[2] + per[3]) / top as x_cgr, (per[2] + per[4]) / top as y_cgr from s where top <> 0)
+_M2 = f"""with {_FULL}, s as (select peak_id, case when peak_id % 5 > 0 then area * area_fraction_top else 0 end as top, per from q),
+c as (select peak_id, case when top <> 0 then (per[2] + per[3]) / top else 'nan'::double end as x_cgr, case when top <> 0 then (per[2] + per[4]) / top else 'nan'::double end as y_cgr from s)
 select peak_id, x_cgr, y_cgr, 2 * power(x_cgr, 3) - x_cgr + 0.5 as x_corr, y_cgr * 3 - 1 as y_corr,
   sqrt(power(2 * power(x_cgr, 3) - x_cgr + 0.5, 2) + power(y_cgr * 3 - 1, 2)) as r from c"""
 
@@ -175,8 +177,9 @@ select peak_id, x_cgr, y_cgr, 2 * power(x_cgr, 3) - x_cgr + 0.5 as x_corr, y_cgr
 @rounded("x_cgr y_cgr x_corr y_corr r")
 @query(_M2, "v_waves")
 def m2_peak_positions(spark, sf):
-    rows = full_peaks(spark, sf).withColumn("area_fraction_top", filters.fraction_top())
-    out = peaks.peak_positions(rows, coefficients={"x": (2, 0, -1, 0.5), "y": (0, 0, 3, -1)}).where(~F.isnan("x_cgr"))
+    top = F.when(F.col("peak_id") % 5 > 0, filters.fraction_top()).otherwise(0.0)  # no position without light on top
+    rows = full_peaks(spark, sf).withColumn("area_fraction_top", top)
+    out = peaks.peak_positions(rows, coefficients={"x": (2, 0, -1, 0.5), "y": (0, 0, 3, -1)})
     return out.select("peak_id", "x_cgr", "y_cgr", "x_corr", "y_corr", "r")
 
 
@@ -384,13 +387,13 @@ def m9_assemble_pulse(spark, sf):
     return out.select("channel", "pulse_start", "n_fragments", total.alias("total"), F.size("data").alias("n"))
 
 
-@rounded("seconds pe_per_ns")
+@rounded("seconds pe_per_ns", 9)
 @query(
-    """select peak_id, cast(i as int) as i, (time + i * 10) / 1e9 as seconds, data[least(i, 63) + 1] / 10.0 as pe_per_ns from (select *, unnest(range(0, 65)) as i from v_waves where peak_id < 100)""",
+    """select peak_id, cast(i as int) as i, (time + i * 10) / 1e9 as seconds, data[least(i, 63) + 1] / 10.0 as pe_per_ns from (select *, unnest(range(0, 65)) as i from v_waves)""",
     "v_waves",
 )
 def m19_waveform_points(spark, sf):
-    return peaks.waveform_points(v_waves(spark, sf).where("peak_id < 100"))
+    return peaks.waveform_points(v_waves(spark, sf))
 
 
 @rounded("area")

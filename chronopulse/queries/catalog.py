@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import catalog
 from ..sources import io
-from .base import query, rounded, table, v_entries, v_peaks, v_runs
+from .base import query, rounded, shared_folder, table, v_entries, v_fragments, v_peaks, v_runs
 
 
 def _has(host: str | None = None, kind: str | None = None) -> str:
@@ -222,3 +222,64 @@ def s6_missing_runs(spark, sf):
 @query("select count(*) as n_rows from lineitem")
 def s7_file_inventory(spark, sf):
     return io.file_inventory(table(spark, sf, "lineitem")).agg(F.sum("n_rows").alias("n_rows"))
+
+
+@query("select run_id, chunk_i, time, length, dt, channel, pulse_length, record_i, cast(list_sum(data) as bigint) as total from v_fragments", "v_waves v_fragments")
+def s1_read_fragments(spark, sf):
+    """Fragments written in folders of runs, chunks and parts, and read again."""
+    at = shared_folder(spark)
+    rows = v_fragments(spark, sf).withColumns(
+        {"kind": F.when(F.col("channel") % 3 == 0, "pre").otherwise("central"), "thread": F.lit("reader0"), "baseline": F.lit(16000), "data": F.col("data").cast("array<smallint>")}
+    )
+    rows.write.partitionBy("run_id", "chunk_i", "kind").parquet(at)
+    total = F.aggregate("data", F.lit(0).cast("bigint"), lambda s, x: s + x)
+    return io.read_fragments(spark, at).select("run_id", "chunk_i", "time", "length", "dt", "channel", "pulse_length", "record_i", total.alias("total"))
+
+
+@query("select number, mode, status, cast(processing_failed as int) as failed from v_runs", "v_runs")
+def s2_read_run_docs(spark, sf):
+    at = shared_folder(spark)
+    v_runs(spark, sf).write.json(at)
+    docs = io.read_run_docs(spark, at, ["number", "mode", "processing_status.status", "processing_failed"])
+    return docs.select("number", "mode", F.col("processing_status_status").alias("status"), F.col("processing_failed").alias("failed"))
+
+
+@query(
+    """select k as "range", round(v, 6) as value, cast(row_number() over (partition by file order by k) - 1 as int) as position
+from (select s_suppkey % 5 as file, lpad(cast(s_suppkey as varchar), 6, '0') || '-' || lpad(cast(s_suppkey + 3 as varchar), 6, '0') as k, s_acctbal as v from supplier)"""
+)
+def s3_read_corrections(spark, sf):
+    """Correction files, one a folder, of run ranges and values."""
+    at = shared_folder(spark)
+    k = F.col("s_suppkey")
+    key = F.concat_ws("-", F.lpad(k.cast("string"), 6, "0"), F.lpad((k + 3).cast("string"), 6, "0"))
+    entries = F.sort_array(F.collect_list(F.struct(key.alias("k"), F.col("s_acctbal").cast("double").alias("v"))))
+    files = table(spark, sf, "supplier").groupBy((k % 5).alias("file")).agg(F.to_json(F.map_from_entries(entries)).alias("value"))
+    files.write.partitionBy("file").text(at)
+    found = io.read_corrections(spark, at).select("range", F.round(F.col("value").cast("double"), 6).alias("value"), "position")
+    return found
+
+
+@query("select lpad(cast(o_orderkey as varchar), 6, '0') as run_id from orders")
+def s4_read_run_list(spark, sf):
+    at = shared_folder(spark)
+    table(spark, sf, "orders").select(F.concat(F.lit(" "), F.col("o_orderkey").cast("string"), F.lit("\n")).alias("value")).write.text(at)
+    return io.read_run_list(spark, at)
+
+
+@query("select cast(o_orderkey as int) as run, o_orderpriority as notes, case when o_orderkey % 3 > 0 then r.mode end as mode from orders join v_runs r on r.number = o_orderkey", "v_runs")
+def s5_read_measurements(spark, sf):
+    """A lab book joined to runs, of which a third is missing."""
+    at = shared_folder(spark)
+    table(spark, sf, "orders").select(F.col("o_orderkey").alias("run"), F.col("o_orderpriority").alias("notes")).write.option("header", True).csv(at)
+    runs = v_runs(spark, sf).where("number % 3 > 0").select("number", "mode")
+    return io.read_measurements(spark, at, runs).select("run", "notes", "mode")
+
+
+@query("select run_id, 'peaks' as data_type, cast(1 as bigint) as n_files, true as has_size, count(*) as n_rows from v_peaks group by run_id", "v_peaks")
+def s7_dataset_inventory(spark, sf):
+    """A data set written by run and its files: one a run, with a size."""
+    path = io.write_dataset(v_peaks(spark, sf).repartition("run_id"), shared_folder(spark), "peaks", {"left": 10})
+    back = spark.read.schema("peak_id long, run_id string").parquet(path)
+    files = io.dataset_inventory(back).select("run_id", "data_type", "n_files", (F.col("mb") > 0).alias("has_size"))
+    return files.join(back.groupBy("run_id").agg(F.count("*").alias("n_rows")), "run_id")

@@ -9,9 +9,9 @@ from .base import query, rounded, table, v_peaks
 
 
 @rounded("y")
-@query("select peak_id, 2 * power(area, 3) - power(area, 2) + 0.5 * area - 7 as y from v_peaks where area < 50", "v_peaks")
+@query("select peak_id, ((2 * area - 1) * area + 0.5) * area - 7 as y from v_peaks", "v_peaks")
 def m1_poly(spark, sf):
-    return v_peaks(spark, sf).where("area < 50").select("peak_id", c.poly(F.col("area"), (2, -1, 0.5, -7)).alias("y"))
+    return v_peaks(spark, sf).select("peak_id", c.poly(F.col("area"), (2, -1, 0.5, -7)).alias("y"))
 
 
 @query("select o_orderkey, lpad(cast(o_orderkey as varchar), 6, '0') as run_id from orders")

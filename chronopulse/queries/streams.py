@@ -2,23 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..streaming import streams as st
-from .base import query, rounded, v_ext, v_fragments, v_peaks
+from .base import query, rounded, shared_folder, v_ext, v_fragments, v_peaks
 
 _FRAGMENTS = "v_waves v_fragments"
 
 
-def _folder(spark) -> str:
-    """A fresh shared folder for a stream's files and state."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def _as_stream(spark, df, at: str, parts: int = 4, flush=None):
     """The rows of df, written as a few files in time order, as a stream; flush adds a late row that closes windows."""
     df.repartitionByRange(parts, "time").write.parquet(at)
@@ -29,7 +20,7 @@ def _as_stream(spark, df, at: str, parts: int = 4, flush=None):
 
 @query("select run_id, channel, time, record_i from v_fragments", _FRAGMENTS)
 def x1_stream_fragments(spark, sf):
-    root = _folder(spark)
+    root = shared_folder(spark)
     rows = v_fragments(spark, sf).select("run_id", "channel", "time", "record_i")
     rows.write.parquet(f"{root}/in")
     st.run_to_files(st.stream_fragments(spark, f"{root}/in", 2, rows.schema), f"{root}/out", f"{root}/state")
@@ -38,7 +29,7 @@ def x1_stream_fragments(spark, sf):
 
 @query("select run_id, channel, time + 1000000 as time, record_i from v_fragments", _FRAGMENTS)
 def x2_stream_dedup(spark, sf):
-    root = _folder(spark)
+    root = shared_folder(spark)
     shifted = (F.col("time") + 1_000_000).alias("time")  # a stream takes times up to the epoch itself as late
     rows = v_fragments(spark, sf).select("run_id", "channel", shifted, "record_i")
     twice = rows.unionByName(rows.where("time % 3 = 0"))
@@ -53,7 +44,7 @@ from v_fragments group by all""",
     _FRAGMENTS,
 )
 def x3_stream_pulse_counts(spark, sf):
-    root = _folder(spark)
+    root = shared_folder(spark)
     area = F.aggregate("data", F.lit(0).cast("bigint"), lambda s, x: s + x)
     rows = v_fragments(spark, sf).select("channel", "time", "record_i", area.alias("area"))
     stream = _as_stream(spark, rows, f"{root}/in")
@@ -74,7 +65,7 @@ select run_id, min(time) - 500000000 as time, max(endtime) + 50000000 as endtime
     "v_peaks",
 )
 def x4_stream_events(spark, sf):
-    root = _folder(spark)
+    root = shared_folder(spark)
     rows = v_peaks(spark, sf).where("type = 2 and area > 10").select("run_id", "time", "endtime")
     stream = _as_stream(spark, rows, f"{root}/in")
     events = st.stream_events(stream, 500_000_000, 50_000_000, 1)
@@ -91,7 +82,7 @@ def x4_stream_events(spark, sf):
     "v_peaks v_ext",
 )
 def x5_stream_coincidences(spark, sf):
-    root = _folder(spark)
+    root = shared_folder(spark)
     left = _as_stream(spark, v_peaks(spark, sf).where("type = 2").select("run_id", "peak_id", "time"), f"{root}/left", 1)
     right = _as_stream(spark, v_ext(spark, sf).select("run_id", "time"), f"{root}/right", 1)
     st.run_to_files(st.stream_coincidences(left, right, 120_000_000, "1 hour").drop("ts"), f"{root}/out", f"{root}/state")
@@ -105,7 +96,7 @@ select run_id, channel, time, record_i, last_value(b ignore nulls) over (partiti
     _FRAGMENTS,
 )
 def x6_stream_baseline(spark, sf):
-    root = _folder(spark)
+    root = shared_folder(spark)
     rows = v_fragments(spark, sf).select("run_id", "channel", "time", "record_i", "data")
     stream = _as_stream(spark, rows, f"{root}/in", 1)
     st.run_to_files(st.stream_baseline(stream), f"{root}/out", f"{root}/state")
@@ -116,7 +107,7 @@ def x6_stream_baseline(spark, sf):
     "select run_id, row_number() over (partition by run_id order by time) - 1 as event_number, time, endtime from v_peaks where type = 2", "v_peaks"
 )
 def x7_stream_event_number(spark, sf):
-    root = _folder(spark)
+    root = shared_folder(spark)
     rows = v_peaks(spark, sf).where("type = 2").select("run_id", "time", "endtime")
     stream = _as_stream(spark, rows, f"{root}/in", 1)
     st.run_to_files(st.stream_event_number(stream), f"{root}/out", f"{root}/state")
