@@ -42,20 +42,30 @@ class CharFeatures:
     def counts(self, text: str, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
         """Sorted indices and how often each occurs."""
         codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        longest, shift = max(self.config.orders), np.uint32(32 - self.config.bits)
-        found = np.zeros(1 << self.config.bits, dtype=np.int64)
+        longest, shift, total = max(self.config.orders), np.uint32(32 - self.config.bits), None
         for start in range(0, len(codes), block):  # blocks overlap, so that memory stays bounded on huge texts
             part = codes[start : start + block + longest - 1]
-            gram = part.copy()
+            gram, found = part.copy(), []
             for n in range(2, longest + 1):
                 if len(part) < n:
                     break
                 gram = gram[:-1] * np.uint32(0x01000193) + part[n - 1 :]
                 if n in self.config.orders:
                     own = gram[:block]  # those that start in this block
-                    found += np.bincount(((own ^ (own >> np.uint32(15)) ^ np.uint32(n)) * np.uint32(0x9E3779B1)) >> shift, minlength=len(found))
-        idx = np.flatnonzero(found)
-        return idx, found[idx]
+                    found.append(((own ^ (own >> np.uint32(15)) ^ np.uint32(n)) * np.uint32(0x9E3779B1)) >> shift)
+            if not found:
+                continue
+            every = np.sort(np.concatenate(found))
+            first = np.concatenate(([0], np.flatnonzero(every[1:] != every[:-1]) + 1))
+            idx, count = every[first], np.diff(np.append(first, len(every)))
+            if len(codes) <= block:
+                return idx, count
+            total = np.zeros(1 << self.config.bits, dtype=np.int64) if total is None else total
+            total[idx] += count
+        if total is None:
+            return np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.int64)
+        idx = np.flatnonzero(total)
+        return idx, total[idx]
 
     @staticmethod
     def values(count: np.ndarray) -> np.ndarray:
