@@ -49,3 +49,19 @@ def test_last_stage_decodes_every_text(spark, monkeypatch):
     monkeypatch.setattr(bpe, "append_columns", lambda d, c, make, f: checked.extend(make()(["a text"])[2].to_pylist()))
     bpe.encode_checked(docs, path, public_tokenizers.PATTERN)
     assert checked == [False]
+
+
+def test_stages_take_nulls_repeats_and_no_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    words = " ".join(f"w{k}" for k in range(40))
+    odd = [(1_000_000, None), (1_000_001, ""), (None, words), (None, words), (1_000_002, words), (1_000_003, words), (1_000_003, words), (1_000_004, "é " * 5000)]
+    rows = spark.createDataFrame([(i, t, None, None, None) for i, t in odd], docs.schema)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, rows, SF)
+        assert out.columns == (docs.columns if name != "byte_bpe" else ["doc_id", "n_tokens", "ids", "decodes"])
+        ids = [r["doc_id"] for r in out.collect()]
+        if name == "near_copies":  # null ids stay; of texts without words and of equal texts the smallest id does
+            assert sorted(ids, key=str) == [1_000_000, 1_000_002, 1_000_004, None, None]
+        elif name in ("benchmark_passages", "byte_bpe"):
+            assert sorted(map(str, ids)) == sorted(str(i) for i, _ in odd)
+        assert stage(spark, rows.limit(0), SF).count() == 0
