@@ -65,18 +65,22 @@ def correction_for_run(runs: DataFrame, corrections: DataFrame, missing: str = "
 def apply_correction_version(runs: DataFrame, index: DataFrame, files: DataFrame) -> DataFrame:
     """One column per name of a global index (name, file, value): a plain value, or the run's value by the named file.
 
-    files (file, position, range, value) holds all correction files; names with neither are left out.
+    files (file, position, range, value) holds all correction files; names with neither are left out. All names are
+    looked up in one range join of the runs with the files (hand-kept tables, broadcast) and turned into columns by a
+    pivot; a name whose files hold no value for a run is null.
     """
-    rows = index.where("file is not null or value is not null").collect()  # the hand-kept index of one version
-    out = runs
-    for r in rows:
-        if r["file"] is None:
-            out = out.withColumn(r["name"], F.lit(r["value"]))
-            continue
-        table = files.where(F.col("file") == r["file"]).select("position", "range", "value")
-        found = correction_for_run(out.select("run_id").distinct(), table, missing="null").select("run_id", F.col("value").alias(r["name"]))
-        out = out.join(found, "run_id", "left")
-    return out
+    rows = index.where("file is not null or value is not null").collect()  # the hand-kept index of one version: names become columns
+    plain = {r["name"]: F.lit(r["value"]) for r in rows if r["file"] is None}
+    named = [r["name"] for r in rows if r["file"] is not None]
+    if not named:
+        return runs.withColumns(plain) if plain else runs
+    first, last = run_range(F.col("range"))
+    table = files.join(F.broadcast(index.where("file is not null").select("file", "name")), "file")
+    table = table.select("name", "position", "value", first.alias("__a"), last.alias("__b"))
+    known = runs.select("run_id").distinct()
+    met = known.join(F.broadcast(table), (F.col("run_id") >= F.col("__a")) & (F.col("run_id") <= F.col("__b")))
+    wide = met.groupBy("run_id").pivot("name", named).agg(F.min_by("value", "position"))
+    return runs.join(wide, "run_id", "left").withColumns(plain)
 
 
 def replica_file_counts(files: DataFrame, hosts: list[str]) -> DataFrame:
@@ -161,23 +165,29 @@ def archive_entries(entries: DataFrame, removed: DataFrame, at: Column, by: str)
 
 
 def apply_status_updates(runs: DataFrame, updates: DataFrame, production: bool = True) -> DataFrame:
-    """runs with the last update of each run applied: updates (number, status, time, host, reason, add_tag, remove_tag).
+    """runs with all updates of each run applied in the order of their times: updates (number, status, time, host,
+    reason, add_tag, remove_tag).
 
-    processing_failed grows by the number of updates with a reason. Not in production, only the changed rows return.
+    The last update gives the status. Every update first pulls all tags of the name remove_tag, then appends add_tag;
+    so a tag that was pulled comes back if a later update adds it. processing_failed grows by the number of updates with
+    a reason. Updates of one time go by status, host, reason and tags. A run without updates stays as it is; updates of
+    unknown runs are ignored. Not in production, only the changed rows return.
     """
-    last = updates.groupBy("number").agg(
-        F.max_by(F.struct("status", "host", "reason", "time", "add_tag", "remove_tag"), "time").alias("__u"),
-        F.count("reason").alias("__failed"),
-    )
-    joined = runs.join(last, "number", "left" if production else "inner")
-    u, touched = F.col("__u"), F.col("__u").isNotNull()
-    old = F.col("processing_status")
-    status = F.struct(*[F.when(touched, u[c]).otherwise(old[c]).alias(c) for c in ("status", "host", "reason", "time")])
-    tags = F.coalesce("tags", F.array().cast(dict(runs.dtypes)["tags"]))
-    tags = F.filter(tags, lambda t: ~F.coalesce(t["name"] == u["remove_tag"], F.lit(False)))
-    made = F.struct(u["add_tag"].alias("name"), F.lit(None).cast("string").alias("user"), u["time"].alias("time"))
-    tags = F.when(u["add_tag"].isNotNull(), F.array_append(tags, made)).otherwise(tags)
-    failed = F.coalesce("processing_failed", F.lit(0)) + F.coalesce("__failed", F.lit(0)).cast("int")
+    fields = ("time", "status", "host", "reason", "add_tag", "remove_tag")
+    per = updates.groupBy("number").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("__u"))
+    joined = runs.join(per, "number", "left" if production else "inner")
+    touched, last = F.col("__u").isNotNull(), F.element_at("__u", -1)
+    old, kind = F.col("processing_status"), dict(runs.dtypes)["tags"]
+    status = F.struct(*[F.when(touched, last[c]).otherwise(old[c]).alias(c) for c in ("status", "host", "reason", "time")])
+
+    def step(tags: Column, u: Column) -> Column:
+        left = F.filter(tags, lambda t: ~F.coalesce(t["name"] == u["remove_tag"], F.lit(False)))
+        made = F.struct(u["add_tag"].alias("name"), F.lit(None).cast("string").alias("user"), u["time"].alias("time"))
+        return F.when(u["add_tag"].isNotNull(), F.concat(left, F.array(made).cast(kind))).otherwise(left)
+
+    tags = F.aggregate("__u", F.coalesce("tags", F.array().cast(kind)), step)
+    failures = F.size(F.filter("__u", lambda u: u["reason"].isNotNull()))
+    failed = F.coalesce("processing_failed", F.lit(0)) + failures
     out = {"processing_status": status, "processing_failed": F.when(touched, failed).otherwise(F.col("processing_failed")), "tags": F.when(touched, tags).otherwise(F.col("tags"))}
     return joined.withColumns(out).select(*runs.columns)
 

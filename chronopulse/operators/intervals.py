@@ -1,4 +1,4 @@
-"""Interval operators: sessions, events, containment, overlap, as-of and coincidence joins.
+"""Interval operators: sessions, events, containment, overlap, as-of and coincidence joins, competing peaks.
 
 A run can be one long stretch of time, so nothing is partitioned by run alone. Sessions use two levels: times fall
 into slabs; a table with one narrow row a slab carries the running maximum and the session counts over; everything
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import floor_div
 from ..schemas import SLAB_NS
+from ..sources.io import stored
 
 
 def _slabbed(df: DataFrame, slab: int) -> DataFrame:
@@ -201,36 +202,55 @@ def coincidence_match(
 ) -> DataFrame:
     """left with is_coinc: greedy one-to-one forward matching of left and right times.
 
-    Rows further apart than max_delay cannot compete, so both sides are cut into clusters where the merged times leave
-    a larger gap, and clusters are matched on their own; those that begin in the same slab go to one worker. edge
-    "reference" ignores the last two rows (by time) of both sides of every key. Null times never match; row_id names a
-    column of left that is unique for each value of keys.
+    Both sides are matched in slabs of time, however dense they are. All that one slab owes to those before it are the
+    left rows of the last max_delay that are unmatched at its border; these are carried on. In the first round no slab
+    gets any; then the slabs that were given other rows than they were matched with are matched again, in rounds, until
+    the borders settle. A slab forgets what it was given as soon as no left row is open in it, so few rounds are usual;
+    there are never more than slabs. Rounds are stored, and only slabs that change are computed again.
+
+    edge "reference" ignores the last two rows (by time) of both sides of every key. Null times never match; row_id
+    names a column of left that is unique for each value of keys.
     """
-    keys = list(keys)
+    keys, length, kinds = list(keys), max(slab, max_delay), dict(left.dtypes)
     a = left.where("time is not null").select(*keys, "time", F.col(row_id).alias("__id"), F.lit(0).alias("__side"))
-    b = right.where("time is not null").select(*keys, "time", F.lit(None).cast(dict(left.dtypes)[row_id]).alias("__id"), F.lit(1).alias("__side"))
+    b = right.where("time is not null").select(*keys, "time", F.lit(None).cast(kinds[row_id]).alias("__id"), F.lit(1).alias("__side"))
     both = a.unionByName(b)
     if edge == "reference":
         both = _without_last(both, 2, [*keys, "__side"])
     elif edge != "all":
         raise ValueError("edge is all or reference")
-    both = sessionize(both.withColumn("endtime", F.col("time")), max_delay + 1, keys, slab, "__cluster").drop("endtime")
-    # clusters with one side only have no pair and need no helper; the others go to a worker many at once
-    sides = both.groupBy(*keys, "__cluster").agg(F.count_distinct("__side").alias("__n"), F.min("time").alias("__from")).where("__n = 2")
-    sides = sides.select(*keys, "__cluster", floor_div(F.col("__from"), slab).alias("__slab"))
-    work = both.join(sides, [*keys, "__cluster"])
-    kinds = dict(left.dtypes)
+    rows = stored(_slabbed(both, length))
+    place = [*keys, "__slab"]
 
     def match(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["time", "__side", "__id"])
+        at = int(frame["__slab"].iloc[0])
+        frame = frame.sort_values(["time", "__side", "__id"], kind="stable")
         mine, other = frame[frame["__side"] == 0], frame[frame["__side"] == 1]
-        # clusters are further apart than the delay, so one pass over all of them pairs within clusters only
         hit = greedy_match(mine["time"].to_numpy(), other["time"].to_numpy(), max_delay) >= 0
-        return mine.loc[hit, [*keys, "__id"]]
-
-    out = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + f", __id {kinds[row_id]}"
-    hits = work.groupBy(*keys, "__slab").applyInPandas(match, out).withColumn("__hit", F.lit(True))
-    joined = left.join(hits.withColumnRenamed("__id", row_id), [*keys, row_id], "left")
+        # unmatched rows that the next slab may still match are handed on
+        passed = ~hit & (mine["time"].to_numpy() + max_delay >= (at + 1) * length)
+        out = mine.loc[hit | passed, [*keys, "time", "__id"]].assign(__slab=at, __hit=hit[hit | passed])
+        return out[[*place, "time", "__id", "__hit"]]
+
+    fields = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + f", __slab bigint, time bigint, __id {kinds[row_id]}, __hit boolean"
+    matched = lambda some: stored(some.groupBy(*place).applyInPandas(match, fields))
+    given_to = lambda found: found.where("not __hit").withColumn("__slab", F.col("__slab") + 1)
+    digest = [F.count("*").alias("__n"), F.sum(F.xxhash64("time", "__id").cast("decimal(38, 0)")).alias("__h")]
+    everywhere = stored(rows.groupBy(*place).agg(F.count("*").alias("__rows")).select(*place))
+    result = matched(rows)
+    used = everywhere.withColumns({"__n": F.lit(0).cast("bigint"), "__h": F.lit(0).cast("decimal(38, 0)")})  # what each slab was matched with
+    while True:
+        now = given_to(result)
+        sums = everywhere.join(now.groupBy(*place).agg(*digest), place, "left")
+        sums = sums.select(*place, F.coalesce("__n", F.lit(0)).alias("__n"), F.coalesce("__h", F.lit(0)).cast("decimal(38, 0)").alias("__h"))
+        sums = stored(sums)
+        changed = stored(sums.join(used, [*place, "__n", "__h"], "left_anti").select(*place))
+        if not changed.head(1):
+            break
+        again = rows.unionByName(now.select(*keys, "time", "__id", F.lit(0).alias("__side"), "__slab")).join(changed, place)
+        result, used = stored(result.join(changed, place, "left_anti").unionByName(matched(again))), sums
+    hits = result.where("__hit").select(*keys, F.col("__id").alias(row_id), F.lit(True).alias("__hit")).distinct()
+    joined = left.join(hits, [*keys, row_id], "left")
     return joined.select(*left.columns, F.coalesce("__hit", F.lit(False)).alias("is_coinc"))
 
 
@@ -245,32 +265,84 @@ def _without_last(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
     return joined.where(F.col("__limit").isNotNull() & (F.struct("time", "__id") < F.col("__limit"))).drop("__limit")
 
 
-def n_competing(peaks: DataFrame, window: int, fraction: float = 0.5, inclusive_edge: bool = False, bucket: int | None = None) -> DataFrame:
+def count_above(values: np.ndarray, low: np.ndarray, high: np.ndarray, limits: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """For each query, the weight of values[low:high] above its limit (NaN counts as above every number).
+
+    Two-dimensional dominance counting without a loop over rows: values become ranks; level k of a merge-sort tree holds
+    the ranks sorted within blocks of 2^k places, so one binary search over the whole level answers for one block of
+    every query, and a query's range is two blocks a level at most. n log n places, (n + queries) log^2 n steps.
+    """
+    n = len(values)
+    order = np.argsort(values, kind="stable")
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.arange(n)
+    first = np.searchsorted(values[order], limits, side="right")  # ranks from here on are above
+    out = np.zeros(len(limits), dtype=np.int64)
+    low, high = low.astype(np.int64).copy(), np.maximum(high, low).astype(np.int64)
+
+    def add(rows: np.ndarray, block: np.ndarray, level: np.ndarray, sums: np.ndarray, size: int) -> None:
+        stop = np.minimum((block + 1) * size, n)
+        at = np.searchsorted(level, block * (n + 1) + first[rows])
+        out[rows] += sums[stop] - sums[np.minimum(at, stop)]
+
+    size = 1
+    open_rows = np.flatnonzero(low < high)
+    while len(open_rows):
+        level = np.arange(n) // size * (n + 1) + rank
+        by = np.argsort(level, kind="stable") if size > 1 else np.arange(n)
+        level, sums = level[by], np.concatenate(([0], np.cumsum(weights[by])))
+        odd = open_rows[low[open_rows] // size % 2 == 1]
+        add(odd, low[odd] // size, level, sums, size)
+        low[odd] += size
+        odd = open_rows[(high[open_rows] // size % 2 == 1) & (low[open_rows] < high[open_rows])]
+        high[odd] -= size
+        add(odd, high[odd] // size, level, sums, size)
+        size *= 2
+        open_rows = open_rows[low[open_rows] < high[open_rows]]
+    return out
+
+
+def n_competing(peaks: DataFrame, window: int, fraction: float = 0.5, inclusive_edge: bool = False, bucket: int | None = None, most: int = 200_000) -> DataFrame:
     """Adds n_competing: peaks of the run within `window` of time with an area above `fraction` of its own.
 
-    The peak itself counts if it fits. inclusive_edge also counts the first peak at or beyond the right edge and, where
-    there is none at the left edge, keeps the plain one: the slice from the first time >= t - w to the first >= t + w.
+    The peak itself counts if it fits. inclusive_edge counts from the first time >= t - window to the first one at or
+    beyond t + window, however far, and of that time one peak only, the largest. Null times and areas compete with
+    nothing and have no competitors. Runs may number their peaks alike: the count depends on run, time and area only.
+
+    Equal peaks are counted once with a weight. Slabs of `bucket` ticks (above twice the window) go to workers with the
+    peaks within the window of them; counts are sums, so a slab of more than `most` peaks is divided into parts whose
+    pairs go to workers of their own: no frame has more than about twice `most` rows.
     """
-    size = bucket or 2 * window
-    near = peaks.select("run_id", F.col("time").alias("__t"), F.col("area").alias("__a"))
-    reach = lambda t: F.array_distinct(F.array(floor_div(t - window, size), floor_div(t + window, size)))
-    near = near.withColumn("__bucket", F.explode(reach(F.col("__t"))))
-    own = peaks.select("run_id", "peak_id", "time", "area", floor_div(F.col("time") - window, size).alias("__low"), floor_div(F.col("time") + window, size).alias("__high"))
-    own = own.withColumn("__bucket", F.explode(F.array_distinct(F.array("__low", "__high"))))
-    # a pair meets in up to two buckets; keep it in the larger of both sides' first common one
-    pairs = own.join(near, ["run_id", "__bucket"]).where(
-        (F.abs(F.col("__t") - F.col("time")) <= window)
-        & (F.col("__bucket") == F.greatest("__low", floor_div(F.col("__t") - window, size)))
-        & (F.col("__a") > F.col("area") * fraction)
-    )
-    counts = pairs.groupBy("peak_id").agg(F.count("*").alias("__n"))
-    out = peaks.join(counts, "peak_id", "left").withColumn("n_competing", F.coalesce("__n", F.lit(0))).drop("__n")
+    key, size = ["run_id", "time", "area"], max(bucket or 0, 16 * window, 2 * window + 1)
+    points = peaks.where("time is not null and area is not null").groupBy(*key).agg(F.count("*").alias("__m"))
+    reach = F.array_distinct(F.array(*[floor_div(F.col("time") + d, size) for d in (-window, window)]))
+    data = points.select(*key, "__m", F.explode(reach).alias("__slab"), F.lit(False).alias("__q"))
+    own = points.select(*key, "__m", floor_div(F.col("time"), size).alias("__slab"), F.lit(True).alias("__q"))
+    dense = data.groupBy("run_id", "__slab").agg(F.ceil(F.count("*") / most).cast("int").alias("__c")).where("__c > 1")
+    rows = data.unionByName(own).join(dense, ["run_id", "__slab"], "left").withColumn("__c", F.coalesce("__c", F.lit(1)))
+    part = F.pmod(F.xxhash64("time", "area"), F.col("__c")).cast("int")
+    all_parts = F.sequence(F.lit(0), F.col("__c") - 1)
+    rows = rows.withColumn("__with", F.explode(all_parts))  # a part of the queries meets every part of the data
+    rows = rows.select(*key, "__m", "__slab", "__q", F.when(F.col("__q"), part).otherwise(F.col("__with")).alias("__i"), F.when(F.col("__q"), F.col("__with")).otherwise(part).alias("__j"))
+    kinds = dict(peaks.dtypes)
+
+    def count(frame: pd.DataFrame) -> pd.DataFrame:
+        asked, known = frame[frame["__q"]], frame[~frame["__q"]].sort_values("time", kind="stable")
+        t, at = known["time"].to_numpy(), asked["time"].to_numpy()
+        low, high = np.searchsorted(t, at - window, "left"), np.searchsorted(t, at + window, "left" if inclusive_edge else "right")
+        area = known["area"].to_numpy(dtype=np.float64)
+        n = count_above(area, low, high, asked["area"].to_numpy(dtype=np.float64) * fraction, known["__m"].to_numpy())
+        return asked[key].assign(__n=n)
+
+    out = ", ".join(f"{k} {kinds[k]}" for k in key) + ", __n bigint"
+    counts = rows.groupBy("run_id", "__slab", "__i", "__j").applyInPandas(count, out).groupBy(*key).agg(F.sum("__n").alias("__n"))
+    found = peaks.join(counts, key, "left").withColumn("n_competing", F.coalesce("__n", F.lit(0))).select(*peaks.columns, "n_competing")
     if not inclusive_edge:
-        return out
-    beyond = _first_after(out.withColumns({"__own": F.col("time"), "time": F.col("time") + window + 1}), peaks.select("run_id", "time"), 64 * size)
-    first = peaks.groupBy("run_id", "time").agg(F.max("area").alias("__edge_area"))
-    joined = beyond.withColumn("time", F.col("__own")).drop("__own").join(
-        first.withColumnRenamed("time", "__next"), ["run_id", "__next"], "left"
-    )
+        return found
+    times = peaks.select("run_id", "time")
+    beyond = _first_after(found.where("time is not null").withColumns({"__own": F.col("time"), "time": F.col("time") + window}), times, 64 * size)
+    first = peaks.where("time is not null").groupBy("run_id", "time").agg(F.max("area").alias("__edge_area"))
+    joined = beyond.withColumn("time", F.col("__own")).join(first.withColumnRenamed("time", "__next"), ["run_id", "__next"], "left")
     extra = F.when(F.col("__edge_area") > F.col("area") * fraction, 1).otherwise(0)
-    return joined.withColumn("n_competing", F.col("n_competing") + extra).drop("__next", "__edge_area")
+    joined = joined.withColumn("n_competing", F.col("n_competing") + extra).select(*found.columns)
+    return joined.unionByName(found.where("time is null"))

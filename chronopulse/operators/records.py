@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import NAN, floor_div
+from ..functions.kernels import Lists
 from ..schemas import SLAB_NS
-from .intervals import sessionize
+from .intervals import overlap_join, sessionize
 
 _PAST = (Window.unboundedPreceding, -1)
 
@@ -261,22 +267,56 @@ def build_peaks(
 def sum_waveform(peaks: DataFrame, records: DataFrame, gains: list[float] | None = None, bucket: int = 100_000) -> DataFrame:
     """(run_id, peak_id, time, dt, length, area, data): gain-weighted samples of all records on each peak's own grid.
 
-    Record samples fall to the peak sample DIV dt after its start; samples outside the peak are left out.
-    """
-    from .intervals import overlap_join
+    Record samples fall to the peak sample DIV dt after its start; samples outside the peak are left out. A channel
+    beyond the gains adds nothing.
 
+    No sample is a row: the pairs of peak and record that meet are added up batch by batch where they meet, as aligned
+    arrays, and only these partial sums (one row for each peak and batch, as long as what the records cover) are shuffled
+    by peak and added again.
+    """
     rec = records.select("run_id", "time", _end().alias("endtime"), "channel", "dt", "length", "data")
     met = overlap_join(peaks.select("run_id", "peak_id", "time", "endtime"), rec, bucket)
-    factor = F.get(F.lit([float(g) for g in gains]), F.col("r_channel")) if gains else F.lit(1.0)
-    points = met.select(
-        "run_id", "peak_id", "time", "endtime", "r_time", F.col("r_dt").alias("dt"), factor.alias("g"),
-        F.posexplode(F.slice("r_data", F.lit(1), F.col("r_length"))).alias("i", "x"),
-    )
-    at = F.col("r_time") + F.col("i") * F.col("dt")
-    inside = points.where((at >= F.col("time")) & (at < F.col("endtime")))
-    sample = floor_div(at - F.col("time"), F.col("dt").cast("bigint")).cast("int")
-    sums = inside.groupBy("run_id", "peak_id", "time", "endtime", "dt", sample.alias("s")).agg(F.sum(F.col("x") * F.col("g")).alias("v"))
-    n = F.ceil((F.col("endtime") - F.col("time")) / F.col("dt")).cast("int")
-    arrays = sums.groupBy("run_id", "peak_id", "time", "endtime", "dt").agg(F.map_from_entries(F.collect_list(F.struct("s", "v"))).alias("m"), F.sum("v").alias("area"))
-    data = F.transform(F.sequence(F.lit(0), n - 1), lambda s: F.coalesce(F.try_element_at("m", s), F.lit(0.0)))
-    return arrays.select("run_id", "peak_id", "time", "endtime", "dt", n.alias("length"), "area", data.alias("data"))
+    factor = F.coalesce(F.get(F.lit([float(g) for g in gains]), F.col("r_channel")), F.lit(0.0)) if gains else F.lit(1.0)
+    pairs = met.select("run_id", "peak_id", "time", "endtime", F.col("r_dt").alias("dt"), "r_time", factor.alias("g"), F.col("r_length").alias("n"), F.col("r_data").alias("data"))
+    kind = dict(pairs.dtypes)
+    key = f"run_id {kind['run_id']}, peak_id {kind['peak_id']}, time bigint, endtime bigint, dt int"
+    names = ["run_id", "peak_id", "time", "endtime", "dt"]
+
+    def add_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            col = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
+            time, endtime, start = (np.asarray(col[n]) for n in ("time", "endtime", "r_time"))
+            dt, lists = np.asarray(col["dt"]).astype(np.int64), Lists(col["data"], col["n"])
+            first = np.clip(-((start - time) // dt), 0, lists.sizes)  # the record's first sample at or after the peak's start
+            last = np.clip(-((start - endtime) // dt), first, lists.sizes)
+            at = (start + first * dt - time) // dt  # the peak's sample that it falls to
+            _, one, peak = np.unique(np.stack([pd.factorize(col[n].to_pandas())[0] for n in names[:2]] + [time, endtime, dt]), axis=1, return_index=True, return_inverse=True)
+            low, high = np.full(len(one), 1 << 62), np.zeros(len(one), dtype=np.int64)
+            some = last > first
+            np.minimum.at(low, peak[some], at[some])
+            np.maximum.at(high, peak[some], (at + last - first)[some])
+            low = np.minimum(low, high)
+            begin = np.concatenate(([0], np.cumsum(high - low)))
+            used = (lists.index >= first[lists.row]) & (lists.index < last[lists.row])
+            row = lists.row[used]
+            place = begin[peak[row]] + at[row] - low[peak[row]] + lists.index[used] - first[row]
+            sums = np.bincount(place, lists.values[used] * np.asarray(col["g"])[row], minlength=begin[-1])
+            took = pa.array(one)
+            data = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(sums))
+            yield pa.RecordBatch.from_arrays([*[col[n].take(took) for n in names], pa.array(low), data], [*names, "at", "part"])
+
+    def add_parts(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        time, endtime, dt = (k.as_py() for k in key[2:])
+        data = np.zeros(max(0, -((time - endtime) // dt)))
+        for batch in batches:
+            for at, part in zip(batch.column("at").to_pylist(), batch.column("part"), strict=True):
+                values = np.asarray(part.values)
+                data[at : at + len(values)] += values
+        whole = [pa.array([k.as_py()], k.type) for k in key]
+        yield pa.RecordBatch.from_arrays([*whole, pa.array([len(data)], pa.int32()), pa.array([float(data.sum())]), pa.array([data])], [*names, "length", "area", "data"])
+
+    parts = pairs.mapInArrow(add_batch, f"{key}, at bigint, part array<double>").where("size(part) > 0")
+    added = parts.groupBy(*names).applyInArrow(add_parts, f"{key}, length int, area double, data array<double>")
+    return added.select("run_id", "peak_id", "time", "endtime", "dt", "length", "area", "data")

@@ -105,7 +105,21 @@ def m6_peak_widths(spark, sf):
     return out.select("peak_id", F.get(w, F.lit(5)).alias("w5"), F.get(w, F.lit(9)).alias("w9"), F.get(d, F.lit(1)).alias("d1"))
 
 
-@query()
+_M22 = """
+with recursive walk as (
+  select peak_id, time, data, cast(0 as bigint) as k, cast('-infinity' as double) as top, cast('infinity' as double) as low, cast(-1 as bigint) as spot, cast(null as bigint) as cut from v_waves
+  union all
+  select peak_id, time, data, k + 1, top, case when x < low and top >= greatest(x + 100, 4 * x) then x else low end,
+    case when x < low and top >= greatest(x + 100, 4 * x) then k else spot end, cut
+  from (select peak_id, time, data, k, x, case when split or (spot < 0 and x > top) then x else top end as top, case when split then cast('infinity' as double) else low end as low,
+      case when split then -1 else spot end as spot, case when split then spot end as cut
+    from (select *, data[k + 1] as x, spot >= 0 and data[k + 1] >= greatest(low + 100, 4 * low) as split from walk where k < 64))),
+edges as (select peak_id, time, data, cut as a from walk where cut is not null union all select peak_id, time, data, 0 from v_waves),
+parts as (select *, lead(a, 1, 64) over (partition by peak_id order by a) as b, row_number() over (partition by peak_id order by a) - 1 as part from edges)
+select peak_id, cast(part as int) as part, time + a * 10 as time, time + b * 10 as endtime, cast(b - a as int) as length, cast(list_sum(data[a + 1:b]) as double) as area from parts"""
+
+
+@query(_M22, "v_waves")
 def m22_split_peaks(spark, sf):
     return kernels.split_peaks(v_waves(spark, sf), 100.0, 4.0).select("peak_id", "part", "time", "endtime", "length", "area")
 
@@ -202,12 +216,32 @@ def m7_position_cog(spark, sf):
     return kernels.reconstruct_position(v_light(spark, sf), SENSORS).select("peak_id", "x", "y")
 
 
-@query()
+def _scan_sql(value: str, rate: str) -> str:
+    """All grid points for all peaks: the least value to nine decimals, then the first point by x, then y."""
+    light = ", ".join(f"area_per_channel[{k}] as n{k}" for k in range(1, 8))
+    square = [f"(power(gx - ({p['x']}), 2) + power(gy - ({p['y']}), 2) + {p['z'] ** 2})" for p in SENSORS]
+    yields = ", ".join(f"{p['qe']} * {p['z']} / sqrt({q}) / {q} as g{k}" for k, (p, q) in enumerate(zip(SENSORS, square, strict=True), 1))
+    total = lambda term: "(" + " + ".join(term.replace("#", str(k)) for k in range(1, 8)) + ")"
+    return f"""
+with axis as (select cast(i as double) as i, -150.0 + 10.0 * i as at from range(0, 31) as t(i)),
+grid as (select a.i as ix, b.i as iy, a.at as gx, b.at as gy from axis a, axis b),
+points as (select ix, iy, {yields} from grid),
+light as (select peak_id, {light} from v_light where area > 0),
+fits as (select *, sqrt({total("n# * n# / g#")} / {total("g#")}) as r2, {total("n#")} / {total("g#")} as r1 from light, points),
+best as (select peak_id, min([round({total(value.replace("mu#", f"({rate} * g#)"))}, 9), ix, iy]) as b from fits group by peak_id)
+select peak_id, -150.0 + 10.0 * b[2] as x, -150.0 + 10.0 * b[3] as y, b[1] as fit from best"""
+
+
+@rounded("fit", 3)
+@rounded("x y")
+@query(_scan_sql("power(n# - mu#, 2) / mu#", "r2"), "v_light")
 def m7_position_chi2(spark, sf):
     return kernels.reconstruct_position(v_light(spark, sf), SENSORS, "CHI2").select("peak_id", "x", "y", "fit")
 
 
-@query()
+@rounded("fit", 3)
+@rounded("x y")
+@query(_scan_sql("(mu# - n# * ln(mu#) + lgamma(n# + 1))", "r1"), "v_light")
 def m7_position_lnlike(spark, sf):
     return kernels.reconstruct_position(v_light(spark, sf), SENSORS, "LNLIKE").select("peak_id", "x", "y", "fit")
 

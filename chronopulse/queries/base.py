@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.io import shared_folder as shared_folder
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 SLAB = 6 * 3_600_000_000
@@ -50,15 +50,6 @@ def rounded(columns: str, digits: int = 6):
     return change
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder under the one that the cluster names in spark.checkpoint.dir. Where it is unset, a temporary one
-    serves local sessions only: executors of a cluster could not read each other's files there."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return f"{(root or tempfile.mkdtemp(prefix='spark-')).rstrip('/')}/query-{uuid.uuid4().hex}"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

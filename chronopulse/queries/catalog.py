@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import catalog
@@ -149,18 +152,21 @@ def u6_archive_entries(spark, sf):
 
 @query(
     """select number, case when number % 3 = 0 then 'failed' else status end as status,
-  cast(processing_failed + case when number % 3 = 0 then 1 else 0 end as int) as processing_failed,
-  case when number % 3 = 0 and tag <> 'process' then tag || ',seen' when number % 3 = 0 then 'seen' else tag end as tags from v_runs""",
+  cast(processing_failed + case when number % 3 = 0 then 2 else 0 end as int) as processing_failed,
+  case when number % 3 = 0 and tag <> 'process' then tag || ',second,first' when number % 3 = 0 then 'second,first' else tag end as tags from v_runs""",
     "v_runs",
 )
 def u7_apply_status_updates(spark, sf):
+    """Four updates of a run, two with a reason, two at one time: each adds or pulls tags of its own."""
     runs = v_runs(spark, sf)
     base = runs.where("number % 3 = 0")
-    update = lambda status, hours, reason: base.select(
+    text = lambda x: F.lit(x).cast("string")
+    update = lambda status, hours, reason, add, remove: base.select(
         "number", F.lit(status).alias("status"), (F.col("start") + F.make_dt_interval(F.lit(0), F.lit(hours))).alias("time"), F.lit("host").alias("host"),
-        F.lit(reason).cast("string").alias("reason"), F.lit("seen").alias("add_tag"), F.lit("process").alias("remove_tag"),
+        text(reason).alias("reason"), text(add).alias("add_tag"), text(remove).alias("remove_tag"),
     )
-    changed = catalog.apply_status_updates(runs, update("running", 1, None).unionByName(update("failed", 2, "memory")))
+    rows = [("failed", 3, "memory", "first", None), ("running", 1, None, "first", "process"), ("a", 2, "lost", "second", "first"), ("b", 2, None, "seen", None), ("c", 2, None, None, "seen")]
+    changed = catalog.apply_status_updates(runs, reduce(DataFrame.unionByName, [update(*r) for r in rows]))
     return changed.select("number", F.col("processing_status.status").alias("status"), "processing_failed", F.array_join("tags.name", ",").alias("tags"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import events as ev
@@ -76,13 +77,37 @@ def w5_build_events(spark, sf):
     return v_events(spark, sf)
 
 
+#: Peaks numbered from 0 in every run, as build_peaks() does.
+_RUNS_FROM_0 = "n as (select run_id, time, area, row_number() over (partition by run_id order by time, area, peak_id) - 1 as peak_id from v_peaks)"
+
+
+def _numbered_from_0(spark, sf):
+    order = Window.partitionBy("run_id").orderBy("time", "area", "peak_id")
+    return v_peaks(spark, sf).select("run_id", "time", "area", (F.row_number().over(order) - 1).cast("bigint").alias("peak_id"))
+
+
 @query(
-    """select a.peak_id, count(*) filter (b.area > a.area * 0.5) as n_competing from v_peaks a
-join v_peaks b on a.run_id = b.run_id and b.time between a.time - 600000000 and a.time + 600000000 group by a.peak_id""",
+    f"""with {_RUNS_FROM_0} select a.run_id, a.peak_id, count(*) filter (b.area > a.area * 0.5) as n_competing from n a
+join n b on a.run_id = b.run_id and b.time between a.time - 600000000 and a.time + 600000000 group by a.run_id, a.peak_id""",
     "v_peaks",
 )
 def w6_n_competing(spark, sf):
-    return intervals.n_competing(v_peaks(spark, sf), 600_000_000, 0.5).select("peak_id", "n_competing")
+    return intervals.n_competing(_numbered_from_0(spark, sf), 600_000_000, 0.5).select("run_id", "peak_id", "n_competing")
+
+
+@query(
+    f"""with {_RUNS_FROM_0},
+e as (select a.run_id, a.peak_id, min(b.time) as edge from n a join n b on a.run_id = b.run_id and b.time >= a.time + 600000000 group by all),
+last as (select e.run_id, e.peak_id, max(b.area) as edge_area from e join n b on b.run_id = e.run_id and b.time = e.edge group by all)
+select a.run_id, a.peak_id, count(*) filter (b.area > a.area * 0.5) + coalesce(any_value(cast(edge_area > a.area * 0.5 as int)), 0) as n_competing from n a
+join n b on a.run_id = b.run_id and b.time >= a.time - 600000000 and b.time < a.time + 600000000
+left join last on last.run_id = a.run_id and last.peak_id = a.peak_id group by a.run_id, a.peak_id""",
+    "v_peaks",
+)
+def w6_n_competing_to_edge(spark, sf):
+    """The slice that ends with the first peak at or beyond the right edge; dense slabs in parts."""
+    rows = intervals.n_competing(_numbered_from_0(spark, sf), 600_000_000, 0.5, inclusive_edge=True, most=500)
+    return rows.select("run_id", "peak_id", "n_competing")
 
 
 @query(

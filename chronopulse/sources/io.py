@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,23 @@ from ..functions.columns import run_key as run_key
 from ..schemas import FRAGMENT, RUN_DOCUMENT
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh folder under the one that the cluster names in spark.checkpoint.dir. Where it is unset, a temporary one
+    serves local sessions only: executors of a cluster could not read each other's files there."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{(root or tempfile.mkdtemp(prefix='spark-')).rstrip('/')}/table-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read again: lost executors cost no recomputation of its lineage, and what is
+    used several times is computed once."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_fragments(spark: SparkSession, path: str) -> DataFrame:
     """Fragments under run_id=/chunk_i=/kind= folders; only the partitions a filter asks for are read. Not sorted."""
     return spark.read.schema(FRAGMENT).parquet(path)
