@@ -5,13 +5,13 @@ Ticks are kept as longs; a microsecond timestamp `ts` derived from them is the e
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..schemas import FRAGMENT
 
@@ -32,7 +32,8 @@ def stream_dedup(df: DataFrame, delay: str, keys=("run_id", "channel", "time", "
 
 
 def stream_pulse_counts(df: DataFrame, chunk: str = "5 seconds", delay: str = "10 seconds") -> DataFrame:
-    """Pulses, fragments and area per chunk interval and channel; later rows than the delay are dropped."""
+    """Pulses, fragments and area per chunk interval and channel, in append mode: a window goes out when the watermark
+    closes it, and its state ends. Rows later than the delay are dropped; split_late() keeps them."""
     counts = df.withWatermark("ts", delay).groupBy(F.window("ts", chunk), "channel").agg(
         F.count(F.when(F.col("record_i") == 0, 1)).alias("pulse_count"), F.count("*").alias("n"), F.sum("area").alias("pulse_area")
     )
@@ -43,7 +44,7 @@ def stream_events(triggers: DataFrame, left: int, right: int, ticks_per_us: int
     """(run_id, time, endtime, n_triggers): build_events() as session windows over trigger peaks.
 
     The gap, left + right plus the peak's own length, is given per row; sessions merge at exactly the gap, as events do.
-    The watermark waits for twice left plus right.
+    The watermark waits for twice left plus right; in append mode an event goes out when it has passed the event's end.
     """
     us = lambda ticks: -(-ticks // ticks_per_us)
     length = F.call_function("div", F.col("endtime") - F.col("time"), F.lit(ticks_per_us))
@@ -63,51 +64,162 @@ def stream_coincidences(left: DataFrame, right: DataFrame, max_delay_us: int, la
     return a.join(b, near, "left_semi")
 
 
-_BASE_OUT = "run_id string, channel int, time long, record_i int, baseline double"
+def split_late(stream: DataFrame, delay_us: int, path: str, checkpoint: str) -> None:
+    """Splits what is available into rows on time (path/on_time) and late ones (path/late): those whose ts is more than
+    the delay behind the largest ts of the micro-batches before. Windows over the rows on time then lose nothing.
 
+    A micro-batch writes folders of its own number, and the largest ts so far beside them, so that a batch that runs
+    again after a failure writes the same.
+    """
+    spark = stream.sparkSession
+
+    def each(rows: DataFrame, number: int) -> None:
+        seen = spark.read.parquet(f"{path}/seen/batch={number - 1}").first()["ts_us"] if number else None
+        late = F.lit(False) if seen is None else F.unix_micros("ts") < seen - delay_us
+        for name, condition in (("on_time", ~late), ("late", late)):
+            rows.where(F.coalesce(condition, F.lit(False))).write.mode("overwrite").parquet(f"{path}/{name}/batch={number}")
+        newest = rows.agg(F.greatest(F.max(F.unix_micros("ts")), F.lit(seen).cast("bigint")).alias("ts_us"))
+        newest.write.mode("overwrite").parquet(f"{path}/seen/batch={number}")
+
+    run_batches(stream, checkpoint, each, "append")
+
+
+def _closing_ms(key_slab: int, slab_ms: int) -> int:
+    return (int(key_slab) + 1) * slab_ms
+
+
+class BaselineCarry(StatefulProcessor):
+    """Per channel: rows wait until the watermark closes their slab, then go out in order of time, each with the mean of
+    the last first fragment up to it; that mean is the state that stays. A frame has at most `most` rows."""
+
+    def __init__(self, slab_ms: int, fallback: float, most: int = 10_000):
+        self.slab_ms, self.fallback, self.most = slab_ms, fallback, most
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "mean double")
+        self.waiting = handle.getListState("waiting", "time long, record_i int, own double, ms long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            at = frame["ts_ms"].astype("int64")
+            new = zip(frame["time"].tolist(), frame["record_i"].tolist(), frame["own"].tolist(), at.tolist(), strict=True)
+            self.waiting.appendList([(t, r, None if pd.isna(x) else float(x), m) for t, r, x, m in new])
+            for slab in (at // self.slab_ms).unique().tolist():
+                self.handle.registerTimer(_closing_ms(slab, self.slab_ms))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        end, due, later = expiredTimerInfo.getExpiryTimeInMs(), [], []
+        for row in self.waiting.get():
+            (due if row[3] < end else later).append(tuple(row))
+        if not due:
+            return
+        if later:
+            self.waiting.put(later)
+        else:
+            self.waiting.clear()
+        due.sort(key=lambda r: r[:2])
+        last, out = self.last.get()[0] if self.last.exists() else self.fallback, []
+        for time, record_i, own, _ in due:
+            last = last if own is None else own
+            out.append((key[0], int(key[1]), time, record_i, last))
+        self.last.update((float(last),))
+        for start in range(0, len(out), self.most):
+            yield pd.DataFrame(out[start : start + self.most], columns=["run_id", "channel", "time", "record_i", "baseline"])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_baseline(df: DataFrame, samples: int = 20, fallback: float = 16000.0, delay: str = "10 seconds", slab_ms: int = 10_000) -> DataFrame:
+    """(run_id, channel, time, record_i, baseline): the last first fragment's mean of the channel is remembered across
+    micro-batches and slabs. Only means travel, no samples; state and timers are in the state store."""
+    head = F.slice("data", 1, samples)
+    mean = F.try_divide(F.aggregate(head, F.lit(0.0), lambda s, x: s + x.cast("double")), F.size(head))
+    rows = df.withWatermark("ts", delay).select(
+        "run_id", "channel", "time", "record_i", "ts", F.when(F.col("record_i") == 0, mean).alias("own"), F.unix_millis("ts").alias("ts_ms")
+    )
+    out = "run_id string, channel int, time long, record_i int, baseline double"
+    return rows.groupBy("run_id", "channel").transformWithStateInPandas(BaselineCarry(slab_ms, fallback), out, "append", "EventTime")
 
-def stream_baseline(df: DataFrame, samples: int = 20, fallback: float = 16000.0) -> DataFrame:
-    """Baselines with the last first fragment of the channel remembered across micro-batches: one number per channel."""
 
-    def update(key, frames: Iterable[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else fallback
-        rows = pd.concat(list(frames)).sort_values(["time", "record_i"])
-        out = []
-        for r in rows.itertuples(index=False):
-            if r.record_i == 0:
-                last = float(np.mean(np.asarray(r.data)[:samples]))
-            out.append(last)
-        state.update((last,))
-        yield pd.DataFrame({"run_id": rows["run_id"], "channel": rows["channel"], "time": rows["time"], "record_i": rows["record_i"], "baseline": out})
+class SlabRank(StatefulProcessor):
+    """Per slab of a run: its events wait until the watermark closes it, then go out ranked by time, and the state ends."""
 
-    return df.select("run_id", "channel", "time", "record_i", "data").groupBy("run_id", "channel").applyInPandasWithState(
-        update, _BASE_OUT, "last double", "append", "NoTimeout"
-    )
+    def __init__(self, slab_ms: int, most: int = 10_000):
+        self.slab_ms, self.most = slab_ms, most
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "time long, endtime long")
 
-def stream_event_number(events: DataFrame) -> DataFrame:
-    """Consecutive event numbers per run across micro-batches: the state is one counter per run."""
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            self.waiting.appendList(list(zip(frame["time"].tolist(), frame["endtime"].tolist(), strict=True)))
+        self.handle.registerTimer(_closing_ms(key[1], self.slab_ms))
+        return iter([])
 
-    def update(key, frames: Iterable[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        seen = state.get[0] if state.exists else 0
-        rows = pd.concat(list(frames)).sort_values("time")
-        numbers = np.arange(len(rows)) + seen
-        state.update((seen + len(rows),))
-        yield pd.DataFrame({"run_id": rows["run_id"], "event_number": numbers, "time": rows["time"], "endtime": rows["endtime"]})
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        rows = sorted(tuple(r) for r in self.waiting.get())
+        self.waiting.clear()
+        for start in range(0, len(rows), self.most):
+            part = rows[start : start + self.most]
+            yield pd.DataFrame(
+                {"run_id": key[0], "slab": int(key[1]), "rank": range(start, start + len(part)), "n": len(rows), "time": [a for a, _ in part], "endtime": [b for _, b in part]}
+            )
 
-    source = events.select("run_id", "time", "endtime")
-    return source.groupBy("run_id").applyInPandasWithState(
-        update, "run_id string, event_number long, time long, endtime long", "seen long", "append", "NoTimeout"
-    )
+    def close(self) -> None:
+        pass
+
+
+def stream_event_ranks(events: DataFrame, delay: str = "10 seconds", slab_ms: int = 10_000) -> DataFrame:
+    """(run_id, slab, rank, n, time, endtime): events ranked within slabs of time, which close one after the other; slabs
+    of a run are ranked by different tasks. number_events() makes numbers of them."""
+    rows = events.withWatermark("ts", delay).select("run_id", "time", "endtime", "ts", F.call_function("div", F.unix_millis("ts"), F.lit(slab_ms)).alias("slab"))
+    out = "run_id string, slab long, rank long, n long, time long, endtime long"
+    return rows.groupBy("run_id", "slab").transformWithStateInPandas(SlabRank(slab_ms), out, "append", "EventTime")
+
+
+def number_events(ranks: DataFrame, path: str, checkpoint: str) -> None:
+    """Writes (run_id, event_number, time, endtime) to path/events: consecutive numbers by run across micro-batches.
+
+    A slab's first number is the count of events in closed slabs before it: one narrow row a slab within the batch, one
+    row a run (path/seen) from the batches before. Folders are named by batch, so a batch that runs again writes the same.
+    """
+    spark = ranks.sparkSession
+
+    def each(rows: DataFrame, number: int) -> None:
+        rows = rows.persist()
+        slabs = rows.groupBy("run_id", "slab").agg(F.first("n").alias("n"))
+        earlier = Window.partitionBy("run_id").orderBy("slab").rowsBetween(Window.unboundedPreceding, -1)
+        seen = spark.read.schema("run_id string, seen long").parquet(f"{path}/seen/batch={number - 1}") if number else spark.createDataFrame([], "run_id string, seen long")
+        first = slabs.withColumn("first", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(seen, "run_id", "left")
+        first = first.select("run_id", "slab", (F.col("first") + F.coalesce("seen", F.lit(0))).alias("first"))
+        out = rows.join(first, ["run_id", "slab"]).select("run_id", (F.col("first") + F.col("rank")).alias("event_number"), "time", "endtime")
+        out.write.mode("overwrite").parquet(f"{path}/events/batch={number}")
+        after = slabs.select("run_id", F.col("n").alias("seen")).unionByName(seen).groupBy("run_id").agg(F.sum("seen").alias("seen"))
+        after.write.mode("overwrite").parquet(f"{path}/seen/batch={number}")
+        rows.unpersist()
+
+    run_batches(ranks, checkpoint, each, "append")
+
+
+#: The store that keeps state variables and timers; it spills to disk.
+_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def run_to_files(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Processes everything available into Parquet files, then stops."""
+def run_to_files(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> list[dict]:
+    """Processes everything available into Parquet files, then stops; returns the progress of its micro-batches."""
+    stream.sparkSession.conf.set(*_STORE)
     query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
+    return query.recentProgress
 
 
-def run_batches(stream: DataFrame, checkpoint: str, each, mode: str = "complete") -> None:
-    """Processes everything available, handing each micro-batch to `each(df, number)`, then stops."""
+def run_batches(stream: DataFrame, checkpoint: str, each, mode: str = "append") -> list[dict]:
+    """Processes everything available, handing each micro-batch to `each(df, number)`, then stops; returns the progress."""
+    stream.sparkSession.conf.set(*_STORE)
     query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
+    return query.recentProgress
