@@ -12,8 +12,8 @@ two sets' sketches differ in no more places than the sets do. Two forms are used
 
 An empty cell, and one that very many sets of different groups share (a common passage), is weak: it is not joined on.
 A set with more than D strong cells meets every similar set in one of them; a set with fewer is poor. Pairs of which one
-is not poor are all found by the cells; poor sets are joined among themselves on their rarest single shingles (a sketch
-with a cell for each shingle), where nothing is weak. Nothing is lost, and no weak cell costs pairs.
+is not poor are all found by the cells; poor sets are joined among themselves on single shingles, the rarer ones first (a
+sketch with a cell for each shingle), where nothing is weak. Nothing is lost, and no weak cell costs pairs.
 
 Candidates that share a cell are first linked to one head of it, each to the head that it meets most often, in rounds:
 groups of near copies merge without pairs. Then all pairs of different groups in a cell are tested: members of all but
@@ -22,6 +22,7 @@ the cell's largest group against all members. A pair must pass the sizes, the bi
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -39,13 +40,15 @@ from .simhash import _ODD, _mixed, shingle_set, shingle_sets
 class ParityConfig:
     """percent: the least similarity in per cent. busy: pairs of different groups per member above which a cell is weak.
     sample: one text in so many is looked at for cells that very many texts share; those are spared the sort. It and
-    busy change the plan, not the result. node_bits: bits of a set's name; equal names are told apart."""
+    busy change the plan, not the result; so does ordering, about how many poor sets are sampled for common shingles.
+    node_bits: bits of a set's name; equal names are told apart."""
 
     shingle: int = 5
     percent: int = 80
     rounds: int = 2
     busy: int = 64
     sample: int = 256
+    ordering: int = 1024
     node_bits: int = 64
 
 
@@ -143,7 +146,7 @@ def _settle(rows: DataFrame, nodes: DataFrame, texts: DataFrame, groups: _Groups
     """Adds to groups all links between nodes that share a key of rows (key, node; a stored table), but for keys with
     more than `busy` pairs of different groups a member; returns how many of those every node has (node, weak)."""
     spark, paths = rows.sparkSession, []
-    for k in range(config.rounds):
+    for k in range(0 if busy is None else config.rounds):
         members = groups.of(rows)
         order = F.struct(F.xxhash64("node", F.lit(k)).alias("order"), "node", "component") if k else F.struct("node", "component")
         heads = members.groupBy("key").agg(F.min(order).alias("h"), F.min("component").alias("x"), F.max("component").alias("y"))
@@ -204,16 +207,28 @@ def _shared_cells(prints: DataFrame, config: ParityConfig) -> DataFrame:
 
 
 def _rare_shingles(poor: DataFrame, nodes: DataFrame, texts: DataFrame, config: ParityConfig) -> DataFrame:
-    """(key, node): the rarest shingles of each poor set, one more than may be absent from a similar set."""
+    """(key, node): the first shingles of each poor set, one more than may be absent from a similar set, in an order that
+    all sets share: those last that are common in a sample of the sets, then by hash. Any such order finds all pairs.
+
+    Shingles of 1/32 of the sampled sets are common: no more than 32 times the sets' mean size, whatever the corpus.
+    """
     sets, path = shingle_sets(poor, nodes, texts, config.shingle)
-    rows = sets.select("node", F.size("s").alias("n"), F.explode("s").alias("key"))
-    counts = rows.groupBy("key").count().where("count > 1")
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("count", "key"))
-    rows = rows.join(counts, "key")  # shingles of a single set meet nothing, but are among the rarest
-    alone = sets.select("node", F.size("s").alias("n")).join(rows.groupBy("node").agg(F.count("*").alias("known")), "node")
-    rows = rows.drop("n").withColumn("rank", rank).join(alone, "node")
-    kept = F.expr(f"rank + n - known <= n - ({config.percent}L * n + 99) div 100 + 1")
-    out, _ = stored(rows.where(kept).select("key", "node"))
+    every = max(1, sets.count() // config.ordering)
+    some = sets.where(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select("node", F.explode("s").alias("key"))
+    least = max(2, config.ordering // 32)
+    common = np.sort(np.array([r["key"] for r in some.groupBy("key").count().where(F.col("count") >= least).select("key").collect()], dtype=np.int64))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = []
+            for s in batch.column(1):
+                h = np.asarray(s.values)
+                often = np.isin(h, common)
+                keys.append(np.concatenate((h[~often], h[often]))[: len(h) + (-config.percent * len(h)) // 100 + 1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], ["node", "keys"])
+
+    first = sets.select("node", "s").mapInArrow(run, "node bigint, keys array<bigint>")
+    out, _ = stored(first.select("node", F.explode("keys").alias("key")))
     discard(poor.sparkSession, path)
     return out
 
