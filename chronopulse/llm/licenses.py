@@ -1,9 +1,15 @@
 """License scans.
 
-An inverted index holds the words of all templates with their places. A document's words vote for the shifts between a
-template and the document; where enough template words lie within the band of a shift to reach the coverage, a banded
-alignment of template words and document words gives the matched coverage and span. Shingles serve no candidates: with
-a word inserted or changed here and there, a notice has the coverage but not one shingle of its template.
+Templates are license notices and whole license texts. Their word shingles are winnowed: of every run of `window` shingles
+one is kept, so any shingle + window - 1 words that a document has of a template hold a kept one. The kept fingerprints
+form an inverted index; a template is a candidate in a document that has one of its fingerprints. A template too short
+for that is indexed by its words, and is a candidate where enough of them occur. What a document costs depends on the
+templates that it shares fingerprints or words with, not on how many there are.
+
+In a candidate, the document's words vote for the shifts between template and document; for each shift with enough
+template words within the band to reach the coverage, a banded alignment gives the matched coverage and span. That part
+misses nothing of a candidate; what has the coverage but no fingerprint (a word changed or inserted in every few) is no
+candidate and not reported.
 """
 
 from __future__ import annotations
@@ -11,7 +17,7 @@ from __future__ import annotations
 import heapq
 import re
 from bisect import bisect, insort
-from collections import defaultdict
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,12 +57,70 @@ TEMPLATES = {
 }
 
 
+#: The bodies of whole license texts, without titles and copyright lines.
+FULL_TEXTS = {
+    "mit-text": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+        "to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+        "the Software. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO "
+        "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+        "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+        "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+        "IN THE SOFTWARE."
+    ),
+    "isc-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING "
+        "ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, "
+        "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE "
+        "USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "bsd-2-clause-text": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution. "
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+        "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+        "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+        "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+        "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY "
+        "OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "zlib-text": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. "
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+        "alter it and redistribute it freely, subject to the following restrictions: "
+        "1. The origin of this software must not be misrepresented; you must not claim that you wrote the original "
+        "software. If you use this software in a product, an acknowledgment in the product documentation would be "
+        "appreciated but is not required. "
+        "2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original "
+        "software. "
+        "3. This notice may not be removed or altered from any source distribution."
+    ),
+}
+
+
 @dataclass(frozen=True)
 class LicenseConfig:
-    """band: words that alignment may shift; least_coverage: share of a template's words that must be matched."""
+    """band: words that alignment may shift; least_coverage: share of a template's words that must be matched; shingle,
+    window: of the fingerprints; short: templates of fewer words are indexed by words."""
 
     band: int = 8
     least_coverage: float = 0.8
+    shingle: int = 3
+    window: int = 4
+    short: int = 16
 
 
 def words(text: str) -> list[bytes]:
@@ -101,12 +165,51 @@ def align(template: list, found: list, shift: int, band: int) -> tuple[int, int,
 
 
 class LicenseIndex:
-    """Inverted index of template words."""
+    """Inverted index: fingerprints to long templates, words to short ones."""
 
     def __init__(self, templates: dict[str, str], config: LicenseConfig):
         self.config = config
         self.templates = {name: found for name, text in templates.items() if (found := words(text))}
-        self.vocabulary = {w for found in self.templates.values() for w in found}
+        self.numbers: dict[bytes, int] = {}
+        self.short: dict[bytes, list[str]] = defaultdict(list)
+        holders: dict[int, set[str]] = defaultdict(set)
+        for name, found in self.templates.items():
+            codes = np.array([self.numbers.setdefault(w, len(self.numbers) + 1) for w in found], dtype=np.uint64)
+            if len(found) < max(config.short, config.shingle):
+                for w in found:
+                    self.short[w].append(name)
+                continue
+            hashes = self._shingles(codes)
+            for k in winnow(hashes.tolist(), config.window):
+                holders[int(hashes[k])].add(name)
+        self.holders = holders
+        self.fingerprints = np.sort(np.array(list(holders), dtype=np.uint64))
+
+    def _shingles(self, codes: np.ndarray) -> np.ndarray:
+        """A hash of the shingle that begins at each place."""
+        n = len(codes) - self.config.shingle + 1
+        h = np.zeros(max(0, n), dtype=np.uint64)
+        for k in range(self.config.shingle if n > 0 else 0):
+            h = (h ^ codes[k : n + k]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        return h
+
+    def candidates(self, found: list[bytes]) -> list[str]:
+        """The templates that the words may hold, by name."""
+        look = self.numbers.get
+        codes = np.array([look(w, 0) for w in found], dtype=np.uint64)
+        known = np.flatnonzero(codes)
+        if not len(known):
+            return []
+        names: set[str] = set()
+        if len(self.fingerprints):
+            h = self._shingles(codes)
+            at = np.minimum(np.searchsorted(self.fingerprints, h), len(self.fingerprints) - 1)
+            for hit in np.unique(h[self.fingerprints[at] == h]).tolist():
+                names |= self.holders[hit]
+        counts = Counter(name for w in {found[k] for k in known} for name in self.short.get(w, ()))
+        names |= {name for name, n in counts.items() if self._enough(n, self.templates[name])}
+        return sorted(names)
 
     def find(self, text: str) -> list[dict]:
         """Matches as template, coverage, start, stop (code points), words matched, in order of start and template.
@@ -115,13 +218,13 @@ class LicenseIndex:
         earlier end), then the best one in the words that are left, until no shift has a match in these.
         """
         found = words(text)
-        present = self.vocabulary.intersection(found)
-        likely = [name for name, t in self.templates.items() if self._enough(sum(w in present for w in t), t)]
+        likely = self.candidates(found)
         if not likely:
             return []
+        wanted = {w for name in likely for w in self.templates[name]}
         at: dict[bytes, list[int]] = defaultdict(list)
         for j, w in enumerate(found):
-            if w in present:
+            if w in wanted:
                 at[w].append(j)
         out, spans = [], None
         for name in likely:
@@ -195,7 +298,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, config: Licen
     matches; a column of that name is replaced; repeated rows stay; no shuffle. The templates are a parameter, so the
     index that tasks hold does not grow with the corpus.
     """
-    known = dict(TEMPLATES if templates is None else templates)
+    known = TEMPLATES | FULL_TEXTS if templates is None else dict(templates)
     fields = [("template", pa.string()), ("coverage", pa.float64()), ("start", pa.int64()), ("stop", pa.int64()), ("matched", pa.int64())]
 
     def make():
@@ -208,5 +311,5 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, config: Licen
 
 def matches(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """One row per match: doc_id, template, coverage, start, stop, matched."""
-    found = scan(docs, **options).select(F.col(id_col).alias("doc_id"), F.explode("licenses").alias("m"))
+    found = scan(docs, **options).select(F.col(f"`{id_col}`").alias("doc_id"), F.explode("licenses").alias("m"))
     return found.select("doc_id", "m.*")
