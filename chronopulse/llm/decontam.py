@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import append_columns, text_rows
+from ._common import append_columns, stored, text_rows
 
 #: Lower-cases A-Z; ASCII other than letters and digits separates words; bytes of other characters are word bytes.
 _NORMAL = bytes(
@@ -108,12 +108,43 @@ def _runs(text: str, hit: np.ndarray) -> list[dict]:
     ]
 
 
-def benchmark_blocks(benchmark: DataFrame, id_col="item_id", text_col="text", block_chars: int = BLOCK_CHARS) -> list[DataFrame]:
-    """The benchmark in blocks of at most about block_chars characters of text (an item is never divided)."""
+def _pieces(text: str, size: int, most: int) -> list[str]:
+    """The text's words in runs of at most about `most` characters (a window is never divided) that share size - 1
+    words, so that every window is in one run; a text of fewer than `size` words, but not none, is one run."""
+    found = words(text)
+    ends = np.cumsum([len(w) + 1 for w in found])
+    out, start = [], 0
+    while start < len(found):
+        stop = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most, "right"))
+        stop = min(len(found), max(stop, start + size))
+        out.append(b" ".join(found[start:stop]).decode("utf-8", "surrogatepass"))
+        if stop == len(found):
+            break
+        start = stop - size + 1
+    return out
+
+
+def benchmark_blocks(benchmark: DataFrame, id_col="item_id", text_col="text", block_chars: int = BLOCK_CHARS, size: int = 10) -> list[DataFrame]:
+    """The benchmark (item_id, text) in blocks of about block_chars characters of text at most.
+
+    A larger benchmark is cut into runs of words of a 32nd of a block, which overlap by a window less a word; distinct
+    runs go to blocks by a hash of item and text, two thirds full on average, so that neither long items nor many items
+    of one id or none make a block larger.
+    """
     items = text_rows(benchmark, id_col, text_col).select(F.col("doc_id").alias("item_id"), "text")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-total // block_chars) or 1
-    return [items] if n == 1 else [items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k) for k in range(n)]
+    if total <= block_chars:
+        return [items]
+    most = max(1, block_chars // 32)
+
+    def make():
+        return lambda texts: [pa.array([_pieces(t, size, most) for t in texts], pa.list_(pa.string()))]
+
+    runs = append_columns(items, "text", make, "runs array<string>").select("item_id", F.explode("runs").alias("text")).distinct()
+    runs, _ = stored(runs)
+    held = runs.agg(F.sum(F.length("text"))).first()[0] or 0
+    n = -(-3 * held // (2 * block_chars)) or 1
+    return [runs.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)]
 
 
 _RUN = "first:bigint,last:bigint,start:bigint,stop:bigint"
@@ -148,10 +179,11 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = 10, text_col="text",
 
     A window is `size` consecutive words of an item; an item of fewer words, but not none, is one window. Whole texts,
     no shuffle. Null text has no words; an empty benchmark hits nothing; an item given twice counts once; an item with
-    a null id hits words but is not named; repeated rows stay; columns of these names are replaced. A benchmark of more than block_chars characters is scanned in
-    blocks of at most that size, one after the other; runs found by different blocks may overlap.
+    a null id hits words but is not named; repeated rows stay; columns of these names are replaced. A benchmark of more
+    than block_chars characters is scanned in blocks of about that size, one after the other (see benchmark_blocks);
+    runs found by different blocks may overlap.
     """
-    out, blocks = docs, benchmark_blocks(benchmark, block_chars=block_chars)
+    out, blocks = docs, benchmark_blocks(benchmark, block_chars=block_chars, size=size)
     for k, block in enumerate(blocks):
         out = _scan(out, block, size, text_col, ("n_words", f"items_{k}", f"runs_{k}"))
     items = F.flatten(F.array(*[F.col(f"items_{k}") for k in range(len(blocks))]))
