@@ -213,16 +213,61 @@ class BpeTransducer:
         return self.longest
 
 
+_ATOM = regex.compile(r"\[\^?\]?(?:\\.|[^\]\\])*\]|\\[pP]\{[^}]*\}|\\.|\(\?[=!<][^()]*\)|[^\\()|]", regex.DOTALL)
+_TIMES = regex.compile(r"(?:[?*+]|\{\d*,?\d*\})[?+]?")
+_BLANKS = {r"\s", r"[\r\n]", r"\r", r"\n"}
+
+
+def space_starts_match(pattern: str) -> bool:
+    """Whether the pattern's text proves that a space between two characters that are no white space begins a match, and
+    that what comes before such a space is matched alike whatever follows it.
+
+    Every alternative must be of plain atoms in a row. In one of white space only, the space is a match of its own. In
+    any other no atom but the first may match a space, the first one at most once if it can match other characters, and
+    nothing may look around. Groups, but those of letters as (?i:'s|'t), and all else that isn't understood prove nothing.
+    """
+    plain = regex.sub(r"\(\?i?:[^()\\\[\]\s.]*\)", "x", pattern)  # groups of literals without white space
+    rest = regex.sub(r"\(\?[=!<][^()]*\)", "", plain)
+    if "(" in rest or ")" in rest:
+        return False
+    for alternative in regex.split(r"\|(?![^\[]*\])", plain):
+        atoms, at = [], 0
+        while at < len(alternative):
+            atom = _ATOM.match(alternative, at)
+            if atom is None:
+                return False
+            times = _TIMES.match(alternative, atom.end())
+            atoms.append((atom[0], times[0] if times else ""))
+            at = times.end() if times else atom.end()
+        looks = [a.startswith("(") for a, _ in atoms]
+        if all(a in _BLANKS or look for (a, _), look in zip(atoms, looks, strict=True)):
+            continue
+        if any(looks):
+            return False
+        for k, (a, times) in enumerate(atoms):
+            try:
+                takes = regex.compile(a).match(" ") is not None
+                others = regex.compile(a).match("a") or regex.compile(a).match("1") or regex.compile(a).match("-") or regex.compile(a).match("\u00e9")
+            except regex.error:
+                return False
+            if takes and (k or others and times not in ("", "?", "?+")):
+                return False
+    return True
+
+
 class TextEncoder:
     """Encodes texts split by a pattern, each match on its own.
 
-    Remembers the packed ids of recent stretches between single spaces, a bounded number. A space between two
-    characters that are no white space always starts a match of the pattern, so such stretches are independent, and
-    all that a text has anew are split in one go; texts with other spacing are split as a whole.
+    Remembers the packed ids of recent stretches between single spaces, a bounded number. Where the pattern proves that a
+    space between two characters that are no white space always starts a match, such stretches are independent, and all
+    that a text has anew are split in one go; texts with other spacing, and all texts of other patterns, are split as a
+    whole.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 400_000):
-        self.transducer, self.find = BpeTransducer(ranks), regex.compile(pattern).findall
+        self.transducer, self.by_stretch = BpeTransducer(ranks), space_starts_match(pattern)
+        compiled = regex.compile(pattern)
+        self.find = (lambda text: [m[0] for m in compiled.finditer(text)]) if compiled.groups else compiled.findall
         self.memo: Recent = Recent(memo)
 
     @staticmethod
@@ -250,6 +295,8 @@ class TextEncoder:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
+        if not self.by_stretch:
+            return self._pieces(text)
         first, *rest = text.split(" ")
         if not rest or not first or first[-1].isspace():
             return self._pieces(text)

@@ -111,11 +111,22 @@ def test_winnowing_keeps_one_of_every_window():
     assert all(kept & set(range(k, k + 4)) for k in range(97)) and licenses.winnow([], 4) == [] and licenses.winnow([3], 4) == [0]
 
 
-def brute_notices(text, band=8, least=0.8):
-    """Alignment at every position; the best match first, then the best one in the words that are left."""
-    found, out = licenses.words(text), set()
-    for name, body in licenses.TEMPLATES.items():
+def kept_shingles(template, index, size=3, window=4):
+    """The template's fingerprints as word triples: of every four in a row the one of least hash, the last of equals."""
+    triples = [tuple(template[k : k + size]) for k in range(len(template) - size + 1)]
+    h = index._shingles(np.array([index.numbers[w] for w in template], dtype=np.uint64)).tolist()
+    return {triples[max(range(k, k + window), key=lambda j: (-h[j], j))] for k in range(len(h) - window + 1)}
+
+
+def brute_notices(text, templates=licenses.TEMPLATES, band=8, least=0.8):
+    """Alignment at every position of what shares a fingerprint; the best match first, then the best one in the words
+    that are left."""
+    found, out, index = licenses.words(text), set(), licenses.LicenseIndex(templates, licenses.LicenseConfig())
+    there = {tuple(found[k : k + 3]) for k in range(len(found))}
+    for name, body in templates.items():
         template, free = licenses.words(body), [(0, len(found))]
+        if len(template) >= 16 and not kept_shingles(template, index) & there:
+            continue
         while True:
             best = (0, 0, 0)
             for a, b in free:
@@ -143,7 +154,7 @@ def test_every_notice_against_brute_force(spark):
     every_third = [x for k, w in enumerate(t["bsd-redistribution"].split()) for x in ([w, "y"] if k % 3 == 1 else [w])]
     texts += [" ".join(every_third), "a b " * 9 + t["mit"] + " c" * 9]
     got = {}
-    for r in licenses.matches(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+    for r in licenses.matches(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), templates=t).collect():
         first = len(licenses.words(texts[r["doc_id"]][: r["start"]]))
         last = len(licenses.words(texts[r["doc_id"]][: r["stop"]]))
         assert (r["template"], first, last, r["matched"]) not in got.setdefault(r["doc_id"], set())
@@ -154,6 +165,40 @@ def test_every_notice_against_brute_force(spark):
     assert (count(0, "mit"), count(1, "cc-by-nc-4.0"), count(2, "apache-2.0"), count(4, "mit")) == (7, 6, 5, 1)
 
 
+def test_full_license_texts(spark):
+    """Whole texts with edits, cut off, and next to each other; a text of which every second word differs is none."""
+    rng, t = random.Random(3), licenses.FULL_TEXTS
+    edited = t["mit-text"].split()
+    for _ in range(12):
+        edited[rng.randrange(len(edited))] = "changed"
+    texts = [t["mit-text"] + " " + t["isc-text"], "x " * 900 + " ".join(edited) + " y" * 9, t["zlib-text"][: len(t["zlib-text"]) // 2]]
+    texts += [" ".join(w if k % 2 else f"w{k}" for k, w in enumerate(t["bsd-2-clause-text"].split())), t["bsd-2-clause-text"].upper().replace(",", " ,")]
+    rows = spark.createDataFrame([(k, x, 1) for k, x in enumerate(texts)], "`the id` long, text string, licenses int")
+    got = {}
+    for r in licenses.matches(rows, "the id", templates=t).collect():
+        got.setdefault(r["doc_id"], []).append((r["template"], r["coverage"]))
+    assert sorted(got[0]) == [("isc-text", 1.0), ("mit-text", 1.0)] and 2 not in got and 3 not in got
+    assert got[1][0][0] == "mit-text" and 0.9 < got[1][0][1] < 1 and got[4] == [("bsd-2-clause-text", 1.0)]
+    many = t | {f"other-{k}": " ".join(f"o{k}w{j}" for j in range(200)) for k in range(300)}
+    index = licenses.LicenseIndex(many, licenses.LicenseConfig())
+    assert set(index.candidates(licenses.words(texts[0]))) <= set(t)  # only what shares a fingerprint is looked at
+
+
+@pytest.mark.parametrize("ids", ["null", "equal", "distinct"])
+def test_benchmark_blocks_are_bounded_whatever_the_ids(spark, ids):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    items = [({"null": None if k % 2 else k, "equal": 7, "distinct": k}[ids], " ".join(word() for _ in range(rng.choice([4, 60, 900])))) for k in range(60)]
+    docs = [(k, " ".join(items[k][1].split()[:25]) + " zz " + " ".join(items[-1 - k][1].split()[-12:])) for k in range(20)]
+    b, d = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    blocks = decontam.benchmark_blocks(b, block_chars=6000)
+    sizes = [sum(len(r["text"]) for r in block.collect()) for block in blocks]
+    assert len(blocks) > 10 and max(sizes) <= 6000
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], list(r["items"])) for r in decontam.scan(d, b, block_chars=6000).collect()}
+    want = {k: (n, hit, [i for i in found if i != "None"]) for k, (n, hit, found) in brute_scan(docs, items, 10).items()}
+    assert got == want
+
+
 def test_ftrl_separates():
     rng = np.random.default_rng(0)
     rows = [(np.array([k % 2, 2 + k % 5]), np.array([1.0, 1.0])) for k in range(400)]

@@ -1,5 +1,6 @@
 """Token counts and byte-level BPE against the libraries."""
 
+import array
 import hashlib
 import random
 
@@ -151,3 +152,18 @@ def test_piece_tokenizer():
     library = sentencepiece.SentencePieceProcessor(model_file=path)
     some = ["Hello there", " two  spaces", "", "é\n漢"]
     assert tokens.TokenCounter(path).count(some) == [len(library.encode(t)) for t in some]
+
+
+@pytest.mark.parametrize("pattern", [r"\S+ \S+|\s+|\S+", r"[^\n]+|\n+", r"(\w)+|.|\n", r"\S+(?= x)|\s+|\S+|\S", r"\w+|\W"])
+def test_patterns_of_all_kinds(pattern):
+    """Patterns that do not prove that a space starts a match encode whole texts, as the library does."""
+    import regex
+
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoder = bpe.TextEncoder(ranks, pattern)
+    one = tiktoken.Encoding("one", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
+    for text in ["one two three", "a  b c", " x y", "don't stop\nnow or then", "", "caf\u00e9 au lait x y x"]:
+        want = [i for m in regex.finditer(pattern, text) for i in one.encode_ordinary(m[0])]
+        got = array.array("I", encoder.encode(text)).tolist()
+        assert got == want
+    assert bpe.space_starts_match(public_tokenizers.PATTERN) and bpe.space_starts_match(pattern) == (pattern == r"\w+|\W")
