@@ -22,30 +22,40 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _short_batches(spark: SparkSession) -> None:
+    """Rows hold whole texts: batches of 1,000 rows instead of 10,000 keep the buffers of workers and executors small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the quality classifier rejects (score under 0.7)."""
+    _short_batches(spark)
     weights = quality.fit(_documents(spark, sf_dir), _labels(spark, sf_dir), lambda c: ~quality.held_out(c))
     return quality.keep_good(docs, weights)
 
 
 def keep_harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the toxicity classifier rejects (score of 0.5 or more)."""
+    _short_batches(spark)
     weights = toxicity.fit(_documents(spark, sf_dir), _labels(spark, sf_dir), lambda c: ~toxicity.held_out(c))
     return toxicity.keep_harmless(docs, weights)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of smallest doc_id of each group of near copies (five-word shingles, similarity 0.8)."""
+    _short_batches(spark)
     return simhash.deduplicate(docs)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of the benchmark out of the texts."""
+    _short_batches(spark)
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), mode="spans")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and ids (packed, little-endian unsigned 32-bit) of every text, and decodes: whether they decode to it."""
+    _short_batches(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode_checked(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
     return encoded.select("doc_id", "n_tokens", "ids", "decodes")
