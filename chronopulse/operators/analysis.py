@@ -120,3 +120,18 @@ def livetime(runs: DataFrame, things: DataFrame, second: float = 1e9) -> DataFra
     spans = things.groupBy("run_id").agg(((F.max_by("endtime", "time") - F.min("time")) / second).alias("__span"))
     asked = F.coalesce(F.col("livetime"), F.unix_micros(F.col("end")).cast("double") / 1e6 - F.unix_micros(F.col("start")).cast("double") / 1e6)
     return runs.join(spans, "run_id", "left").select("run_id", F.coalesce(asked, F.col("__span")).alias("livetime"))
+
+
+def distinct_sketches(df: DataFrame, keys: list[str], columns: list[str], bits: int = 14) -> DataFrame:
+    """Per keys, a sketch of the distinct values of each column (HyperLogLog with 2^bits registers): a few kilobytes that
+    can be stored by slab or run, and united later without the rows. Nulls don't count."""
+    return df.groupBy(*keys).agg(*[F.hll_sketch_agg(F.col(c).cast("string"), bits).alias(c) for c in columns])
+
+
+def distinct_counts(sketches: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Per keys (fewer than the sketches have: they are united), the estimated number of distinct values of each column.
+
+    The relative standard error is about 0.8 / sqrt(2^bits), 0.7 % for 14 bits; few values are counted exactly.
+    """
+    united = sketches.groupBy(*keys).agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in columns])
+    return united.withColumns({c: F.coalesce(c, F.lit(0)) for c in columns})

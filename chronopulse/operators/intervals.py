@@ -77,18 +77,16 @@ def build_events(
     return events.select("run_id", F.col("group_id").alias("event_number"), "time", "endtime", "n_triggers")
 
 
-def break_groups(df: DataFrame, safe_break: int = 1000, not_before: int | None = None, slab: int = SLAB_NS) -> DataFrame:
+def break_groups(df: DataFrame, safe_break: int = 1000, not_before: int | Column | None = None, slab: int = SLAB_NS, keys: Sequence[str] = ("run_id",)) -> DataFrame:
     """Adds break_group: the stream may be cut between groups, which are safe_break or more of quiet apart.
 
-    Breaks before not_before are not used: all that starts earlier falls into the group of the first row.
+    Until not_before (a number, or a column that is one value for each of keys) the stream counts as busy: the first
+    break is where safe_break of quiet after it, and after all rows so far, ends.
     """
-    groups = sessionize(df, safe_break, slab=slab, group="break_group")
     if not_before is None:
-        return groups
-    first_free = groups.where(F.col("time") >= not_before).groupBy("run_id").agg(F.min("break_group").alias("__free"))
-    joined = groups.join(first_free, "run_id", "left")
-    merged = F.when(F.col("break_group") < F.col("__free"), 0).otherwise(F.col("break_group") - F.greatest(F.col("__free") - 1, F.lit(0)))
-    return joined.withColumn("break_group", F.when(F.col("__free").isNull(), 0).otherwise(merged).cast("bigint")).drop("__free")
+        return sessionize(df, safe_break, keys, slab, "break_group")
+    busy = df.withColumns({"__end": F.col("endtime"), "endtime": F.greatest(F.col("endtime"), not_before if isinstance(not_before, Column) else F.lit(not_before))})
+    return sessionize(busy, safe_break, keys, slab, "break_group").withColumn("endtime", F.col("__end")).drop("__end").select(*df.columns, "break_group")
 
 
 def containment_join(peaks: DataFrame, events: DataFrame, keep: Sequence[str] = ("event_number",), slab: int = SLAB_NS) -> DataFrame:

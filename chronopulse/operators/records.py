@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import NAN, floor_div
 from ..functions.kernels import Lists
 from ..schemas import SLAB_NS
-from .intervals import overlap_join, sessionize
+from .intervals import break_groups, overlap_join, sessionize
 
 _PAST = (Window.unboundedPreceding, -1)
 
@@ -164,6 +164,43 @@ def insert_dead_time(df: DataFrame, end: int, cut: int, dt: int, part: str, chan
     return rows.unionByName(made, allowMissingColumns=True)
 
 
+def safe_parts(
+    fragments: DataFrame, chunk: int, overlap: int, safe_break: int = 1000, record_length: int = 110, dt: int = 10, dead_channel: int = 799, slab: int = SLAB_NS
+) -> DataFrame:
+    """fragments (run_id, chunk_i, kind, time, length, dt, ...) of all chunks, each row once: the overlap of two chunks,
+    which the one before holds as post and the one after as pre, is cut at one time.
+
+    Chunk i covers `chunk` ticks from i * (chunk + overlap) on, and the overlap follows. The cut is safe_break before its
+    end if all is quiet from there on; else after the first safe_break of quiet that no record of the chunk before can
+    reach into; else, with data loss, safe_break before the end: what reaches beyond goes, and dead-time rows (of
+    dead_channel, otherwise null) mark the longest record before the cut and all after it. post keeps what lies before
+    the cut, pre what starts after it; a pre part of the first chunk is ignored. All overlaps are cut at once, each on
+    its own.
+    """
+    place = ["run_id", "chunk_i", "kind"]
+    begin = F.col("chunk_i").cast("bigint") * (chunk + overlap) + F.when(F.col("kind") == "pre", -overlap).otherwise(chunk)
+    sides = fragments.where((F.col("kind") == "post") | ((F.col("kind") == "pre") & (F.col("chunk_i") > 0)))
+    sides = sides.withColumns({"endtime": _end(), "__begin": begin})
+    sides = break_groups(sides, safe_break, F.col("__begin") + record_length * dt, slab, place)
+    part = sides.groupBy(*place).agg(F.max("endtime").alias("__last"), F.max("break_group").alias("__groups"), F.first("__begin").alias("__from"))
+    stop, cut = F.col("__from") + overlap, F.col("__from") + overlap - safe_break
+    quiet = F.col("__last") + safe_break < stop
+    part = part.withColumns({"__case": F.when(quiet, 0).when(F.col("__groups") > 0, 1).otherwise(2), "__cut": cut, "__stop": stop})
+    joined = sides.join(part.select(*place, "__case", "__cut"), place)
+    case, post = F.col("__case"), F.col("kind") == "post"
+    stays = F.when(case == 0, post).when(case == 1, post == (F.col("break_group") == 0)).otherwise(post & (F.col("endtime") <= F.col("__cut")))
+    kept = joined.where(stays).select(*fragments.columns)
+    first = F.when(post, F.col("__cut") - record_length * dt).otherwise(F.col("__cut"))
+    last = F.when(post, F.col("__cut")).otherwise(F.col("__stop"))
+    kinds = dict(fragments.dtypes)
+    dead = part.where("__case = 2").select(
+        *place, first.alias("time"), F.call_function("div", last - first, F.lit(dt)).cast(kinds["length"]).alias("length"),
+        F.lit(dt).cast(kinds["dt"]).alias("dt"), F.lit(dead_channel).cast(kinds["channel"]).alias("channel"),
+    )
+    central = fragments.where("kind = 'central'")
+    return central.unionByName(kept).unionByName(dead, allowMissingColumns=True).select(*fragments.columns)
+
+
 def assemble_pulse(df: DataFrame) -> DataFrame:
     """(run_id, channel, pulse_start, n_fragments, data): the fragments of each pulse by record_i, trimmed to length.
 
@@ -223,19 +260,26 @@ def gain_to_pe(hits: DataFrame, gains: list[float] | None = None) -> DataFrame:
     return hits.withColumn("area", F.col("area") * factor)
 
 
-def record_points(records: DataFrame, raw: bool = False) -> DataFrame:
+def record_points(records: DataFrame, raw: bool = False, peaks: DataFrame | None = None, bucket: int = 100_000) -> DataFrame:
     """(run_id, channel, record_time, offset, sample): samples up to length, by ticks since the run's first record.
 
-    raw samples are negated.
+    raw samples are negated. With peaks (run_id, peak_id, time, endtime): the records that touch each peak, by ticks
+    since its start, with peak_id; a record that touches several peaks comes once for each.
     """
-    first = records.groupBy("run_id").agg(F.min("time").alias("__first"))
-    rows = records.join(F.broadcast(first), "run_id")  # one row a run
+    if peaks is None:
+        first = records.groupBy("run_id").agg(F.min("time").alias("__first"))
+        rows, named = records.join(F.broadcast(first), "run_id"), ["run_id"]  # one row a run
+    else:
+        touching = records.withColumn("endtime", _end()).select("run_id", "channel", "time", "endtime", "dt", "length", "data")
+        met = overlap_join(peaks.select("run_id", "peak_id", "time", "endtime"), touching, bucket)
+        rows = met.select("run_id", "peak_id", F.col("time").alias("__first"), *[F.col(f"r_{c}").alias(c) for c in ("channel", "time", "dt", "length", "data")])
+        named = ["run_id", "peak_id"]
     points = rows.select(
-        "run_id", "channel", F.col("time").alias("record_time"), "dt", "__first", F.posexplode(F.slice("data", F.lit(1), F.col("length"))).alias("i", "sample")
+        *named, "channel", F.col("time").alias("record_time"), "dt", "__first", F.posexplode(F.slice("data", F.lit(1), F.greatest(F.col("length"), F.lit(0)))).alias("i", "sample")
     )
     value = -F.col("sample") if raw else F.col("sample")
     offset = F.col("record_time") - F.col("__first") + F.col("i") * F.col("dt")
-    return points.select("run_id", "channel", "record_time", offset.alias("offset"), value.alias("sample"))
+    return points.select(*named, "channel", "record_time", offset.alias("offset"), value.alias("sample"))
 
 
 def build_peaks(

@@ -16,8 +16,13 @@ N_TPC = 5
 
 
 @provides("raw_records_all", "fragments")
-def raw_records_all(fragments: DataFrame, run_start_s: float = 0, polarity: DataFrame | None = None, channel_map=None) -> DataFrame:
-    rows = concat_chunks(fragments)
+def raw_records_all(
+    fragments: DataFrame, run_start_s: float = 0, polarity: DataFrame | None = None, channel_map=None, chunk: int | None = None, overlap: int = 0, **cutting
+) -> DataFrame:
+    """All fragments once, with the detector and in epoch time. With the ticks of a chunk and of an overlap, overlaps are
+    cut at breaks, or with dead time where there is none (see records.safe_parts, which takes the rest); without, what
+    two parts both hold is kept once."""
+    rows = concat_chunks(fragments) if chunk is None else records.safe_parts(fragments, chunk, overlap, **cutting)
     if polarity is not None:
         rows = filters.apply_polarity(rows, polarity)
     return filters.to_epoch(filters.route_detectors(rows, channel_map), run_start_s)

@@ -404,6 +404,14 @@ def g21_distinct_counts(spark, sf):
     return v_peaks(spark, sf).groupBy("run_id").agg(F.count_distinct("channel").alias("channels"), F.count_distinct("type").alias("types"))
 
 
+@query("select run_id, count(distinct channel) as channel, count(distinct type) as type, count(distinct n_channels) as n_channels from v_peaks group by run_id", "v_peaks")
+def g21_distinct_sketches(spark, sf):
+    """Sketches by run and hour, united by run."""
+    columns = ["channel", "type", "n_channels"]
+    hourly = v_peaks(spark, sf).withColumn("slab", F.call_function("div", F.col("time"), F.lit(3_600_000_000)))
+    return analysis.distinct_counts(analysis.distinct_sketches(hourly, ["run_id", "slab"], columns), ["run_id"], columns)
+
+
 @query(f"select peak_id, {_bin('area', AREA)} as bin from v_peaks", "v_peaks")
 def m8_bin_index(spark, sf):
     from ..functions.columns import bin_index
@@ -443,3 +451,38 @@ def m24_gain_to_pe(spark, sf):
 def m26_record_points(spark, sf):
     return records.record_points(v_fragments(spark, sf), raw=True).drop("run_id")
 
+
+
+@query(
+    """select w.peak_id, f.channel, f.time as record_time, f.time - w.time + i * 10 as "offset", -x as sample
+from (select *, unnest(data) as x, unnest(range(0, 16)) as i from v_fragments) f join v_waves w on f.time < w.endtime and w.time < f.time + f.length * f.dt where w.peak_id % 5 = 0""",
+    _FRAGMENTS,
+)
+def m26_record_points_of_peaks(spark, sf):
+    """Samples of the records that touch every fifth peak, from the peak's start."""
+    chosen = v_waves(spark, sf).where("peak_id % 5 = 0").drop("data")
+    return records.record_points(v_fragments(spark, sf), raw=True, peaks=chosen, bucket=1000).drop("run_id")
+
+
+@rounded("baseline_rms_mean")
+@query(
+    """with own as (select *, case when record_i = 0 then sqrt(list_avg(list_transform(data, lambda x: x * x)) - list_avg(data) * list_avg(data)) end as r from v_fragments),
+g as (select run_id, chunk_i, channel, avg(r) as baseline_rms_mean from own where channel < 12 group by all),
+grid as (select distinct run_id, chunk_i, cast(c as int) as channel from v_fragments, unnest(range(0, 12)) as t(c))
+select run_id, chunk_i, channel, coalesce(baseline_rms_mean, 'nan'::double) as baseline_rms_mean from grid left join g using (run_id, chunk_i, channel)""",
+    _FRAGMENTS,
+)
+def g3_baseline_rms(spark, sf):
+    rows = records.integrate(records.baseline(v_fragments(spark, sf), slab=20_000))
+    return records.pulse_counts(records.lone_pulses(rows, slab=20_000), 12).select("run_id", "chunk_i", "channel", "baseline_rms_mean")
+
+
+@query(
+    f"""with {_PEAKS.replace("sum(area) as area, count(*)", "sum(area) as area, count(*)")},
+per as (select run_id, peak_id, channel, sum(area) as a from s group by all),
+grid as (select b.run_id, b.peak_id, cast(c as int) as channel from built b, unnest(range(0, 10)) as t(c))
+select g.run_id, cast(g.peak_id as bigint) as peak_id, g.channel, coalesce(a, 0.0) as area from grid g left join per using (run_id, peak_id, channel)""",
+    "v_waves",
+)
+def g4_area_per_channel(spark, sf):
+    return built(spark, sf).select("run_id", "peak_id", F.posexplode("area_per_channel").alias("channel", "area"))

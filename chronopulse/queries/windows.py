@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import events as ev
 from ..operators import filters, intervals, records
+from ..plans import jobs, registry
 from .base import SLAB, query, rounded, v_fragments, v_peaks
 
 _FRAGMENTS = "v_waves v_fragments"
@@ -130,6 +131,53 @@ def w8_insert_dead_time(spark, sf):
     return records.insert_dead_time(v_fragments(spark, sf), 50_000, 30_000, 10, "post").select("time", "channel", "length")
 
 
+_CHUNK, _OVERLAP, _QUIET, _LENGTH = 20_000, 3_000, 230, 16
+_ALL = {"bottom": (0, 0), "top": (1, 700)}
+
+
+_RAW = f"""
+with placed as (select *, time // {_CHUNK + _OVERLAP} as c, time % {_CHUNK + _OVERLAP} as within from v_fragments where channel % 3 < 2 or time % {7 * (_CHUNK + _OVERLAP)} < 30000),
+sides as (
+  select *, c as chunk, 'post' as kind from placed where within >= {_CHUNK} union all select *, c + 1, 'pre' from placed where within >= {_CHUNK}),
+ended as (select *, time + length * dt as endtime, c * {_CHUNK + _OVERLAP} + {_CHUNK} as begins from sides),
+seen as (select *, max(endtime) over (partition by run_id, chunk, kind order by time, endtime rows between unbounded preceding and 1 preceding) as before from ended),
+parts as (
+  select run_id, chunk, kind, begins, max(endtime) as last, min(time) filter (before is not null and time - greatest(before, begins + {_LENGTH * 10}) >= {_QUIET}) as break
+  from seen group by all),
+cased as (select *, begins + {_OVERLAP - _QUIET} as cut, case when last + {_QUIET} < begins + {_OVERLAP} then 0 when break is not null then 1 else 2 end as case_ from parts),
+kept as (
+  select s.time, s.channel, s.length, p.kind from seen s join cased p using (run_id, chunk, kind)
+  where case when case_ = 0 then kind = 'post' when case_ = 1 then (kind = 'post') = (s.time < p.break) else kind = 'post' and endtime <= cut end)
+select time, channel, length, 'central' as kind from placed where within < {_CHUNK}
+union all select * from kept
+union all select case when kind = 'post' then cut - {_LENGTH * 10} else cut end, 799, case when kind = 'post' then {_LENGTH} else {_QUIET // 10} end, kind from cased where case_ = 2"""
+
+
+@query(_RAW, _FRAGMENTS)
+def w8_cut_overlaps(spark, sf):
+    """Chunks with overlaps that both neighbours hold, cut at breaks or with dead time."""
+    period, t = _CHUNK + _OVERLAP, F.col("time")
+    rows = v_fragments(spark, sf).where((F.col("channel") % 3 < 2) | (t % (7 * period) < 30_000)).drop("chunk_i")
+    c = F.call_function("div", t, F.lit(period)).cast("int")
+    central = rows.where(t % period < _CHUNK).withColumns({"chunk_i": c, "kind": F.lit("central")})
+    post = rows.where(t % period >= _CHUNK).withColumns({"chunk_i": c, "kind": F.lit("post")})
+    every = central.unionByName(post).unionByName(post.withColumns({"chunk_i": F.col("chunk_i") + 1, "kind": F.lit("pre")}))
+    made = jobs.raw_records_all(every, channel_map=_ALL, chunk=_CHUNK, overlap=_OVERLAP, safe_break=_QUIET, record_length=_LENGTH, slab=700)
+    return made.select("time", "channel", "length", "kind")
+
+
+@query("select peak_id, (time - 86400000000 * (time // 86400000000)) // 3600000000 as hour from v_peaks where endtime > 1704067200000000 and time < 1704672000000000 and type = 2", "v_peaks")
+def v2_analysis(spark, sf):
+    """An analysis over the peaks of a range of time that a predicate holds for."""
+    return peaks_by_hour({"peak_basics": v_peaks(spark, sf)}, time_range=(1_704_067_200_000_000, 1_704_672_000_000_000), predicate="type = 2")
+
+
+@registry.analysis("peak_basics")
+def peaks_by_hour(rows):
+    day = 86_400_000_000
+    return rows.select("peak_id", F.call_function("div", F.col("time") % day, F.lit(3_600_000_000)).alias("hour"))
+
+
 @query(
     """with e as (select *, time // 3600000000 as event_number from v_peaks)
 select peak_id, cast(row_number() over (partition by run_id, event_number order by time, peak_id) - 1 as int) as index from e""",

@@ -102,6 +102,14 @@ def write_dataset(df: DataFrame, root: str, data_type: str, config: dict) -> str
     return path
 
 
+def write_bucketed(df: DataFrame, table: str, buckets: int, keys: tuple[str, ...] = ("run_id", "peak_id")) -> DataFrame:
+    """Writes a table of the catalogue in `buckets` files by keys, sorted within, and reads it: types that are stored by
+    the same keys and number of buckets (peaks, basics, positions, ...) meet without a shuffle. Replaces the table."""
+    spread = df.repartition(buckets, *keys)  # one file a bucket
+    spread.write.mode("overwrite").format("parquet").option("compression", "zstd").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def missing_runs(wanted: DataFrame, stored: DataFrame) -> DataFrame:
     """Runs of `wanted` that `stored` has no row of."""
     return wanted.join(stored.select("run_id").distinct(), "run_id", "left_anti")
