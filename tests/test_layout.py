@@ -83,4 +83,4 @@ print(len([n for n in q if n.startswith('op')]), 'pipeline' in q, 'w6_n_competin
     assert run("chronopulse.llm", "corpus_pipeline") == "0 False True" and run("public_tokenizers") == "0 False True"
     if not everything.startswith("0 "):
         assert run("corpus_pipeline") == everything.replace("True", "False", 1)
-    assert "chronopulse.functions.kernels" in run("chronopulse.functions.kernels")
+    assert "Error" in run("chronopulse.functions.kernels") and "Error" in run("chronopulse.sources.io")
