@@ -42,7 +42,7 @@ def lexicon(docs: DataFrame, low_share: float = 0.0005, high_share: float = 0.2,
     documents; null texts count as empty documents.
     """
     n = docs.count()
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     counts = docs.select(F.explode(term_hashes(text)).alias("term")).groupBy("term").count()
     return counts.where(F.col("count").between(max(2, low_share * n), max(2, high_share * n))).select("term")
 
@@ -218,9 +218,10 @@ def compare_edited(
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row of docs.
 
     The edited text has the last floor(n_chars / 3) code points replaced by the first as many (or all) of the next
-    document's, in descending doc_id (of any type that has an order); after the last comes the first. near_edited and near_next are the likeness of a
-    fingerprint to the edited text's and to the next document's. Null counts as empty; documents of equal id follow
-    each other in the order of a hash of their texts; null ids come last; an empty table gives no rows.
+    document's, in descending doc_id (of any type that has an order); after the last comes the first. near_edited and
+    near_next are the likeness of a fingerprint to the edited text's and to the next document's. Null counts as empty;
+    documents of equal id follow each other in the order of a hash of their texts; null ids come last; an empty table
+    gives no rows.
 
     The texts move once, to buckets of consecutive ids; all that follows stays within them.
     """
@@ -246,12 +247,15 @@ def compare_edited(
         term_hashes(F.col("text")).alias("terms"),
         term_hashes(F.col("edited")).alias("edited_terms"),
     )
-    carried = ["real", "doc_id", "n_chars", "edited_sha256", "whole", "edited_whole"]
-    found = with_lexicon_terms(placed, ["bucket", "position"], ["terms", "edited_terms"], carried, words)
+    # two thirds of the edited text's terms are the text's own: only those that came are looked up besides
+    placed = placed.withColumns({"gone": F.array_except("terms", "edited_terms"), "came": F.array_except("edited_terms", "terms")})
+    carried = ["real", "doc_id", "n_chars", "edited_sha256", "whole", "edited_whole", "gone"]
+    found = with_lexicon_terms(placed.drop("edited_terms"), ["bucket", "position"], ["terms", "came"], carried, words)
+    edited_terms = F.array_sort(F.concat(F.array_except("terms", "gone"), "came"))
     found = found.select(
         *["bucket", "position", "real", "doc_id", "n_chars", "edited_sha256"],
         _hashes(F.col("terms"), F.col("whole")).alias("own"),
-        _hashes(F.col("edited_terms"), F.col("edited_whole")).alias("edited"),
+        _hashes(edited_terms, F.col("edited_whole")).alias("edited"),
     )
     after = F.lead("own").over(Window.partitionBy("bucket").orderBy("position"))
     found = found.withColumn("next", after).where("real")

@@ -110,8 +110,15 @@ def records_matrix(records: DataFrame, t0: int, t1: int, n_channels: int, gains=
 
 
 def raw_records_matrix(raw: DataFrame, t0: int, t1: int, n_channels: int, **options) -> DataFrame:
-    """records_matrix() of raw fragments, baselined first; a missing first fragment is tolerated."""
-    return records_matrix(baseline(raw), t0, t1, n_channels, **options)
+    """records_matrix() of raw fragments, baselined first; a missing first fragment is tolerated.
+
+    Only the range is baselined, with the last first fragment of each channel before it, which it may inherit from.
+    """
+    wanted = raw.where(F.col("channel") < n_channels)
+    earlier = wanted.where((F.col("time") < t0) & (F.col("record_i") == 0)).groupBy("run_id", "channel")
+    earlier = earlier.agg(F.max_by(F.struct(*raw.columns), "time").alias("__r")).select("__r.*")
+    inside = wanted.where((F.col("time") >= t0) & (F.col("time") < t1))
+    return records_matrix(baseline(inside.unionByName(earlier.select(*raw.columns))), t0, t1, n_channels, **options)
 
 
 def livetime(runs: DataFrame, things: DataFrame, second: float = 1e9) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions.kernels import find_hits, peak_widths, split_peaks
 from ..operators import events as ev
 from ..operators import catalog, filters, intervals, peaks, records
 from ..schemas import CHANNEL_MAP, Corrections, EventConfig, PeakConfig, SLAB_NS
-from ..sources.io import concat_chunks
+from ..sources.io import concat_chunks, stored
 from .registry import provides
 
 N_TPC = 5
@@ -82,8 +82,9 @@ def make_pulse_counts(rows: DataFrame, n_tpc: int = N_TPC, slab: int = SLAB_NS)
 def make_peaks(
     rows: DataFrame, threshold=15.0, gains=None, gap=300, left=10, right=10, min_area=10.0, min_channels=1, n_channels: int = N_TPC, min_height=25.0, min_ratio=4.0, bucket=100_000
 ) -> DataFrame:
-    """Hits, clusters, sum waveforms, splits, widths; arrays stay with the peaks only here."""
-    hits = records.gain_to_pe(find_hits(rows, threshold), gains)
+    """Hits, clusters, sum waveforms, splits, widths; arrays stay with the peaks only here. Hits are needed twice and are
+    stored, so that they are found once."""
+    hits = stored(records.gain_to_pe(find_hits(rows, threshold), gains))
     clusters = records.build_peaks(hits, n_channels, gap, left, right, min_area, min_channels)
     waves = records.sum_waveform(clusters, rows, gains, bucket)
     parts = split_peaks(waves, min_height, min_ratio)

@@ -364,13 +364,13 @@ def g15_records_matrix_coarse(spark, sf):
     """with own as (select *, case when record_i = 0 then list_avg(data) end as b from v_fragments),
 f as (select *, last_value(b ignore nulls) over (partition by channel order by time, record_i rows between unbounded preceding and current row) as base from own),
 pts as (select channel, time + i * 10 as tick, -(x - trunc(base)) as v from (
-  select channel, time, base, unnest(data) as x, unnest(range(0, 16)) as i from f where time >= 0 and time < 100000)),
-s as (select tick // 10 as time_bin, channel, sum(v) / 10 as v from pts where tick < 100000 group by all),
+  select channel, time, base, unnest(data) as x, unnest(range(0, 16)) as i from f where time >= 30000 and time < 100000)),
+s as (select (tick - 30000) // 10 as time_bin, channel, sum(v) / 10 as v from pts where tick < 100000 group by all),
 g as (select distinct time_bin, cast(c as int) as channel from s, unnest(range(0, 10)) as t(c)) select time_bin, channel, coalesce(v, 0) as pe_per_ns from g left join s using (time_bin, channel)""",
     _FRAGMENTS,
 )
 def g16_raw_records_matrix(spark, sf):
-    return analysis.raw_records_matrix(v_fragments(spark, sf), 0, 100_000, 10, record_length=16)
+    return analysis.raw_records_matrix(v_fragments(spark, sf), 30_000, 100_000, 10, record_length=16)
 
 
 @rounded("livetime")
