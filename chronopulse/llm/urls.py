@@ -5,8 +5,10 @@ more different ones under one parent than a limit) become wildcards; sibling bra
 urls do not differ significantly merge into a wildcard; a template is rejected if its smoothed labelled purity, the
 share of its labelled urls that are blocked, reaches a threshold. Unlabelled branches join siblings if all labelled
 ones merge. Other templates without labels go by the nearest ancestor in their host's tree, the host at last, with at
-least two labelled branches; else by their template, or its nearest ancestor, in a tree of the paths of all hosts, if at
-least two hosts have labels there. A single branch, or a single host, does not tell how others are.
+least two labelled branches; else by related hosts: by their template, or its nearest ancestor, in a tree of the paths
+of all hosts under the longest suffix of their host (example.org, then org, at last all hosts) where at least two hosts
+have labels there. A single branch, or a single host, does not tell how others are. agreement() measures what such
+verdicts are worth.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import cut, small
+from ._common import cut, discard, small, stored
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Segments that vary by their form: numbers and dates, with an extension or not; hex strings; uuids.
@@ -46,12 +48,14 @@ RULES = (
 
 @dataclass(frozen=True)
 class TreeConfig:
-    """depth: segments told apart (deeper ones become one wildcard); most_children: literal siblings before they all
-    become a wildcard; chi_square: largest statistic of two branches that merge, with one degree of freedom (3.84: a
+    """depth: levels at which segments widen and merge and labels are inherited (deeper ones are told apart as they are,
+    so templates hold whole paths); suffix: labels of the
+    longest suffix that makes hosts related; most_children: literal siblings before they all become a wildcard; chi_square: largest statistic of two branches that merge, with one degree of freedom (3.84: a
     p-value of 0.05); prior_weight: labelled urls that the overall share of blocked ones counts as; least_labelled,
     purity: when a template is rejected."""
 
     depth: int = 32
+    suffix: int = 8
     most_children: int = 32
     chi_square: float = 3.84
     prior_weight: float = 2.0
@@ -79,11 +83,17 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return text, verdict
 
 
-def _segments(path: Column, depth: int) -> Column:
-    """The path's non-empty segments, those that vary by their form as "*", deeper ones together as "**"."""
+def _segments(path: Column) -> Column:
+    """The path's non-empty segments, those that vary by their form as "*"."""
     every = F.filter(F.split(path, "/"), lambda s: s != "")
-    kept = F.transform(F.slice(every, 1, depth), lambda s: F.when(s.rlike(_VARIABLE), F.lit("*")).otherwise(s))
-    return F.when(F.size(every) > depth, F.array_append(kept, F.lit("**"))).otherwise(kept)
+    return F.transform(every, lambda s: F.when(s.rlike(_VARIABLE), F.lit("*")).otherwise(s))
+
+
+def _suffixes(host: Column, most: int) -> Column:
+    """The host's proper suffixes of at most `most` labels, and the empty one, which all hosts have."""
+    parts = F.split(host, r"\.")
+    starts = F.sequence(F.greatest(F.lit(2), F.size(parts) - (most - 1)), F.size(parts) + 1)
+    return F.array_distinct(F.transform(starts, lambda k: F.array_join(F.slice(parts, k, F.size(parts)), ".")))
 
 
 def templates(urls: DataFrame, config: TreeConfig = TreeConfig()) -> DataFrame:
@@ -91,23 +101,34 @@ def templates(urls: DataFrame, config: TreeConfig = TreeConfig()) -> DataFrame:
 
     Returns one row per host and distinct generalised path: host, raw (its segments), template (its final segments),
     basis, level, n, blocked, purity, rejected. basis tells whose labels decide: own (the template's), host (an
-    ancestor's in the host's tree), hosts (of all hosts), or none; level is the number of the template's first segments
-    that share them. n and blocked count these labelled urls and the blocked ones among them. Equal urls count as often
-    as they occur. Urls collapse to distinct generalised paths before anything else, with partial sums, so a host with
-    most of all urls costs no more than its distinct paths. Rows with a null host or path are left out.
+    ancestor's in the host's tree), suffix (of hosts under a suffix of the host), hosts (of all hosts), or none; level is
+    the number of the template's first segments that share them. n and blocked count these labelled urls and the blocked
+    ones among them. Equal urls count as often as they occur. Urls collapse to distinct generalised paths before
+    anything else, with partial sums, so a host with most of all urls costs no more than its distinct paths. Rows with a
+    null host or path are left out.
     """
     label = F.col("label")
     known = urls.where("host is not null and path is not null")
-    raw = known.select("host", _segments(F.col("path"), config.depth).alias("raw"), label)
-    tree = raw.groupBy("host", "raw").agg(F.count("label").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("b"))
-    tree = _generalised(tree, config)
+    counts = known.select("host", _segments(F.col("path")).alias("raw"), label).groupBy("host", "raw")
+    counts = cut(counts.agg(F.count("label").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("b")))
+    suffix = F.explode(_suffixes(F.col("host"), config.suffix)).alias("suffix")
+    labelled = F.when(F.col("n") > 0, F.col("host"))
+    shared = counts.select(suffix, "raw", "n", "b", labelled.alias("labelled")).groupBy("suffix", "raw")
+    shared = shared.agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.min("labelled").alias("x"), F.max("labelled").alias("y"))
+    # one pass for the trees of hosts and of suffixes: an h or an s before their names tells them apart
+    own_tree = counts.select(F.concat(F.lit("h"), "host").alias("host"), "raw", "n", "b", labelled.alias("x"), labelled.alias("y"))
+    trees = _generalised(own_tree.unionByName(shared.select(F.concat(F.lit("s"), "suffix").alias("host"), "raw", "n", "b", "x", "y")), config)
+    named = trees.withColumn("host", F.substring("host", F.lit(2), F.length("host")))
+    tree, every = named.where(F.startswith(trees["host"], F.lit("h"))), named.where(F.startswith(trees["host"], F.lit("s")))
     totals = cut(tree.groupBy("host", "template").agg(F.sum("n").alias("t_n"), F.sum("b").alias("t_b")))
     n, b = totals.agg(F.sum("t_n"), F.sum("t_b")).first()
     prior = b / n if n else 0.0
     found = tree.select("host", "raw", "template").join(totals, ["host", "template"])
-    found = found.join(_of_host(tree, totals), ["host", "template"], "left").join(_of_all_hosts(tree, config), "raw", "left")
-    own, near = F.col("t_n") > 0, F.coalesce("of_host", "of_all")
-    basis = F.when(own, "own").when(F.col("of_host").isNotNull(), "host").when(near.isNotNull(), "hosts").otherwise("none")
+    found = found.join(_of_host(tree, totals, config), ["host", "template"], "left")
+    found = found.join(_of_related(counts.select("host", "raw"), every, config), ["host", "raw"], "left")
+    own, near = F.col("t_n") > 0, F.coalesce("of_host", F.col("of_related").dropFields("suffix"))
+    related = F.when(F.col("of_related.suffix") == "", "hosts").when(F.col("of_related").isNotNull(), "suffix").otherwise("none")
+    basis = F.when(own, "own").when(F.col("of_host").isNotNull(), "host").otherwise(related)
     level = F.when(own, F.size("template")).otherwise(near["level"])
     n = F.when(own, F.col("t_n")).otherwise(F.coalesce(near["n"], F.lit(0)))
     b = F.when(own, F.col("t_b")).otherwise(F.coalesce(near["b"], F.lit(0)))
@@ -118,13 +139,16 @@ def templates(urls: DataFrame, config: TreeConfig = TreeConfig()) -> DataFrame:
 
 
 def _generalised(tree: DataFrame, config: TreeConfig) -> DataFrame:
-    """tree (host, raw, n, b and others) with template: its segments after widening and merging."""
-    tree = cut(tree.withColumn("template", F.col("raw")))
-    deepest = _deepest(tree)
-    for level in range(deepest):  # generalise from the top: a wildcard above lets more branches below come together
-        tree = cut(_widen(tree, level, config.most_children))
-    for level in reversed(range(deepest)):  # merge from the leaves up
-        tree = cut(_merge(tree, level, config.chi_square))
+    """tree (host, raw, n, b and others) with template: its segments after widening and merging. Each level is written to
+    a table; of these only the last stays."""
+    tree, path = stored(tree.withColumn("template", F.col("raw")))
+    deepest = min(config.depth, _deepest(tree))
+    # generalise from the top: a wildcard above lets more branches below come together; then merge from the leaves up
+    for level in (*range(deepest), *reversed(range(-deepest, 0))):
+        changed = _widen(tree, level, config.most_children) if level >= 0 else _merge(tree, level + deepest, config.chi_square)
+        before = path
+        tree, path = stored(changed)
+        discard(tree.sparkSession, before)
     return tree
 
 
@@ -135,34 +159,39 @@ def _deepest(tree: DataFrame) -> int:
     return depths.withColumn("so_far", so_far).where("so_far > 1").agg(F.max("depth")).first()[0] or 0
 
 
-def _prefixes(rows: DataFrame, least: int) -> DataFrame:
-    """rows once for each prefix of their templates of at least that many segments, with level and prefix."""
-    rows = rows.where(F.size("template") >= least)
-    rows = rows.withColumn("level", F.explode(F.sequence(F.lit(least), F.size("template"))))
+def _prefixes(rows: DataFrame, most: int) -> DataFrame:
+    """rows once for each prefix of their templates of up to `most` segments, with level and prefix."""
+    rows = rows.withColumn("level", F.explode(F.sequence(F.lit(0), F.least(F.size("template"), F.lit(most)))))
     return rows.withColumn("prefix", F.slice("template", F.lit(1), F.col("level")))
 
 
-def _of_host(tree: DataFrame, totals: DataFrame) -> DataFrame:
+def _of_host(tree: DataFrame, totals: DataFrame, config: TreeConfig) -> DataFrame:
     """(host, template, of_host: level, n, b of the nearest ancestor with two labelled branches) of unlabelled templates."""
     branch = F.coalesce(F.get("raw", F.col("level")), F.lit(""))
-    ancestors = _prefixes(tree.where("n > 0"), 0).withColumn("branch", branch).groupBy("host", "prefix")
+    ancestors = _prefixes(tree.where("n > 0"), config.depth).withColumn("branch", branch).groupBy("host", "prefix")
     ancestors = ancestors.agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.min("branch").alias("x"), F.max("branch").alias("y"))
     ancestors = ancestors.where("x <> y").select("host", "prefix", "n", "b")
-    found = _prefixes(totals.where("t_n = 0"), 0).join(ancestors, ["host", "prefix"])
+    found = _prefixes(totals.where("t_n = 0"), config.depth).join(ancestors, ["host", "prefix"])
     return found.groupBy("host", "template").agg(F.max(F.struct("level", "n", "b")).alias("of_host"))
 
 
-def _of_all_hosts(tree: DataFrame, config: TreeConfig) -> DataFrame:
-    """(raw, of_all: level, n, b of the nearest ancestor, itself included, in the tree of all hosts' paths that has
-    labels of two hosts). The root counts as none."""
-    host = F.when(F.col("n") > 0, F.col("host"))
-    every = tree.groupBy("raw").agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.min(host).alias("x"), F.max(host).alias("y"))
-    every = _generalised(every.withColumn("host", F.lit("")), config)
-    ancestors = _prefixes(every.where("n > 0"), 1).groupBy("prefix")
-    ancestors = ancestors.agg(F.sum("n").alias("n"), F.sum("b").alias("b"), F.min("x").alias("x"), F.max("y").alias("y"))
-    ancestors = cut(ancestors.where("x <> y").select("prefix", "n", "b"))
-    found = _prefixes(every.select("raw", "template"), 1).join(small(ancestors), "prefix")
-    return found.groupBy("raw").agg(F.max(F.struct("level", "n", "b")).alias("of_all"))
+def _of_related(paths: DataFrame, every: DataFrame, config: TreeConfig) -> DataFrame:
+    """(host, raw, of_related: labels, suffix, level, n, b of the nearest ancestor, itself included, in the tree of the
+    longest suffix where it has labels of two hosts). A tree's root needs two labelled branches besides; that of all
+    hosts counts as none."""
+    branch = F.coalesce(F.get("raw", F.col("level")), F.lit(""))
+    ancestors = _prefixes(every.where("n > 0"), config.depth).where("level > 0 or host <> ''").withColumn("branch", branch).groupBy("host", "prefix")
+    ancestors = ancestors.agg(
+        F.sum("n").alias("n"), F.sum("b").alias("b"), F.min("x").alias("x"), F.max("y").alias("y"), F.min("branch").alias("u"), F.max("branch").alias("v")
+    )
+    ancestors = cut(ancestors.where("x <> y and (u <> v or size(prefix) > 0)").select("host", "prefix", "n", "b"))
+    found = _prefixes(every.select("host", "raw", "template"), config.depth).join(small(ancestors), ["host", "prefix"])
+    found = found.groupBy(F.col("host").alias("suffix"), "raw").agg(F.max(F.struct("level", "n", "b")).alias("near"))
+    asked = paths.select("host", "raw", F.explode(_suffixes(F.col("host"), config.suffix)).alias("suffix"))
+    met = asked.join(found, ["suffix", "raw"])
+    labels = F.when(F.col("suffix") == "", 0).otherwise(F.size(F.split("suffix", r"\.")))
+    one = F.struct(labels.alias("labels"), "suffix", "near.level", "near.n", "near.b")
+    return met.groupBy("host", "raw").agg(F.max(one).alias("of_related")).withColumn("of_related", F.col("of_related").dropFields("labels"))
 
 
 def _at(level: int) -> Column:
@@ -176,11 +205,11 @@ def _starred(level: int) -> Column:
 def _widen(tree: DataFrame, level: int, most: int) -> DataFrame:
     """A parent with more than `most` distinct literal children at a level gets a single wildcard child."""
     parent = F.slice("template", 1, level).alias("parent")
-    here = tree.where((F.size("template") > level) & ~_at(level).isin("*", "**"))
+    here = tree.where((F.size("template") > level) & ~(_at(level) == "*"))
     children = here.select("host", parent, _at(level).alias("child")).distinct().groupBy("host", "parent").count()
     wide = children.where(F.col("count") > most).select(F.col("host").alias("h"), F.col("parent").alias("p"))
     same = (F.col("host") == F.col("h")) & (F.slice("template", 1, level) == F.col("p"))
-    change = F.col("h").isNotNull() & (F.size("template") > level) & ~_at(level).isin("*", "**")
+    change = F.col("h").isNotNull() & (F.size("template") > level) & ~(_at(level) == "*")
     return tree.join(wide, same, "left").withColumn("template", F.when(change, _starred(level)).otherwise(F.col("template"))).drop("h", "p")
 
 
@@ -248,8 +277,22 @@ def judge(
         known = known.unionByName(more.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "label"))
     tree = templates(known, config).where("basis <> 'none'").select(F.col("host").alias("h"), F.col("raw").alias("r"), "rejected", F.col("basis").alias("by"))
     tree = cut(tree)
-    same = F.col("ruling").isNull() & (F.col("host") == F.col("h")) & (_segments(F.col("path"), config.depth) == F.col("r"))
+    same = F.col("ruling").isNull() & (F.col("host") == F.col("h")) & (_segments(F.col("path")) == F.col("r"))
     verdict = F.coalesce("ruling", F.when(F.col("rejected"), "block").otherwise("allow"))
     basis = F.when(F.col("ruling").isNotNull(), "rule").otherwise(F.coalesce("by", F.lit("none")))
     joined = ruled.join(small(tree), same, "left")
     return joined.select(F.col("__id").alias(id_col), "host", "path", "rule", verdict.alias("verdict"), basis.alias("basis"))
+
+
+def agreement(urls: DataFrame, config: TreeConfig = TreeConfig(), modulus: int = 5, whole_hosts: bool = True) -> DataFrame:
+    """(basis, n, agreeing): how often the tree agrees with labels that are hidden from it, by whose labels decide.
+
+    urls: host, path, label as for templates(). Hidden are the labels of all urls of the hosts (or of the urls, if not
+    whole_hosts) whose crc32 is divisible by modulus. Basis none says allow, as judge() does.
+    """
+    name = F.col("host") if whole_hosts else F.concat("host", "path")
+    rows = cut(urls.where("host is not null and path is not null").select("host", "path", "label", (F.crc32(name.cast("binary")) % modulus == 0).alias("hidden")))
+    tree = templates(rows.withColumn("label", F.when(~F.col("hidden"), F.col("label"))), config).select("host", "raw", "basis", "rejected")
+    asked = rows.where("hidden and label is not null").select("host", _segments(F.col("path")).alias("raw"), "label")
+    said = (F.col("rejected") & (F.col("basis") != "none")).cast("int")
+    return asked.join(tree, ["host", "raw"]).groupBy("basis").agg(F.count("*").alias("n"), F.sum((said == F.col("label")).cast("bigint")).alias("agreeing"))
