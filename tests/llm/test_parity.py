@@ -112,3 +112,16 @@ def test_few_sets_are_poor():
         poor = sum(parity.cell_keys(np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)), 80)[1] < 0 for _ in range(200))
         assert poor <= 30
     assert parity.cell_keys(shingle_set("one two"), 80)[0].size == 0
+
+
+def test_exact_removal_of_near_copies(spark):
+    rows = near_rows(5, 8)
+    want = brute(rows)
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string").repartition(3)
+    kept = parity.deduplicate(docs)
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, (_, k) in want.items() if i == k} and kept.columns == docs.columns
+    a, b = "alpha beta gamma delta epsilon zeta " * 5, "one two three four five six seven " * 5
+    rows = [(1, a), (5, a), (5, b), (7, b), (None, a), (9, None), (10, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(str, parity.deduplicate(docs).collect())) == sorted(map(str, [r for r in docs.collect() if (r["doc_id"], r["text"]) not in ((5, a), (7, b))]))
+    assert parity.deduplicate(docs.limit(0)).count() == 0
