@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.columns import NAN, array_sum, floor_div
@@ -133,15 +133,32 @@ def scatter_view(events: DataFrame, columns=("cs1", "cs2"), least: float = 0.9)
     return events.withColumns({c: F.greatest(F.nanvl(F.coalesce(F.col(c), F.lit(0.0)), F.lit(0.0)), F.lit(least)) for c in columns})
 
 
-def check_area(df: DataFrame, channel_map=None, rtol: float = 1e-4, fail: bool = False) -> DataFrame:
+#: Most runs with offenders that an observation names, and items that it tracks for that; so many are counted exactly.
+OBSERVED_RUNS = 1000
+
+
+def observed(df: DataFrame, bad: Column, observation: Observation) -> DataFrame:
+    """df, unchanged; when it is computed, the observation gets rows, offenders (rows that are bad) and runs, the runs that
+    have any with how many (of more than OBSERVED_RUNS, those with most), in the same pass: no second scan. What is
+    gathered is bounded, however many rows offend."""
+    runs = F.expr(f"approx_top_k(__bad_run, {OBSERVED_RUNS}, {4 * OBSERVED_RUNS})")
+    named = F.filter(runs, lambda r: r["item"].isNotNull())
+    marked = df.withColumn("__bad_run", F.when(bad, F.col("run_id")))
+    return marked.observe(observation, F.count("*").alias("rows"), F.count("__bad_run").alias("offenders"), named.alias("runs")).drop("__bad_run")
+
+
+def check_area(df: DataFrame, channel_map=None, rtol: float = 1e-4, fail: bool = False, observation: Observation | None = None) -> DataFrame:
     """Offending rows: area > 0, but top and bottom areas do not sum up to it; with fraction_off.
 
-    fail: df itself, in which an offender raises an error when it is computed.
+    fail: df itself, in which an offender raises an error when it is computed. observation: df itself; offenders are
+    counted by run in it when it is computed (see observed).
     """
     total = top_area(channel_map) + bottom_area(channel_map)
     area = F.col("area")
     bad = (area > 0) & (F.abs(total - area) > 1e-8 + rtol * F.abs(area))
     off = 1 - total / area
+    if observation is not None:
+        return observed(df, F.coalesce(bad, F.lit(False)), observation)
     if not fail:
         return df.where(bad).withColumn("fraction_off", off)
     said = F.concat(F.lit("area is off by a fraction of "), off.cast("string"))

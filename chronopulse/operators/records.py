@@ -7,12 +7,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import NAN, floor_div
 from ..functions.kernels import Lists
 from ..schemas import SLAB_NS
+from .filters import observed
 from .intervals import break_groups, overlap_join, sessionize
 
 _PAST = (Window.unboundedPreceding, -1)
@@ -35,12 +36,15 @@ def _with_previous_end(df: DataFrame, slab: int) -> DataFrame:
     return rows.withColumn("previous_end", F.coalesce(before, "__carry")).drop("__slab", "__carry")
 
 
-def check_overlaps(df: DataFrame, fail: bool = False, slab: int = SLAB_NS) -> DataFrame:
+def check_overlaps(df: DataFrame, fail: bool = False, slab: int = SLAB_NS, observation: Observation | None = None) -> DataFrame:
     """Rows that start before the row before them in their channel ends, with previous_end.
 
-    fail: df itself, in which such a row raises an error when it is computed.
+    fail: df itself, in which such a row raises an error when it is computed. observation: df itself; such rows are
+    counted by run in it when it is computed (see filters.observed).
     """
     found, over = _with_previous_end(df, slab), F.col("time") < F.col("previous_end")
+    if observation is not None:
+        return observed(found, F.coalesce(over, F.lit(False)), observation).drop("previous_end")
     if not fail:
         return found.where(over)
     error = F.raise_error(F.concat(F.lit("pulses overlap in channel "), F.col("channel").cast("string"))).cast("bigint")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.kernels import find_hits, peak_widths, split_peaks
@@ -58,10 +58,11 @@ for _name, _detector in (("raw_records", "tpc"), ("raw_records_ext", "external")
 
 
 @provides("records", "raw_records")
-def make_records(raw: DataFrame, n_tpc: int = N_TPC, samples: int = 20, slab: int = SLAB_NS, check: bool = True) -> DataFrame:
-    """Baseline-subtracted records of the central detector; with check, overlapping pulses of a channel are an error."""
+def make_records(raw: DataFrame, n_tpc: int = N_TPC, samples: int = 20, slab: int = SLAB_NS, check: bool = True, observation: Observation | None = None) -> DataFrame:
+    """Baseline-subtracted records of the central detector; with check, overlapping pulses of a channel are an error, or
+    counted by run in the observation if one is given."""
     rows = filters.zero_out_of_bounds(filters.keep_tpc(raw, n_tpc))
-    rows = records.check_overlaps(rows, fail=True, slab=slab) if check else rows
+    rows = records.check_overlaps(rows, fail=True, slab=slab, observation=observation) if check else rows
     return records.integrate(records.baseline(rows, samples, slab=slab))
 
 
@@ -107,9 +108,10 @@ provides("peaks_sipm", "records_sipm")(lambda rows, **o: make_peaks(rows, **({"n
 
 
 @provides("peak_basics", "peaks")
-def make_peak_basics(rows: DataFrame, cfg: PeakConfig = PeakConfig(), channel_map=None, check: bool = False) -> DataFrame:
-    """Scalar properties of peaks; with check, an area that its channels do not sum up to is an error."""
-    rows = filters.check_area(rows, channel_map, fail=True) if check else rows
+def make_peak_basics(rows: DataFrame, cfg: PeakConfig = PeakConfig(), channel_map=None, check: bool = False, observation: Observation | None = None) -> DataFrame:
+    """Scalar properties of peaks; with check, an area that its channels do not sum up to is an error, or counted by run
+    in the observation if one is given."""
+    rows = filters.check_area(rows, channel_map, fail=True, observation=observation) if check else rows
     return peaks.peak_basics(rows, cfg, channel_map or CHANNEL_MAP)
 
 

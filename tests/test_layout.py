@@ -4,6 +4,7 @@ import subprocess
 import sys
 from pathlib import Path
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from chronopulse.operators import analysis, intervals, records
@@ -84,3 +85,17 @@ print(len([n for n in q if n.startswith('op')]), 'pipeline' in q, 'w6_n_competin
     if not everything.startswith("0 "):
         assert run("corpus_pipeline") == everything.replace("True", "False", 1)
     assert "Error" in run("chronopulse.functions.kernels") and "Error" in run("chronopulse.sources.io")
+
+
+def test_offenders_are_observed_by_run(spark):
+    schema = "run_id string, channel int, time long, length int, dt int, pulse_length int, record_i int, baseline int, data array<int>"
+    rows = [(r, c, t, 4, 10, 4, 0, 0, [1, 2, 3, 4]) for r, c, t in [("a", 0, 0), ("a", 0, 20), ("a", 0, 50), ("a", 1, 0), ("b", 0, 0), ("b", 0, 39), ("c", 2, 7)]]
+    seen = Observation("overlaps")
+    made = jobs.make_records(spark.createDataFrame(rows, schema).repartition(3), samples=2, observation=seen)
+    by_run = lambda seen: {r["item"]: r["count"] for r in seen.get["runs"]}
+    assert made.count() == 7 and (seen.get["rows"], seen.get["offenders"], by_run(seen)) == (7, 3, {"a": 2, "b": 1})
+    peaks = spark.createDataFrame([("a", 10.0, [4.0, 3.0, 3.0, 0.0, 0.0]), ("b", 9.0, [4.0, 3.0, 3.0, 0.0, 0.0]), ("b", 0.0, None)], "run_id string, area double, area_per_channel array<double>")
+    seen = Observation("areas")
+    from chronopulse.operators import filters
+
+    assert filters.check_area(peaks, observation=seen).count() == 3 and (seen.get["offenders"], by_run(seen)) == (1, {"b": 1})
