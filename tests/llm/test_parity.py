@@ -49,7 +49,7 @@ def groups_of(docs, **settings):
     return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found}
 
 
-@pytest.mark.parametrize("settings", [{}, {"busy": 0, "rounds": 1}, {"sample": 1, "rounds": 0, "busy": 1}, {"node_bits": 5}, {"percent": 60, "shingle": 3}])
+@pytest.mark.parametrize("settings", [{}, {"busy": 0, "rounds": 1, "node_bits": 5}, {"sample": 1, "rounds": 0, "busy": 1, "percent": 60, "shingle": 3}])
 def test_groups_are_those_of_all_pairs(spark, settings):
     rows = near_rows()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
