@@ -219,6 +219,15 @@ def test_bins_and_matrices(spark):
     assert analysis.matrix_dt(110, 10, 10**9, 20_000) == 50_000
 
 
+def test_raw_matrix_inherits_from_before_its_range(spark):
+    """A later range shows what the whole one shows there, though its first fragments lie before it."""
+    data = [("0", k * 20, 2, 10, 0, k % 3, [2 * k, 5 * k]) for k in range(40)]
+    raw = spark.createDataFrame(data, "run_id string, time long, length int, dt int, channel int, record_i int, data array<int>")
+    whole = rows(analysis.raw_records_matrix(raw, 0, 800, 1, record_length=2), "time_bin", "pe_per_ns")
+    part = {(b + 50, v) for b, v in rows(analysis.raw_records_matrix(raw, 500, 800, 1, record_length=2), "time_bin", "pe_per_ns")}
+    assert len(part) == 30 and part == {(b, v) for b, v in whole if b >= 50}
+
+
 def test_floor_division(spark):
     d = spark.createDataFrame([(-7,), (-6,), (7,)], "x long")
     assert [r["y"] for r in d.select(c.floor_div(F.col("x"), 2).alias("y")).collect()] == [-4, -3, 3]

@@ -41,3 +41,13 @@ def test_query(spark, duck, name):
     assert sorted(names) == columns
     want = sorted((tuple(plain(r[names.index(c)]) for c in columns) for r in cursor.fetchall()), key=repr)
     assert got == want
+
+
+def test_raw_matrix_holds_its_whole_range(spark, duck):
+    """g16 shows every tick of the fragments that start from 0 on, in the query and in its SQL."""
+    ids = [i for (i,) in duck.execute("select vec_id from embeddings").fetchall()]
+    starts = {i * 400 + r * 160 for i in ids for r in range(1 + i % 4)}
+    want = {(t + k * 10) // 10 for t in starts if 0 <= t < 100_000 for k in range(16) if t + k * 10 < 100_000}
+    name = "g16_raw_records_matrix"
+    assert {r[0] for r in QUERIES[name](spark, SF).select("time_bin").distinct().collect()} == want
+    assert {i for (i,) in duck.execute(f"select distinct time_bin from ({ORACLES[name]})").fetchall()} == want
