@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -88,6 +89,33 @@ class Recent:
         self.new.update(pairs)
 
 
+#: What this worker process keeps from task to task, and what the helper that was started last has asked for.
+_RESIDENT: dict[tuple, object] = {}
+_ASKED: set[tuple] = set()
+
+
+def resident(make: Callable, *args):
+    """make(*args), of which a worker process makes one only, for as long as each helper that starts there asks for it."""
+    key = (make, *args)
+    _ASKED.add(key)
+    if key not in _RESIDENT:
+        _RESIDENT[key] = make(*args)
+    return _RESIDENT[key]
+
+
+def started(make: Callable):
+    """make(), the start of a helper. What resident() holds and make() doesn't ask for is given back: workers go on to other
+    operators, whose memory would add to it."""
+    _ASKED.clear()
+    made = make()
+    idle = [key for key in _RESIDENT if key not in _ASKED]
+    for key in idle:
+        del _RESIDENT[key]
+    if idle:
+        gc.collect()
+    return made
+
+
 def append_columns(
     df: DataFrame,
     text_col: str,
@@ -107,7 +135,7 @@ def append_columns(
     schema = T.StructType([*source.schema.fields, *new.fields])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        each = make()
+        each = started(make)
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(start, ROWS_AT_ONCE)

@@ -20,14 +20,13 @@ import base64
 import hashlib
 import sys
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ._common import Recent, append_columns
+from ._common import Recent, append_columns, resident
 
 _NEVER = 1 << 60
 #: Bytes of a piece between two emissions.
@@ -309,14 +308,20 @@ class TextEncoder:
         return self._pieces(first) + b"".join(found)
 
 
-@lru_cache(maxsize=2)
 def _encoder(path: str, pattern: str) -> TextEncoder:
-    """One encoder a worker process: what it has learnt serves all tasks that the process runs."""
+    """One encoder a worker process: what it has learnt serves all tasks of the operator that the process runs."""
+    return resident(_load_encoder, path, pattern)
+
+
+def _load_encoder(path: str, pattern: str) -> TextEncoder:
     return TextEncoder(load_ranks(path), pattern)
 
 
-@lru_cache(maxsize=2)
 def _decoder(path: str) -> TokenDecoder:
+    return resident(_load_decoder, path)
+
+
+def _load_decoder(path: str) -> TokenDecoder:
     return TokenDecoder(load_ranks(path))
 
 

@@ -6,11 +6,12 @@ feature values); the model is a dense weight vector over the hashed feature spac
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Sequence
 
 import numpy as np
 
+from ._common import started
+
 
 def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35.0, 35.0)))
@@ -62,25 +63,31 @@ class FtrlProximal:
 
 
 class PackedRows:
-    """Rows (indices, counts) in two growing buffers, which take less than as many small arrays and are given back as
-    a whole. values: a function from indices and counts to the values of a row, called when the row is asked for."""
+    """Rows (sorted indices, counts) in one growing buffer, which takes less than as many small arrays and is given back
+    as a whole. A row has the gaps of its indices in 16 bits and its counts in 8 if all of them fit, else in 32 bits each.
+    values: a function from indices and counts to the values of a row, called when the row is asked for."""
 
     def __init__(self, values):
-        self.values, self.starts = values, [0]
-        self.idx, self.count = array("i"), array("f")
+        self.values, self.data = values, bytearray()
+        self.rows: list[tuple[int, int, bool, bool]] = []  # start, length, whether gaps are narrow, whether counts are
 
     def append(self, idx: np.ndarray, count: np.ndarray) -> None:
-        self.idx.frombytes(idx.astype(np.int32).tobytes())
-        self.count.frombytes(count.astype(np.float32).tobytes())
-        self.starts.append(self.starts[-1] + len(idx))
+        gaps = np.diff(idx.astype(np.int64), prepend=0)
+        near = not len(gaps) or (gaps.min() >= 0 and gaps.max() < 1 << 16)
+        low = count.dtype.kind in "iu" and (not len(count) or (count.min() >= 0 and count.max() < 1 << 8))
+        self.rows.append((len(self.data), len(idx), near, low))
+        self.data += (gaps.astype(np.uint16) if near else idx.astype(np.int32)).tobytes()
+        self.data += count.astype(np.uint8 if low else np.float32).tobytes()
 
     def __len__(self):
-        return len(self.starts) - 1
+        return len(self.rows)
 
     def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        a, b = self.starts[k], self.starts[k + 1]
-        idx = np.frombuffer(self.idx, dtype=np.int32, count=b - a, offset=4 * a)
-        return idx, self.values(idx, np.frombuffer(self.count, dtype=np.float32, count=b - a, offset=4 * a).astype(np.float64))
+        at, n, near, low = self.rows[k]
+        idx = np.frombuffer(self.data, dtype=np.uint16 if near else np.int32, count=n, offset=at)
+        count = np.frombuffer(self.data, dtype=np.uint8 if low else np.float32, count=n, offset=at + idx.nbytes)
+        idx = np.cumsum(idx, dtype=np.int64) if near else idx
+        return idx, self.values(idx, count.astype(np.float64))
 
 
 class HashedModel:
@@ -128,9 +135,12 @@ def train(sample, make_weights) -> np.ndarray:
     import pandas as pd
 
     def run(frames):
+        started(lambda: None)  # training keeps nothing that other operators have left in the process
         rows = pd.concat([pd.DataFrame({"doc_id": [], "text": [], "label": []}), *frames])
         rows = rows.sort_values(["doc_id", "label", "text"])
-        w = make_weights(rows["text"].tolist(), [int(x) for x in rows["label"]])
+        texts, targets = rows["text"].tolist(), [int(x) for x in rows["label"]]
+        del rows
+        w = make_weights(texts, targets)
         yield pd.DataFrame({"w": [w.astype("<f4").tobytes()]})
 
     out = sample.repartition(1).mapInPandas(run, "w binary").first()

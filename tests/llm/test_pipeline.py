@@ -1,12 +1,14 @@
 """The pipeline over a small table: decisions take effect stage by stage."""
 
 import array
+import weakref
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 
 import corpus_pipeline
-from chronopulse.llm import bpe
+from chronopulse.llm import _common, bpe, linear
 
 SF = "/root/testdata/sf0.001"
 
@@ -65,3 +67,51 @@ def test_stages_take_nulls_repeats_and_no_rows(spark):
         elif name in ("benchmark_passages", "byte_bpe"):
             assert sorted(map(str, ids)) == sorted(str(i) for i, _ in odd)
         assert stage(spark, rows.limit(0), SF).count() == 0
+
+
+def test_workers_give_back_what_other_stages_learnt():
+    """An encoder stays from task to task of its stage and goes when the process starts on another one, or on training."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoder = lambda: bpe._encoder(path, public_tokenizers.PATTERN)
+
+    class Sample:
+        """Runs the function of a training task in this process."""
+
+        def repartition(self, n):
+            return self
+
+        def mapInPandas(self, run, schema):
+            self.out = next(run(iter([])))
+            return self
+
+        def first(self):
+            return {"w": self.out["w"][0]}
+
+    for other in (lambda: _common.started(lambda: None), lambda: linear.train(Sample(), lambda texts, targets: np.zeros(1))):
+        held = weakref.ref(_common.started(encoder))
+        assert held() is not None and _common.started(encoder) is held()
+        other()
+        assert held() is None
+
+
+def test_training_rows_are_packed_and_whole():
+    """Rows come back as they were, whatever their indices and counts; usual ones take three bytes a feature."""
+    rng = np.random.default_rng(1)
+    usual = [(np.sort(rng.choice(1 << 18, 5000, replace=False)).astype(np.uint32), rng.integers(1, 200, 5000)) for _ in range(20)]
+    odd = [
+        (np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.int64)),
+        (np.array([0, 262_143]), np.array([255, 256])),
+        (np.array([65_535, 131_071]), np.array([1, 70_000])),
+        (np.array([65_536]), np.array([3])),
+        (np.array([7, 9]), np.array([0.25, 0.75])),
+    ]
+    rows = linear.PackedRows(lambda idx, count: count)
+    for idx, count in usual:
+        rows.append(idx, count)
+    held = sum(len(memoryview(x).cast("B")) for x in vars(rows).values() if isinstance(x, (bytearray, array.array)))
+    assert held <= 3 * 20 * 5000
+    for idx, count in odd:
+        rows.append(idx, count)
+    assert len(rows) == len(usual) + len(odd)
+    for k, (idx, count) in enumerate(usual + odd):
+        assert np.array_equal(rows[k][0], idx) and np.array_equal(rows[k][1], count)
