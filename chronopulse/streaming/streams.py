@@ -90,7 +90,11 @@ def _closing_ms(key_slab: int, slab_ms: int) -> int:
 
 class BaselineCarry(StatefulProcessor):
     """Per channel: rows wait until the watermark closes their slab, then go out in order of time, each with the mean of
-    the last first fragment up to it; that mean is the state that stays. A frame has at most `most` rows."""
+    the last first fragment up to it; that mean is the state that stays. A frame has at most `most` rows.
+
+    A frame of rows waits as one entry of arrays under its first slab. A channel has a timer for the first open slab only:
+    when it expires, the rows of all slabs that the watermark has closed go out together. An entry is read when its first
+    slab is due, and what isn't due of it is put back, so the work grows with the rows, not with rows times slabs."""
 
     def __init__(self, slab_ms: int, fallback: float, most: int = 10_000):
         self.slab_ms, self.fallback, self.most = slab_ms, fallback, most
@@ -98,35 +102,46 @@ class BaselineCarry(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "mean double")
-        self.waiting = handle.getListState("waiting", "time long, record_i int, own double, ms long")
+        self.entries = handle.getValueState("entries", "n long")
+        self.waiting = handle.getMapState("waiting", "slab long, number long", "time array<long>, record_i array<int>, own array<double>, slab array<long>")
+
+    def _wait(self, rows: pd.DataFrame, number: int) -> None:
+        first = int(rows["slab"].min())
+        self.waiting.updateValue((first, number), tuple(rows[c].tolist() for c in ("time", "record_i", "own", "slab")))
+        self.handle.registerTimer(_closing_ms(first, self.slab_ms))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        number = self.entries.get()[0] if self.entries.exists() else 0
         for frame in rows:
-            at = frame["ts_ms"].astype("int64")
-            new = zip(frame["time"].tolist(), frame["record_i"].tolist(), frame["own"].tolist(), at.tolist(), strict=True)
-            self.waiting.appendList([(t, r, None if pd.isna(x) else float(x), m) for t, r, x, m in new])
-            for slab in (at // self.slab_ms).unique().tolist():
-                self.handle.registerTimer(_closing_ms(slab, self.slab_ms))
+            if len(frame):
+                self._wait(frame.assign(slab=frame["ts_ms"].astype("int64") // self.slab_ms), number)
+                number += 1
+        self.entries.update((number,))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        end, due, later = expiredTimerInfo.getExpiryTimeInMs(), [], []
-        for row in self.waiting.get():
-            (due if row[3] < end else later).append(tuple(row))
+        end = timerValues.getCurrentWatermarkInMs() // self.slab_ms  # slabs before it are closed
+        due = []
+        for slab, number in sorted(tuple(k) for k in self.waiting.keys()):
+            if slab >= end:
+                self.handle.registerTimer(_closing_ms(slab, self.slab_ms))
+                break
+            entry = self.waiting.getValue((slab, number))
+            self.waiting.removeKey((slab, number))
+            rows = pd.DataFrame(dict(zip(("time", "record_i", "own", "slab"), entry, strict=True)))
+            closed = rows["slab"] < end
+            due.append(rows[closed])
+            if not closed.all():
+                self._wait(rows[~closed], number)
         if not due:
             return
-        if later:
-            self.waiting.put(later)
-        else:
-            self.waiting.clear()
-        due.sort(key=lambda r: r[:2])
-        last, out = self.last.get()[0] if self.last.exists() else self.fallback, []
-        for time, record_i, own, _ in due:
-            last = last if own is None else own
-            out.append((key[0], int(key[1]), time, record_i, last))
-        self.last.update((float(last),))
+        out = pd.concat(due).sort_values(["time", "record_i"], ignore_index=True)
+        last = self.last.get()[0] if self.last.exists() else self.fallback
+        out["baseline"] = out["own"].astype("float64").ffill().fillna(last)
+        self.last.update((float(out["baseline"].iloc[-1]),))
+        out = out[["time", "record_i", "baseline"]]
         for start in range(0, len(out), self.most):
-            yield pd.DataFrame(out[start : start + self.most], columns=["run_id", "channel", "time", "record_i", "baseline"])
+            yield out.iloc[start : start + self.most].assign(run_id=key[0], channel=int(key[1]))[["run_id", "channel", "time", "record_i", "baseline"]]
 
     def close(self) -> None:
         pass

@@ -1,6 +1,9 @@
 """Stateful streams over several micro-batches, with a restart from the checkpoint, closing state and late rows."""
 
+from types import SimpleNamespace
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +74,80 @@ def test_windows_close_and_late_rows_stay(spark, tmp_path):
     assert out.agg(F.sum("n")).first()[0] == 301 and out.groupBy("start", "channel").count().where("count > 1").count() == 0
     states = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
     assert max(states) >= 8 and states[-1] <= 1 and sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in progress) == 0
+
+
+class FakeState:
+    """The state variables and timers of one key; counts the rows that are read from them."""
+
+    def __init__(self):
+        self.kept, self.timers, self.rows_read = {}, set(), 0
+
+    def getValueState(self, name, schema):
+        class Value:
+            exists = lambda _: name in self.kept
+            get = lambda _: self.kept[name]
+            update = lambda _, row: self.kept.update({name: row})
+
+        return Value()
+
+    def getListState(self, name, schema):
+        rows = self.kept.setdefault(name, [])
+
+        class Rows:
+            def get(_):
+                self.rows_read += len(rows)
+                return iter(list(rows))
+
+            appendList = lambda _, more: rows.extend(more)
+            clear = lambda _: rows.clear()
+            put = lambda _, new: rows.__setitem__(slice(None), new)
+
+        return Rows()
+
+    def getMapState(self, name, user_key_schema, value_schema):
+        entries = self.kept.setdefault(name, {})
+
+        class Entries:
+            keys = lambda _: iter(list(entries))
+            updateValue = lambda _, key, row: entries.update({key: row})
+            removeKey = lambda _, key: entries.pop(key)
+
+            def getValue(_, key):
+                self.rows_read += len(entries[key][0])
+                return entries[key]
+
+        return Entries()
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def expire(self, carry, key, watermark):
+        times = SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark)
+        for at in sorted(t for t in self.timers if t <= watermark):
+            yield from carry.handleExpiredTimer(key, times, SimpleNamespace(getExpiryTimeInMs=lambda at=at: at))
+            self.timers.discard(at)
+
+
+@pytest.mark.parametrize("slab_ms", [1, 7, 5000])
+def test_baselines_read_waiting_rows_about_once(slab_ms):
+    """A micro-batch with many slabs, in frames out of order; the watermark closes a part of it."""
+    rng, key, batches = np.random.default_rng(3), ("r", 4), 5
+    state, carry, got, want, last = FakeState(), st.BaselineCarry(slab_ms, 7.0, 50), [], [], 7.0
+    carry.init(state)
+    n, span = 400, 2000
+    rows = pd.DataFrame({"ts_ms": np.sort(rng.integers(0, batches * span, batches * n))})
+    rows["time"] = rows["ts_ms"] * 1000 + rng.integers(0, 1000, len(rows))
+    rows = rows.assign(record_i=rng.integers(0, 3, len(rows)), own=rng.integers(1, 99, len(rows)).astype(float))
+    rows.loc[rows["record_i"] > 0, "own"] = None
+    for k in range(batches):
+        part = rows[rows["ts_ms"] // span == k].sample(frac=1, random_state=k)
+        assert not list(carry.handleInputRows(key, iter([part[:90], part[90:250], part[250:]]), None))
+        frames = list(state.expire(carry, key, max(0, k * span - 300)))
+        assert all(len(f) <= 50 for f in frames)
+        got += [tuple(r) for f in frames for r in f.itertuples(index=False)]
+    got += [tuple(r) for f in state.expire(carry, key, 10**9) for r in f.itertuples(index=False)]
+    for t, i, own in rows.sort_values(["time", "record_i"])[["time", "record_i", "own"]].itertuples(index=False):
+        last = last if np.isnan(own) else own
+        want.append(("r", 4, t, i, last))
+    assert got == want and not state.timers and not any(state.kept["waiting"])
+    assert state.rows_read <= 3 * len(rows)
