@@ -107,8 +107,10 @@ def x4_stream_events(spark, sf):
 )
 def x5_stream_coincidences(spark, sf):
     root = shared_folder(spark)
-    left = _as_stream(spark, v_peaks(spark, sf).where("type = 2").select("run_id", "peak_id", "time"), f"{root}/left")
-    right = _as_stream(spark, v_ext(spark, sf).select("run_id", "time"), f"{root}/right")
+    peaks = v_peaks(spark, sf).where("type = 2").select("run_id", "peak_id", "time")
+    others = v_ext(spark, sf).select("run_id", "time")
+    left = _as_stream(spark, peaks, f"{root}/left", _closing(peaks, run_id="closing"))
+    right = _as_stream(spark, others, f"{root}/right", _closing(others, run_id="closing right"))
     st.run_to_files(st.stream_coincidences(left, right, 120_000_000, "1 hour").drop("ts"), f"{root}/out", f"{root}/state")
     return spark.read.parquet(f"{root}/out").select("run_id", "peak_id")
 

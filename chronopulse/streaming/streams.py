@@ -57,11 +57,23 @@ def stream_events(triggers: DataFrame, left: int, right: int, ticks_per_us: int
 
 
 def stream_coincidences(left: DataFrame, right: DataFrame, max_delay_us: int, lateness: str = "10 seconds") -> DataFrame:
-    """left rows (with ts, row_id) that some right row follows within the delay; state is bounded on both sides."""
-    a = left.withWatermark("ts", lateness).alias("a")
-    b = right.select(F.col("ts").alias("r_ts"), F.col("run_id").alias("r_run")).withWatermark("r_ts", lateness).alias("b")
-    near = (F.col("r_run") == F.col("run_id")) & (F.col("r_ts") >= F.col("ts")) & (F.col("r_ts") <= F.col("ts") + F.expr(f"interval {max_delay_us} microseconds"))
-    return a.join(b, near, "left_semi")
+    """left rows (with ts, run_id) that some right row follows within the delay.
+
+    Time falls into buckets of the delay. A left row is followed within the delay if the newest right row of its bucket
+    isn't before it, or the oldest one of the next bucket isn't too late; so of the right rows, each shown to its own
+    bucket and the one before, a bucket needs these two only. A left row meets one row, however dense the times are. It
+    goes out when the watermark has closed its bucket, and the state of the bucket ends on both sides.
+    """
+    delay, length = F.expr(f"interval {max_delay_us} microseconds"), max(max_delay_us, 1)
+    bucket = f"{length} microseconds"
+    shown = F.array(F.struct(F.col("ts").alias("at"), F.lit(True).alias("own")), F.struct((F.col("ts") - F.expr(f"interval {bucket}")).alias("at"), F.lit(False).alias("own")))
+    b = right.select("ts", F.col("run_id").alias("r_run"), F.explode(shown).alias("s")).select("ts", "r_run", "s.at", "s.own")
+    b = b.withWatermark("at", f"{lateness} {bucket}").groupBy(F.window("at", bucket).alias("r_bucket"), "r_run")
+    b = b.agg(F.max(F.when(F.col("own"), F.col("ts"))).alias("newest"), F.min(F.when(~F.col("own"), F.col("ts"))).alias("oldest"))
+    a = left.withWatermark("ts", lateness).withColumn("bucket", F.window("ts", bucket))
+    a = a.withColumn("ts", F.timestamp_micros(F.unix_micros("ts")))  # the bucket carries the watermark, a stream has one such column
+    near = (F.col("ts") <= F.col("newest")) | (F.col("oldest") <= F.col("ts") + delay)
+    return a.join(b, (F.col("r_run") == F.col("run_id")) & (F.col("r_bucket") == F.col("bucket")) & near, "left_semi").drop("bucket")
 
 
 def split_late(stream: DataFrame, delay_us: int, path: str, checkpoint: str) -> None:

@@ -76,6 +76,29 @@ def test_windows_close_and_late_rows_stay(spark, tmp_path):
     assert max(states) >= 8 and states[-1] <= 1 and sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in progress) == 0
 
 
+@pytest.mark.parametrize("delay", [0, 700])
+def test_coincidences_keep_few_rows_of_a_dense_side(spark, tmp_path, delay):
+    """Far more right rows than buckets; pairs exactly at the delay and at borders of buckets; other runs don't count."""
+    rng, root = np.random.default_rng(5), str(tmp_path)
+    dense = [("r0", int(t)) for t in np.sort(rng.integers(20_000, 23_000, 3000))] + [("r1", 35_000), ("r1", 70_000), ("r0", 90_300)]
+    edges = [("r1", t) for d in (0, 1, 700, 701) for t in (35_000 - d, 70_000 - d)] + [("r1", 35_001), ("r0", 35_000), ("r2", 21_000)]
+    lefts = sorted({(run, int(t)) for run, t in [*edges, *[("r0", t) for t in rng.integers(19_000, 24_000, 60)], ("r0", 90_000)]}, key=lambda r: r[1])
+    lefts = [(run, k, t) for k, (run, t) in enumerate(lefts)]
+    far, right, left = 10**9, "run_id string, time long", "run_id string, row_id long, time long"
+    for rows, schema, at in ((dense, right, "right"), (lefts, left, "left")):
+        for a, b in ((0, 21_500), (21_500, 40_000), (40_000, far)):  # the dense stretch comes in two micro-batches
+            part = [r for r in rows if a <= r[-1] < b]
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{root}/{at}")
+        spark.createDataFrame([(f"end of {at}", *([0] if at == "left" else []), far)], schema).coalesce(1).write.mode("append").parquet(f"{root}/{at}")
+    stream = st.stream_coincidences(read(spark, f"{root}/left", left), read(spark, f"{root}/right", right), delay, "1 milliseconds")
+    progress = st.run_to_files(stream.drop("ts"), f"{root}/out", f"{root}/state")
+    want = [k for run, k, t in lefts if any(run == other and t <= x <= t + delay for other, x in dense)]
+    got = spark.read.schema(left).parquet(f"{root}/out")
+    assert sorted(r["row_id"] for r in got.collect()) == want and 0 < len(want) < len(lefts)
+    if delay:
+        assert max(s["numRowsTotal"] for p in progress for s in p["stateOperators"]) < 150
+
+
 class FakeState:
     """The state variables and timers of one key; counts the rows that are read from them."""
 
