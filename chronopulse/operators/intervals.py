@@ -11,8 +11,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import floor_div
 from ..schemas import SLAB_NS
@@ -163,21 +166,6 @@ def _next_after(left: DataFrame, right: DataFrame, reach: int, keys: Sequence[st
     return both.drop("__at", "__slab", "__order")
 
 
-def _first_after(left: DataFrame, right: DataFrame, slab: int) -> DataFrame:
-    """left with __next: the earliest right time at or after its time, however far; by a scan within slabs, to which one
-    narrow row a slab carries the next time from later ones."""
-    times = right.where("time is not null").select("run_id", F.col("time").alias("__at"), F.lit(1).alias("__order"))
-    rows = left.withColumns({"__at": F.col("time"), "__order": F.lit(0)}).unionByName(times, allowMissingColumns=True)
-    rows = rows.withColumn("__slab", floor_div(F.col("__at"), slab))
-    own = F.when(F.col("__order") == 1, F.col("__at"))
-    later = Window.partitionBy("run_id").orderBy(F.desc("__slab")).rowsBetween(Window.unboundedPreceding, -1)
-    carry = rows.groupBy("run_id", "__slab").agg(F.min(own).alias("__min"))
-    carry = carry.select("run_id", "__slab", F.last("__min", ignorenulls=True).over(later).alias("__carry"))
-    order = Window.partitionBy("run_id", "__slab").orderBy(F.desc("__at"), F.desc("__order")).rowsBetween(Window.unboundedPreceding, 0)
-    found = rows.join(carry, ["run_id", "__slab"]).withColumn("__next", F.coalesce(F.last(own, ignorenulls=True).over(order), "__carry"))
-    return found.where("__order = 0").drop("__at", "__order", "__slab", "__carry")
-
-
 def greedy_match(left: np.ndarray, right: np.ndarray, max_delay: int) -> np.ndarray:
     """For time-ordered arrays, the right index that each left row is paired with, -1 for none.
 
@@ -300,47 +288,114 @@ def count_above(values: np.ndarray, low: np.ndarray, high: np.ndarray, limits: n
     return out
 
 
-def n_competing(peaks: DataFrame, window: int, fraction: float = 0.5, inclusive_edge: bool = False, bucket: int | None = None, most: int = 200_000) -> DataFrame:
+def count_in_parts(values: np.ndarray, low: np.ndarray, high: np.ndarray, limits: np.ndarray, weights: np.ndarray, most: int) -> np.ndarray:
+    """count_above() with the values in parts of at most `most`; low and high must ascend.
+
+    The queries that meet a part are neighbours. Those that hold all of it take one binary search among its sorted
+    values; count_above() serves those that end within it, which are two parts a query at most.
+    """
+    out = np.zeros(len(limits), dtype=np.int64)
+    for start in range(0, len(values), most):
+        stop = min(start + most, len(values))
+        v, w = values[start:stop], weights[start:stop]
+        rows = np.arange(np.searchsorted(high, start, "right"), np.searchsorted(low, stop, "left"))
+        whole = (low[rows] <= start) & (high[rows] >= stop)
+        inside, across = rows[~whole], rows[whole]
+        if len(across):
+            by = np.argsort(v, kind="stable")
+            above = np.concatenate((np.cumsum(w[by][::-1])[::-1], [0]))
+            out[across] += above[np.searchsorted(v[by], limits[across], "right")]
+        if len(inside):
+            out[inside] += count_above(v, np.maximum(low[inside], start) - start, np.minimum(high[inside], stop) - start, limits[inside], w)
+    return out
+
+
+def n_competing(
+    peaks: DataFrame, window: int, fraction: float = 0.5, inclusive_edge: bool = False, bucket: int | None = None, most: int = 200_000, frame: int = 2_000_000
+) -> DataFrame:
     """Adds n_competing: peaks of the run within `window` of time with an area above `fraction` of its own.
 
     The peak itself counts if it fits. inclusive_edge counts from the first time >= t - window to the first one at or
     beyond t + window, however far, and of that time one peak only, the largest. Null times and areas compete with
     nothing and have no competitors. Runs may number their peaks alike: the count depends on run, time and area only.
 
-    Equal peaks are counted once with a weight. Slabs of `bucket` ticks (above twice the window) go to workers with the
-    peaks within the window of them; counts are sums, so a slab of more than `most` peaks is divided into parts whose
-    pairs go to workers of their own: no frame has more than about twice `most` rows.
+    Slabs of `bucket` ticks (above twice the window) go to workers with the peaks within the window of them and, for the
+    edge, the first peak beyond; whole rows go once, so there is no join afterwards. A worker counts parts of at most
+    `most` peaks. Where a slab and what it is shown have more than `frame` peaks, its rows are divided into parts whose
+    pairs go to workers of their own and are summed up, so no worker gets more than about twice `frame` rows at once.
     """
-    key, size = ["run_id", "time", "area"], max(bucket or 0, 16 * window, 2 * window + 1)
-    points = peaks.where("time is not null and area is not null").groupBy(*key).agg(F.count("*").alias("__m"))
-    reach = F.array_distinct(F.array(*[floor_div(F.col("time") + d, size) for d in (-window, window)]))
-    data = points.select(*key, "__m", F.explode(reach).alias("__slab"), F.lit(False).alias("__q"))
-    own = points.select(*key, "__m", floor_div(F.col("time"), size).alias("__slab"), F.lit(True).alias("__q"))
-    dense = data.groupBy("run_id", "__slab").agg(F.ceil(F.count("*") / most).cast("int").alias("__c")).where("__c > 1")
-    rows = data.unionByName(own).join(dense, ["run_id", "__slab"], "left").withColumn("__c", F.coalesce("__c", F.lit(1)))
-    part = F.pmod(F.xxhash64("time", "area"), F.col("__c")).cast("int")
-    all_parts = F.sequence(F.lit(0), F.col("__c") - 1)
-    rows = rows.withColumn("__with", F.explode(all_parts))  # a part of the queries meets every part of the data
-    rows = rows.select(*key, "__m", "__slab", "__q", F.when(F.col("__q"), part).otherwise(F.col("__with")).alias("__i"), F.when(F.col("__q"), F.col("__with")).otherwise(part).alias("__j"))
-    kinds = dict(peaks.dtypes)
-
-    def count(frame: pd.DataFrame) -> pd.DataFrame:
-        asked, known = frame[frame["__q"]], frame[~frame["__q"]].sort_values("time", kind="stable")
-        t, at = known["time"].to_numpy(), asked["time"].to_numpy()
+    size = max(bucket or 0, 16 * window, 2 * window + 1)
+    time, place, names = F.col("time"), ["run_id", "__slab"], peaks.columns
+    home = F.coalesce(floor_div(time, size), F.pmod(F.xxhash64(*[c for c, kind in peaks.dtypes if "map<" not in kind]), F.lit(64)))  # a null time goes anywhere
+    reach = F.array_distinct(F.array(home, *[F.coalesce(floor_div(time + d, size), home) for d in (-window, window)]))
+    shown = peaks.withColumns({"__home": home, "__slab": F.explode(reach)}).withColumn("__ask", F.col("__home") == F.col("__slab")).drop("__home")
+    stamp = F.when(F.col("__ask"), F.struct((-time).alias("t"), F.col("area").cast("double").alias("a")))  # largest: the first time's largest area
+    late = F.when(time - F.col("__slab") * size >= window, stamp)
+    slabs = stored(shown.where("run_id is not null and time is not null").groupBy(*place).agg(F.count("*").alias("__rows"), F.max(stamp).alias("__first"), F.max(late).alias("__late")))
+    rest = {c: F.when(F.col("__ask"), F.col(c)) for c in names if c not in ("run_id", "time", "area")}
+    rows = shown.withColumns(rest | {"__m": F.lit(1)})
+    if inclusive_edge:
+        order = Window.partitionBy("run_id").orderBy("__slab")
+        follows = F.lead("__slab").over(order) == F.col("__slab") + 1
+        beyond = F.when(follows, F.coalesce(F.lead("__late").over(order), F.lead("__first", 2).over(order))).otherwise(F.lead("__first").over(order))
+        edges = slabs.where("__first is not null").select(*place, beyond.alias("__e")).where("__e is not null")
+        area = F.col("__e.a").cast(peaks.schema["area"].dataType)
+        edges = edges.select(*place, (-F.col("__e.t")).cast(peaks.schema["time"].dataType).alias("time"), area.alias("area"), F.lit(False).alias("__ask"), F.lit(0).alias("__m"))
+        rows = rows.unionByName(edges, allowMissingColumns=True)
+
+    def count(key, table):
+        column = lambda t, c, kind: t[c].cast(kind).fill_null(0).to_numpy()
+        valid = lambda t, c: t[c].is_valid().to_numpy()
+        known, asked = table.filter(pc.and_(table["__m"].is_valid(), table["time"].is_valid())), table.filter(table["__ask"])
+        by = np.argsort(column(known, "time", pa.int64()), kind="stable")
+        t, has_area = column(known, "time", pa.int64())[by], valid(known, "area")[by]
+        values = np.where(has_area, column(known, "area", pa.float64())[by], -np.inf)
+        weights = np.where(has_area, column(known, "__m", pa.int64())[by], 0)
+        counted = np.flatnonzero(valid(asked, "time") & valid(asked, "area") & (key[0].as_py() is not None))
+        at, limits = column(asked, "time", pa.int64())[counted], column(asked, "area", pa.float64())[counted] * fraction
+        counted, at, limits = (x[np.argsort(at, kind="stable")] for x in (counted, at, limits))
         low, high = np.searchsorted(t, at - window, "left"), np.searchsorted(t, at + window, "left" if inclusive_edge else "right")
-        area = known["area"].to_numpy(dtype=np.float64)
-        n = count_above(area, low, high, asked["area"].to_numpy(dtype=np.float64) * fraction, known["__m"].to_numpy())
-        return asked[key].assign(__n=n)
-
-    out = ", ".join(f"{k} {kinds[k]}" for k in key) + ", __n bigint"
-    counts = rows.groupBy("run_id", "__slab", "__i", "__j").applyInPandas(count, out).groupBy(*key).agg(F.sum("__n").alias("__n"))
-    found = peaks.join(counts, key, "left").withColumn("n_competing", F.coalesce("__n", F.lit(0))).select(*peaks.columns, "n_competing")
-    if not inclusive_edge:
-        return found
-    times = peaks.select("run_id", "time")
-    beyond = _first_after(found.where("time is not null").withColumns({"__own": F.col("time"), "time": F.col("time") + window}), times, 64 * size)
-    first = peaks.where("time is not null").groupBy("run_id", "time").agg(F.max("area").alias("__edge_area"))
-    joined = beyond.withColumn("time", F.col("__own")).join(first.withColumnRenamed("time", "__next"), ["run_id", "__next"], "left")
-    extra = F.when(F.col("__edge_area") > F.col("area") * fraction, 1).otherwise(0)
-    joined = joined.withColumn("n_competing", F.col("n_competing") + extra).select(*found.columns)
-    return joined.unionByName(found.where("time is null"))
+        n, edge, edge_area = (np.zeros(asked.num_rows, dtype=k) for k in (np.int64, np.int64, np.float64))
+        n[counted] = count_in_parts(values, low, high, limits, weights, most)
+        beyond = np.zeros(asked.num_rows, dtype=bool)
+        if inclusive_edge and len(t):
+            starts = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
+            top = np.maximum.reduceat(values, starts)
+            here = high < len(t)
+            beyond[counted[here]] = True
+            edge[counted[here]], edge_area[counted[here]] = t[high[here]], top[np.searchsorted(starts, high[here])]
+        out = asked.select(names).append_column("__n", pa.array(n))
+        return out.append_column("__et", pa.array(edge, mask=~beyond)).append_column("__ea", pa.array(edge_area, mask=~beyond))
+
+    out = T.StructType([*[T.StructField(f.name, f.dataType) for f in peaks.schema], *[T.StructField(c, k) for c, k in (("__n", T.LongType()), ("__et", T.LongType()), ("__ea", T.DoubleType()))]])
+    dense = slabs.where(F.col("__rows") > frame).select(*place, F.ceil(F.col("__rows") / frame).cast("int").alias("__c"))
+    some = bool(dense.head(1))
+    usual = rows.join(F.broadcast(dense), place, "left_anti") if some else rows
+    counts = usual.groupBy(*place).applyInArrow(count, out)
+    if some:
+        counts = counts.unionByName(_by_pairs_of_parts(rows.join(F.broadcast(dense), place), count, out))
+    extra = F.when(F.col("__ea") > F.col("area") * fraction, 1).otherwise(0)
+    return counts.select(*names, (F.col("__n") + extra if inclusive_edge else F.col("__n")).alias("n_competing"))
+
+
+def _by_pairs_of_parts(rows: DataFrame, count, out: T.StructType) -> DataFrame:
+    """n_competing() of dense slabs: every part of the queries meets every part of the data; counts are added, and the
+    first edge is taken. Equal rows have equal counts and are set apart again by their number."""
+    names = out.names[:-3]
+    part, c = F.pmod(F.xxhash64("time", "area"), F.col("__c")).cast("int"), F.col("__c")
+    pair = lambda i, j: F.struct(i.alias("__i"), j.alias("__j"))
+    every = F.sequence(F.lit(0), c - 1)
+    queries = rows.where("__ask").withColumn("__p", F.explode(F.transform(every, lambda j: pair(part, j)))).withColumn("__m", F.lit(None).cast("int"))
+    data = rows.withColumn("__p", F.explode(F.transform(every, lambda i: pair(i, part)))).withColumn("__ask", F.lit(False))
+    both = queries.unionByName(data.withColumns({k: F.lit(None).cast(out[k].dataType) for k in names if k not in ("run_id", "time", "area")}))
+    with_c = T.StructType([*out.fields, T.StructField("__c", T.IntegerType())])
+    parts = both.select("*", "__p.*").drop("__p").groupBy("run_id", "__slab", "__i", "__j")
+
+    def counted(key, table):
+        return count(key, table).append_column("__c", table.filter(table["__ask"])["__c"])
+
+    stamp = F.max(F.when(F.col("__et").isNotNull(), F.struct((-F.col("__et")).alias("t"), F.col("__ea").alias("a")))).alias("__e")
+    sums = parts.applyInArrow(counted, with_c).groupBy(*names, "__c").agg(F.sum("__n").alias("__n"), F.count("*").alias("__k"), stamp)
+    equal = F.call_function("div", F.col("__k"), c)
+    sums = sums.withColumns({"__n": F.call_function("div", F.col("__n"), equal), "__equal": F.explode(F.sequence(F.lit(1), equal))})
+    return sums.select(*names, "__n", (-F.col("__e.t")).alias("__et"), F.col("__e.a").alias("__ea"))

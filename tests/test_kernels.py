@@ -146,6 +146,52 @@ def test_competing_peaks_of_runs_that_number_alike(spark, inclusive):
     assert intervals.n_competing(df.limit(0), 50, 0.5, inclusive).count() == 0
 
 
+def shuffled_rows(spark):
+    """Rows that all stages so far have written to shuffles."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    none, doubles = sc._jvm.java.util.ArrayList(), sc._gateway.new_array(sc._jvm.double, 0)
+    stages = sc._jsc.sc().statusStore().stageList(none, False, False, doubles, none)
+    return sum(stages.apply(k).shuffleWriteRecords() for k in range(stages.size()))
+
+
+@pytest.mark.parametrize("inclusive", [False, True])
+def test_dense_slabs_are_shuffled_about_once(spark, inclusive):
+    """Slabs of far more peaks than a part has; equal peaks, NaN, null areas and a lone peak far beyond."""
+    rng, window = np.random.default_rng(6), 100
+    n = 2500
+    t, area = rng.integers(0, 4000, n), rng.choice(np.append(rng.normal(5, 4, 60), np.nan), n)
+    rows = [("a", k, int(x), float(y)) for k, (x, y) in enumerate(zip(t, area))]
+    rows += [rows[3], rows[3], ("a", n, 90_000, 4.0), ("a", n + 1, 4_111, None), ("b", 0, 50, 1.0), ("b", 1, None, 1.0), (None, 2, 50, 1.0), ("b", 3, 1750, None), ("b", 4, 1760, 9.0)]
+    df = spark.createDataFrame(rows, "run_id string, peak_id long, time long, area double").repartition(3).localCheckpoint()
+    above = lambda v, x: v is not None and not np.isnan(x) and (np.isnan(v) or v > x)
+    want = []
+    for run, k, at, own in rows:
+        others = [] if run is None or at is None or own is None else [x for x in rows if x[0] == run and x[2] is not None]
+        found = sum(above(x[3], own * 0.5) for x in others if at - window <= x[2] < at + window or (x[2] == at + window and not inclusive))
+        edge = min((x[2] for x in others if x[2] >= at + window), default=None)
+        want.append((run, k, found + (inclusive and any(above(x[3], own * 0.5) for x in others if x[2] == edge))))
+    key = lambda r: tuple(str(x) for x in r)
+    before = shuffled_rows(spark)
+    got = intervals.n_competing(df, window, 0.5, inclusive, most=25).select("run_id", "peak_id", "n_competing").collect()
+    assert sorted((tuple(r) for r in got), key=key) == sorted(want, key=key)
+    assert shuffled_rows(spark) - before < 4 * len(rows)
+    got = intervals.n_competing(df, window, 0.5, inclusive, most=25, frame=300).select("run_id", "peak_id", "n_competing").collect()
+    assert sorted((tuple(r) for r in got), key=key) == sorted(want, key=key)
+
+
+def test_counts_in_parts_are_those_of_all_pairs():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 30, 257):
+        values, weights = rng.choice([1.0, 2.0, 3.5, np.nan, 9.0], n), rng.integers(0, 4, n)
+        low = np.sort(rng.integers(0, n + 1, 80))
+        high = np.maximum(np.sort(rng.integers(0, n + 1, 80)), low)
+        limits = rng.choice([0.5, 2.0, np.nan, 8.0], 80)
+        want = intervals.count_above(values, low, high, limits, weights)
+        for most in (1, 7, 64, 1000):
+            assert intervals.count_in_parts(values, low, high, limits, weights, most).tolist() == want.tolist()
+
+
 def test_a_burst_takes_no_quadratic_time():
     rng = np.random.default_rng(2)
     n = 100_000
