@@ -232,13 +232,23 @@ def number_events(ranks: DataFrame, path: str, checkpoint: str) -> None:
     run_batches(ranks, checkpoint, each, "append")
 
 
-#: The store that keeps state variables and timers; it spills to disk.
-_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+#: The store that keeps state variables and timers; it spills to disk. A join has one store a partition instead of four, and
+#: stores don't set aside megabytes of disk that they may not need: there are as many as partitions, however little they keep.
+_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
+
+
+def _keep_state(spark: SparkSession) -> None:
+    for name, value in _STORE.items():
+        spark.conf.set(name, value)
 
 
 def run_to_files(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> list[dict]:
     """Processes everything available into Parquet files, then stops; returns the progress of its micro-batches."""
-    stream.sparkSession.conf.set(*_STORE)
+    _keep_state(stream.sparkSession)
     query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
     return query.recentProgress
@@ -246,7 +256,7 @@ def run_to_files(stream: DataFrame, path: str, checkpoint: str, mode: str = "app
 
 def run_batches(stream: DataFrame, checkpoint: str, each, mode: str = "append") -> list[dict]:
     """Processes everything available, handing each micro-batch to `each(df, number)`, then stops; returns the progress."""
-    stream.sparkSession.conf.set(*_STORE)
+    _keep_state(stream.sparkSession)
     query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
     query.awaitTermination()
     return query.recentProgress
